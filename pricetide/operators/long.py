@@ -65,6 +65,8 @@ def annotate_long(wide: DataFrame, timezone: str = DEFAULT_TIMEZONE,
     """
     if on_ambiguous not in ("first", "second", "raise"):
         raise ValueError(f"on_ambiguous must be first, second or raise, not {on_ambiguous!r}")
+    # Few, wide projections: every DataFrame step re-analyses the plan, so
+    # the expressions are composed here and applied in four selects.
     df = normalise_wide(wide)
     slots = slot_columns(df)
     lineage = lineage_columns(df)
@@ -72,14 +74,14 @@ def annotate_long(wide: DataFrame, timezone: str = DEFAULT_TIMEZONE,
     day_type = df.schema[DAY_COLUMN].dataType
 
     if isinstance(day_type, T.StringType):
-        df = df.withColumn("_day_text", F.trim(F.col(DAY_COLUMN)))
-        day = parse_delivery_day("_day_text", strict=False)
-        bad_day = F.col("_day_text").isNotNull() & F.col(DAY_COLUMN).isNull()
-        df = df.withColumn(DAY_COLUMN, day)
+        day_text = F.trim(F.col(DAY_COLUMN))
+        day = parse_delivery_day(day_text, strict=False)
+        day_cols = [day.alias(DAY_COLUMN), day_text.alias("_day_text")]
         lineage = lineage + ["_day_text"]
+        bad_day = F.col("_day_text").isNotNull() & F.col(DAY_COLUMN).isNull()
     else:
-        if not isinstance(day_type, T.DateType):
-            df = df.withColumn(DAY_COLUMN, F.col(DAY_COLUMN).cast("date"))
+        day = F.col(DAY_COLUMN) if isinstance(day_type, T.DateType) else F.col(DAY_COLUMN).cast("date")
+        day_cols = [day.alias(DAY_COLUMN)]
         bad_day = F.col(DAY_COLUMN).isNull()
 
     # Slot number and suffix come from the column names: known on the driver,
@@ -92,76 +94,75 @@ def annotate_long(wide: DataFrame, timezone: str = DEFAULT_TIMEZONE,
     # one offset all day, so every slot's UTC time is the first midnight's
     # plus the slot's hours; only the other days (two a year in a DST zone)
     # take the slot-by-slot path with its zone conversions.
-    day_start = F.col(DAY_COLUMN).cast("timestamp_ntz")
+    day_start = day.cast("timestamp_ntz")
     u0 = local_to_utc_naive(day_start, timezone)
-    u1 = local_to_utc_naive(F.date_add(F.col(DAY_COLUMN), 1).cast("timestamp_ntz"), timezone)
-    cell = (lambda c: F.col(c).cast("string")) if text_slots else (lambda c: F.col(c).cast("double"))
+    u1 = local_to_utc_naive(F.date_add(day, 1).cast("timestamp_ntz"), timezone)
+    offset0 = utc_offset_hours(day_start, u0)
+    # One explicit, nullable struct type for every slot: left to type
+    # coercion, a slot built from a non-null literal would make the field
+    # non-nullable and the null-price filter would be optimised away.
+    # (One SQL snippet per slot keeps the driver's gateway calls few.)
+    cell_type = "string" if text_slots else "double"
+    slot_type = f"struct<v:{cell_type},hour:int,suffix:string>"
+    values = [F.expr(f"CAST(named_struct('v', CAST(`{c}` AS {cell_type}), 'hour', {h}, 'suffix', '{x}') "
+                     f"AS {slot_type}) AS `{c}`") for c, h, x in meta]
     per_day = df.select(
-        DAY_COLUMN, *lineage, *[cell(c).alias(c) for c in slots],
+        *day_cols, *[c for c in lineage if c != "_day_text"], *values,
         day_start.alias("_day_start"), u0.alias("_u0"),
         F.coalesce((u1 - u0) == F.expr("INTERVAL '24' HOUR"), F.lit(False)).alias("_regular"),
-        utc_offset_hours(day_start, u0).alias("_offset0"),
+        offset0.alias("_offset0"), zone_label(timezone, offset0).alias("_label0"),
         # Slots 1..24 lie on the delivery day: local year / month are the day's.
-        F.year(DAY_COLUMN).alias("year"), F.month(DAY_COLUMN).alias("month"),
+        F.year(day).alias("year"), F.month(day).alias("month"),
     )
-    per_day = per_day.withColumn("_label0", zone_label(timezone, F.col("_offset0")))
-    # One explicit, nullable struct type for every slot: left to type
-    # coercion, a slot built from a non-null literal would make the field
-    # non-nullable and the null-price filter would be optimised away.
-    slot_type = f"struct<v:{'string' if text_slots else 'double'},hour:int,suffix:string>"
-    values = [F.struct(F.col(c).alias("v"), F.lit(h).cast("int").alias("hour"),
-                       F.lit(x).alias("suffix")).cast(slot_type).alias(c) for c, h, x in meta]
     ids = [DAY_COLUMN, *lineage, "_day_start", "_u0", "_regular", "_offset0", "_label0", "year", "month"]
-    long = per_day.unpivot(ids, values, "hour_name", "_slot").select(
-        *ids, "hour_name", F.col("_slot.v").alias("_cell"), F.col("_slot.hour").alias("hour"),
-        F.col("_slot.suffix").alias("_suffix"))
+    long = per_day.unpivot(ids, slots, "hour_name", "_slot")
 
     if text_slots:
         # Cells arrive as text, so each bad number is caught per cell.
-        text = F.nullif(F.trim(F.col("_cell")), F.lit(""))
-        long = long.withColumn("_cell", text).withColumn("price", F.col("_cell").try_cast("double"))
-        filled = F.col("_cell").isNotNull() & ~(F.col("price").isNotNull() & F.isnan("price"))
-        bad_price = F.col("_cell").isNotNull() & F.col("price").isNull()
+        cell_text = F.nullif(F.trim(F.col("_slot.v")), F.lit(""))
+        price = cell_text.try_cast("double")
+        filled = cell_text.isNotNull() & ~(price.isNotNull() & F.isnan(price))
+        bad_price = cell_text.isNotNull() & price.isNull()
     else:
-        long = long.withColumnRenamed("_cell", "price")
-        filled = F.col("price").isNotNull() & ~F.isnan("price")
+        price = F.col("_slot.v")
+        filled = price.isNotNull() & ~F.isnan(price)
         bad_price = F.lit(False)
 
     step = F.make_dt_interval(F.lit(0), F.col("hour") - 1)
     regular = F.col("_regular")
-    long = (long.filter(filled)
-                .withColumn("_bad_day", bad_day)
-                .withColumn("_bad_price", bad_price)
-                .withColumn("timestamp", F.col("_day_start") + step))
+    long = long.filter(filled).select(
+        *ids, "hour_name", price.alias("price"), F.col("_slot.hour").alias("hour"),
+        F.col("_slot.suffix").alias("_suffix"), bad_day.alias("_bad_day"), bad_price.alias("_bad_price"))
     # Irregular days only: the slot-by-slot conversion (inside CASE branches,
     # so regular days never evaluate it).
-    u = local_to_utc_naive("timestamp", timezone)
+    local = F.col("_day_start") + step
+    u = local_to_utc_naive(local, timezone)
     nonexistent = F.when(regular, F.lit(False)).otherwise(
-        F.coalesce(is_nonexistent("timestamp", timezone, u), F.lit(False)))
+        F.coalesce(is_nonexistent(local, timezone, u), F.lit(False)))
     ambiguous = F.when(regular, F.lit(False)).otherwise(
-        F.coalesce(is_ambiguous("timestamp", timezone, u), F.lit(False)))
-    long = long.withColumns({"is_nonexistent": nonexistent, "is_ambiguous": ambiguous})
+        F.coalesce(is_ambiguous(local, timezone, u), F.lit(False)))
+    long = long.select("*", local.alias("timestamp"), nonexistent.alias("is_nonexistent"),
+                       ambiguous.alias("is_ambiguous"))
+
     take_second = F.col("_suffix") == "b"
     unresolved = F.col("is_ambiguous") & ~F.col("_suffix").isin("a", "b")
     if on_ambiguous == "second":
         take_second = take_second | unresolved
+    u = local_to_utc_naive("timestamp", timezone)
     utc = (F.when(regular, F.col("_u0") + step)
             .when(F.col("is_ambiguous") & take_second, u + one_hour())
             .otherwise(u))
-    long = long.withColumn("timestamp_utc", utc)
-    offset = F.when(regular, F.col("_offset0")).otherwise(utc_offset_hours("timestamp", "timestamp_utc"))
-
+    offset = F.when(regular, F.col("_offset0")).otherwise(utc_offset_hours(F.col("timestamp"), utc))
+    label = F.when(regular, F.col("_label0")).otherwise(zone_label(timezone, offset))
     reason = (F.when(F.col("_bad_day"), F.lit(REJECT_BAD_DAY))
                .when(F.col("_bad_price"), F.lit(REJECT_BAD_PRICE))
                .when(F.col("hour").isNull(), F.lit(REJECT_UNKNOWN_SLOT))
                .when(F.col("is_nonexistent"), F.lit(REJECT_NONEXISTENT)))
     if on_ambiguous == "raise":
         reason = reason.when(unresolved, F.lit(REJECT_AMBIGUOUS))
-    label = F.when(regular, F.col("_label0")).otherwise(zone_label(timezone, F.col("utc_offset")))
-    long = (long.withColumn("utc_offset", offset).withColumn("timezone", label)
-                .withColumn("reject_reason", reason))
-    keep = [DAY_COLUMN, "hour_name", "hour", "price", "timestamp", "timestamp_utc", "utc_offset",
-            "timezone", "year", "month", "is_ambiguous", "is_nonexistent", "reject_reason"]
+    keep = [DAY_COLUMN, "hour_name", "hour", "price", "timestamp", utc.alias("timestamp_utc"),
+            offset.alias("utc_offset"), label.alias("timezone"), "year", "month",
+            "is_ambiguous", "is_nonexistent", reason.alias("reject_reason")]
     keep += [c for c in lineage if c != "_day_text"]
     if "_day_text" in lineage:
         keep.append(F.col("_day_text").alias("delivery_day_text"))
@@ -195,17 +196,9 @@ def with_zone_columns(long: DataFrame, timezone: str = DEFAULT_TIMEZONE) -> Data
     })
 
 
-def _apply_policy(long: DataFrame, reasons: list[str], policy: str) -> DataFrame:
+def _check_policy(policy: str) -> None:
     if policy not in _POLICIES:
         raise ValueError(f"policy must be one of {_POLICIES}, not {policy!r}")
-    hit = F.col("reject_reason").isin(reasons)
-    if policy == "raise":
-        # Fail fast in the task that meets the row, with the row in the message.
-        msg = F.concat(F.lit("rejected price cell ("), F.col("reject_reason"), F.lit("): day "),
-                       F.coalesce(F.col(DAY_COLUMN).cast("string"), F.lit("?")), F.lit(" slot "),
-                       F.col("hour_name"))
-        return long.withColumn("price", F.when(hit, F.raise_error(msg)).otherwise(F.col("price")))
-    return long.filter(~F.coalesce(hit, F.lit(False)))
 
 
 def to_long(wide: DataFrame, timezone: str = DEFAULT_TIMEZONE, on_nonexistent: str = "raise",
@@ -227,11 +220,25 @@ def to_long(wide: DataFrame, timezone: str = DEFAULT_TIMEZONE, on_nonexistent: s
 def finish_long(annotated: DataFrame, timezone: str = DEFAULT_TIMEZONE, on_nonexistent: str = "raise",
                 on_invalid: str = "raise", keep_columns: list[str] | None = None) -> DataFrame:
     """Policy + final projection on the output of :func:`annotate_long`."""
+    _check_policy(on_nonexistent)
+    _check_policy(on_invalid)
     invalid = [REJECT_BAD_DAY, REJECT_BAD_PRICE, REJECT_UNKNOWN_SLOT, REJECT_AMBIGUOUS]
-    long = _apply_policy(annotated, invalid, on_invalid)
-    long = _apply_policy(long, [REJECT_NONEXISTENT], on_nonexistent)
-    long = with_zone_columns(long, timezone)
-    return long.select(*LONG_COLUMNS, *(keep_columns or []))
+    policy = {r: on_invalid for r in invalid}
+    policy[REJECT_NONEXISTENT] = on_nonexistent
+    raising = [r for r, p in policy.items() if p == "raise"]
+    leaving = [r for r, p in policy.items() if p != "raise"]
+    long = with_zone_columns(annotated, timezone)
+    if leaving:
+        long = long.filter(~F.coalesce(F.col("reject_reason").isin(leaving), F.lit(False)))
+    price = F.col("price")
+    if raising:
+        # Fail fast in the task that meets the row, with the row in the message.
+        msg = F.concat(F.lit("rejected price cell ("), F.col("reject_reason"), F.lit("): day "),
+                       F.coalesce(F.col(DAY_COLUMN).cast("string"), F.lit("?")), F.lit(" slot "),
+                       F.col("hour_name"))
+        price = F.when(F.col("reject_reason").isin(raising), F.raise_error(msg)).otherwise(price)
+    cols = [price.alias(c) if c == "price" else F.col(c) for c in LONG_COLUMNS]
+    return long.select(*cols, *(keep_columns or []))
 
 
 def rejected_rows(annotated: DataFrame) -> DataFrame:
@@ -243,6 +250,7 @@ def long_with_nulls(wide: DataFrame) -> DataFrame:
     """Plain unpivot of every slot, empty cells kept (P2 with ``INCLUDE NULLS``)."""
     df = normalise_wide(wide)
     slots = slot_columns(df)
-    df = df.withColumns({c: F.col(c).try_cast("double") for c in slots})
-    return df.unpivot([DAY_COLUMN] + lineage_columns(df), slots, "hour_name", "price")
+    ids = [DAY_COLUMN] + lineage_columns(df)
+    df = df.select(*ids, *[F.expr(f"try_cast(`{c}` AS double) AS `{c}`") for c in slots])
+    return df.unpivot(ids, slots, "hour_name", "price")
 

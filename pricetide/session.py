@@ -15,6 +15,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A backfill of many small month partitions still gets parallel writers;
+    # large inputs are unaffected (their partitions are far above this).
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }

@@ -62,10 +62,6 @@ def read_wide_csv(spark: SparkSession, path: str | list[str], modified_after: st
     return with_file_lineage(reader.csv(paths))
 
 
-def _cell_text(c: str) -> F.Column:
-    return F.coalesce(F.col(c).cast("string"), F.lit(""))
-
-
 def landing_lines(wide: DataFrame, pad_month: bool = False) -> DataFrame:
     """Text lines of the month files of a wide frame (``Delivery day`` text
     plus the 25 header-named slots): comment, header, then days in order."""
@@ -75,7 +71,8 @@ def landing_lines(wide: DataFrame, pad_month: bool = False) -> DataFrame:
     rows = wide.select(
         F.year(day).alias("file_year"), month_key.alias("file_month"),
         F.lit(2).alias("_kind"), day.alias("_day"),
-        F.concat_ws(",", *[_cell_text(c) for c in [DAY_HEADER] + SLOT_HEADERS]).alias("value"),
+        F.expr("concat_ws(',', " + ", ".join(f"coalesce(CAST(`{c}` AS string), '')"
+                                             for c in [DAY_HEADER] + SLOT_HEADERS) + ") AS value"),
     )
     files = rows.select("file_year", "file_month").distinct()
     header = ",".join([DAY_HEADER] + SLOT_HEADERS)

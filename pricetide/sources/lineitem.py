@@ -31,7 +31,7 @@ def _pivot_min(cells: DataFrame, names: list[str]) -> DataFrame:
     # One hash aggregate with 25 conditional minimums: partial aggregation on
     # the map side collapses even a day holding a third of all rows to one
     # row per task before the single shuffle on the day.
-    aggs = [F.round(F.min(F.when(F.col("_slot") == i, F.col("_price"))), 2).alias(n)
+    aggs = [F.expr(f"round(min(CASE WHEN _slot = {i} THEN _price END), 2) AS `{n}`")
             for i, n in enumerate(names)]
     return cells.groupBy("_day").agg(*aggs)
 
