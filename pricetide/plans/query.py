@@ -48,6 +48,19 @@ def read_range(df: DataFrame, start, end, by: str = "local") -> DataFrame:
     return df.filter(pred).filter((F.col(column) >= ntz_literal(start)) & (F.col(column) < ntz_literal(end)))
 
 
+def range_sql(table: str, start, end, by: str = "local", columns: str = "*") -> str:
+    """The same range as :func:`read_range`, as SQL text for ``spark.sql``
+    over a catalog table (month predicate included for partition pruning)."""
+    start, end = _as_datetime(start), _as_datetime(end)
+    column = "timestamp" if by == "local" else "timestamp_utc"
+    pad = dt.timedelta(days=1) if by == "utc" else dt.timedelta(0)
+    lo, hi = start - pad, end + pad
+    return (f"SELECT {columns} FROM {table} "
+            f"WHERE year * 100 + month BETWEEN {lo.year * 100 + lo.month} AND {hi.year * 100 + hi.month} "
+            f"AND `{column}` >= TIMESTAMP_NTZ'{start.isoformat(sep=' ')}' "
+            f"AND `{column}` < TIMESTAMP_NTZ'{end.isoformat(sep=' ')}'")
+
+
 def monthly_summary(long: DataFrame) -> DataFrame:
     """Hours, min / max, exact sum and cent-rounded average price per local
     month and zone label. The price is summed as DECIMAL(18,2), so the

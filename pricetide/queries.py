@@ -34,7 +34,7 @@ from pricetide.operators.reshape import (
     with_slot_time,
 )
 from pricetide.plans.ingest import IngestOptions, ingest
-from pricetide.plans.query import monthly_summary, read_range
+from pricetide.plans.query import monthly_summary, range_sql, read_range
 from pricetide.plans.sink import read_long_table, register_table, write_long_table
 from pricetide.schema import (
     DAY_COLUMN,
@@ -262,8 +262,9 @@ def q_catalog_range_local(spark, sf_dir):
 
 
 def q_catalog_range_utc(spark, sf_dir):
+    # SQL API over the catalog table (the local-time twin uses the DataFrame API).
     table = _registered_long_table(spark, sf_dir)
-    return read_range(spark.table(table), *UTC_RANGE, by="utc").select(*LONG_COLUMNS)
+    return spark.sql(range_sql(table, *UTC_RANGE, by="utc", columns=", ".join(f"`{c}`" for c in LONG_COLUMNS)))
 
 
 def q_schema_evolution_read(spark, sf_dir):
