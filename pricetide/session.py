@@ -45,20 +45,24 @@ def build_session(master: str | None = None, app_name: str = "pricetide",
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins; ``fallback`` is only used where the
-    setting is missing (local tests).
+    The cluster's setting always wins. Where it is missing, a local run (tests)
+    uses ``fallback`` (or a folder under /tmp) as the context's checkpoint
+    folder; a cluster without the setting is refused, since a machine-local
+    folder would not survive the loss of an executor.
     """
+    sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if fallback is None:
-            if not spark.sparkContext.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-            fallback = os.path.join("/tmp", "pricetide-checkpoints")
-        configured = fallback
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured.rstrip("/")
+    if configured:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
+        return configured.rstrip("/")
+    current = sc.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
+    sc.setCheckpointDir(fallback or os.path.join("/tmp", "pricetide-checkpoints"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
