@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pricetide.schema import DAY_FORMAT
+from pricetide.schema import DAY_PARSE_FORMAT
 
 
 def _col(c: Column | str) -> Column:
@@ -30,8 +30,8 @@ def slot_order(label: Column | str) -> Column:
     return slot_hour(label) * 10 + F.when(slot_suffix(label) == "b", 1).otherwise(0)
 
 
-def parse_delivery_day(day: Column | str, strict: bool = True, fmt: str = DAY_FORMAT) -> Column:
-    """Day-first text (``31/03/2019``) to DATE.
+def parse_delivery_day(day: Column | str, strict: bool = True, fmt: str = DAY_PARSE_FORMAT) -> Column:
+    """Day-first text (``31/03/2019``, also ``1/5/2024``) to DATE.
 
     ``strict`` raises on a malformed value (ANSI); otherwise the value becomes
     null so the row can go to quarantine.

@@ -1,7 +1,12 @@
-"""File -> table job (X2): scan, key, latest version, transform, write."""
+"""File -> table job (X2): scan, key, latest version, transform, write.
+
+Run as a job: ``spark-submit -m pricetide.plans.ingest --source <files> --target <table folder>``
+(or ``python -m pricetide.plans.ingest ...``).
+"""
 
 from __future__ import annotations
 
+import argparse
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -66,3 +71,28 @@ def ingest(spark: SparkSession, source: str | list[str], target: str,
     if options.database and options.table:
         register_table(spark, target, options.database, options.table)
     return long
+
+
+def main(argv: list[str] | None = None) -> None:
+    parser = argparse.ArgumentParser(description="Wide price files -> long price table")
+    parser.add_argument("--source", required=True, nargs="+", help="file, folder or glob of wide CSV files")
+    parser.add_argument("--target", required=True, help="folder of the long Parquet table")
+    parser.add_argument("--timezone", default=DEFAULT_TIMEZONE)
+    parser.add_argument("--modified-after", help="only files changed after this UTC time")
+    parser.add_argument("--quarantine", help="folder for rejected cells")
+    parser.add_argument("--on-nonexistent", default="quarantine", choices=["raise", "drop", "quarantine"])
+    parser.add_argument("--on-invalid", default="quarantine", choices=["raise", "drop", "quarantine"])
+    parser.add_argument("--database")
+    parser.add_argument("--table")
+    args = parser.parse_args(argv)
+    from pricetide.session import build_session
+
+    spark = build_session(app_name="pricetide-ingest")
+    options = IngestOptions(timezone=args.timezone, on_nonexistent=args.on_nonexistent,
+                            on_invalid=args.on_invalid, quarantine_path=args.quarantine,
+                            database=args.database, table=args.table)
+    ingest(spark, args.source, args.target, options, modified_after=args.modified_after)
+
+
+if __name__ == "__main__":
+    main()

@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pricetide.functions.slots import parse_delivery_day
 from pricetide.operators.long import annotate_long, long_with_nulls, to_long, with_zone_columns
 from pricetide.operators.quality import (
     day_completeness,
@@ -38,6 +39,7 @@ from pricetide.plans.query import monthly_summary, range_sql, read_range
 from pricetide.plans.sink import read_long_table, register_table, write_long_table
 from pricetide.schema import (
     DAY_COLUMN,
+    DAY_HEADER,
     DEFAULT_TIMEZONE,
     LONG_COLUMNS,
     LONG_SCHEMA,
@@ -91,7 +93,7 @@ def _partial_and_complete(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
     month's last delivery day (as a file appended to day by day), the second
     is complete."""
     w = wide_text(spark, sf_dir)
-    day = F.to_date(F.col("Delivery day"), "dd/MM/yyyy")
+    day = parse_delivery_day(DAY_HEADER)
     month = Window.partitionBy(F.year(day), F.month(day))  # a month: at most 31 rows
     partial = (w.withColumn("_last", F.max(day).over(month))
                 .filter(day < F.col("_last")).drop("_last"))
@@ -100,7 +102,7 @@ def _partial_and_complete(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
 
 def _typed_from_files(df: DataFrame) -> DataFrame:
     return df.select(
-        F.to_date(F.col("Delivery day"), "dd/MM/yyyy").alias(DAY_COLUMN),
+        parse_delivery_day(DAY_HEADER).alias(DAY_COLUMN),
         *[F.col(h).try_cast("double").alias(c) for h, c in zip(SLOT_HEADERS, SLOT_COLUMNS)],
         "source_key",
     )
@@ -244,7 +246,7 @@ def q_parquet_partition_overwrite(spark, sf_dir):
     path = scratch_path(spark, "long-table")
     partial, complete = _partial_and_complete(spark, sf_dir)
     write_long_table(_with_source_key(to_long(partial, TZ, on_nonexistent="drop")), path)
-    rewrite = complete.filter(F.month(F.to_date(F.col("Delivery day"), "dd/MM/yyyy")) <= OVERWRITE_LAST_MONTH)
+    rewrite = complete.filter(F.month(parse_delivery_day(DAY_HEADER)) <= OVERWRITE_LAST_MONTH)
     write_long_table(_with_source_key(to_long(rewrite, TZ, on_nonexistent="drop")), path)
     return _read_table(spark, path)
 

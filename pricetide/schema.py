@@ -16,7 +16,8 @@ SLOT_HEADERS = [
 ]
 # File conventions and the default market zone.
 COMMENT_CHAR = "#"
-DAY_FORMAT = "dd/MM/yyyy"
+DAY_FORMAT = "dd/MM/yyyy"        # as written
+DAY_PARSE_FORMAT = "d/M/yyyy"    # as read: also takes 1/5/2024
 DEFAULT_TIMEZONE = "Europe/Berlin"
 DEFAULT_TOP_FOLDER = "daa_market"
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricetide.functions.slots import parse_delivery_day
 from pricetide.schema import (
     COMMENT_CHAR,
     DAY_HEADER,
@@ -65,7 +66,7 @@ def read_wide_csv(spark: SparkSession, path: str | list[str], modified_after: st
 def landing_lines(wide: DataFrame, pad_month: bool = False) -> DataFrame:
     """Text lines of the month files of a wide frame (``Delivery day`` text
     plus the 25 header-named slots): comment, header, then days in order."""
-    day = F.to_date(F.col(DAY_HEADER), "dd/MM/yyyy")
+    day = parse_delivery_day(DAY_HEADER)
     month = F.month(day)
     month_key = F.lpad(month.cast("string"), 2, "0") if pad_month else month.cast("string")
     rows = wide.select(

@@ -161,3 +161,9 @@ def test_every_day_1990_to_2030_has_its_hours(spark, session_tz):
     bad = report.filter(F.col("status") != "ok").count()
     assert bad == 0
     assert long.count() == 24 * cal.count() - 41 + 41
+
+
+def test_unpadded_day_is_read(spark):
+    long = to_long(make_wide(spark, [("1/5/2024", _prices(2))]))
+    assert long.count() == 24
+    assert long.agg(F.min("timestamp")).first()[0] == T(2024, 5, 1)

@@ -172,3 +172,22 @@ def test_schema_evolution(spark, wide_text):
     merged = read_long_table(spark, path)
     assert "note" in merged.columns and merged.count() == long.count()
     assert merged.filter("month <= 6 AND note IS NOT NULL").count() == 0
+
+
+def test_same_key_rewrite_replaces_rows_with_modified_after(spark, wide_text):
+    import datetime as dt
+
+    root = scratch_path(spark, "t-samekey")
+    table = scratch_path(spark, "t-samekey-table")
+    may = wide_text.filter(F.col("Delivery day").endswith("/05/1996"))
+    write_wide_csv(may.withColumn("Hour 1", F.lit(-3.0)), root)
+    ingest(spark, root, table, IngestOptions())
+    assert spark.read.parquet(table).filter("price = -3.0").count() > 0
+    seen = read_wide_csv(spark, root).agg(F.unix_micros(F.max("file_modification_time"))).first()[0]
+    time.sleep(0.05)
+    write_wide_csv(may, root)  # version 2 of the same month file
+    after = (dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=seen)).isoformat(timespec="milliseconds")
+    ingest(spark, root, table, IngestOptions(), modified_after=after)
+    out = spark.read.parquet(table)
+    assert out.filter("price = -3.0").count() == 0
+    assert out.select("source_key").distinct().collect()[0][0] == "1996-05"
