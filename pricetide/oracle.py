@@ -130,9 +130,10 @@ ORACLE: dict[str, str] = {
     f"FROM (SELECT delivery_day, file_key, nullif(regexp_extract(file_key, '{_KEY}', 1), '') AS top_folder, "
     f"CAST(regexp_extract(file_key, '{_KEY}', 2) AS INTEGER) AS file_year, "
     f"CAST(regexp_extract(file_key, '{_KEY}', 3) AS INTEGER) AS file_month FROM (SELECT delivery_day, "
-    "'daa_market/' || CAST(year(delivery_day) AS VARCHAR) || '/' || "
-    "CASE WHEN day(delivery_day) % 2 = 0 THEN lpad(CAST(month(delivery_day) AS VARCHAR), 2, '0') "
-    "ELSE CAST(month(delivery_day) AS VARCHAR) END || '/daa_market.csv' AS file_key FROM wide) k) p",
+    "'daa_market/' || CAST(year(delivery_day) AS VARCHAR) || '/' || m || '/daa_market.csv' AS file_key "
+    "FROM wide, (SELECT 0 AS pad UNION ALL SELECT 1) p, "
+    "LATERAL (SELECT CASE WHEN pad = 1 THEN lpad(CAST(month(delivery_day) AS VARCHAR), 2, '0') "
+    "ELSE CAST(month(delivery_day) AS VARCHAR) END AS m)) k) p",
     "unpivot_include_nulls": _with(*_LONG_CHAIN[:3]) + "SELECT delivery_day, hour_name, price FROM unp",
     "unpivot_drop_null_price": _with(*_LONG_CHAIN[:3])
     + "SELECT delivery_day, hour_name, price FROM unp WHERE price IS NOT NULL AND NOT isnan(price)",

@@ -126,14 +126,15 @@ def q_csv_roundtrip_scan(spark, sf_dir):
 
 
 def q_file_key_parse(spark, sf_dir):
+    # Both ways producers write a month folder (``5`` and ``05``) for every
+    # delivery day; both must give the same source key.
     d = F.col(DAY_COLUMN)
-    month_text = F.when(F.dayofmonth(d) % 2 == 0, F.lpad(F.month(d).cast("string"), 2, "0")) \
-                  .otherwise(F.month(d).cast("string"))
-    key = F.concat(F.lit("daa_market/"), F.year(d).cast("string"), F.lit("/"), month_text,
-                   F.lit("/daa_market.csv"))
-    keys = wide(spark, sf_dir).select(DAY_COLUMN, key.alias("file_key"))
+    month = F.month(d).cast("string")
+    keys = [F.concat(F.lit("daa_market/"), F.year(d).cast("string"), F.lit("/"), m, F.lit("/daa_market.csv"))
+            for m in (month, F.lpad(month, 2, "0"))]
+    rows = wide(spark, sf_dir).select(DAY_COLUMN, F.explode(F.array(*keys)).alias("file_key"))
     parsed = parse_file_key("file_key")
-    return keys.select(DAY_COLUMN, "file_key", *[v.alias(k) for k, v in parsed.items()])
+    return rows.select(DAY_COLUMN, "file_key", *[v.alias(k) for k, v in parsed.items()])
 
 
 def q_unpivot_include_nulls(spark, sf_dir):
