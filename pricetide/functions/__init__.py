@@ -5,7 +5,6 @@ from pricetide.functions.slots import (  # noqa: F401
     parse_delivery_day,
     slot_hour,
     slot_local_timestamp,
-    slot_order,
     slot_suffix,
 )
 from pricetide.functions.tz import (  # noqa: F401

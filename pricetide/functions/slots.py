@@ -25,11 +25,6 @@ def slot_suffix(label: Column | str) -> Column:
     return F.lower(F.regexp_extract(_col(label), r"[0-9]+([A-Za-z]*)$", 1))
 
 
-def slot_order(label: Column | str) -> Column:
-    """Sort key of a slot inside its day: hour, then suffix."""
-    return slot_hour(label) * 10 + F.when(slot_suffix(label) == "b", 1).otherwise(0)
-
-
 def parse_delivery_day(day: Column | str, strict: bool = True, fmt: str = DAY_PARSE_FORMAT) -> Column:
     """Day-first text (``31/03/2019``, also ``1/5/2024``) to DATE.
 

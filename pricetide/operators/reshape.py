@@ -34,21 +34,15 @@ def _is_lineage(name: str) -> bool:
 def type_slots(df: DataFrame, slots: list[str] | None = None, strict: bool = False) -> DataFrame:
     """Cast every slot to DOUBLE (unpivot needs one type).
 
-    Text cells go through ``try_cast`` unless ``strict``; a text that is not a
-    number becomes null, and ``bad_price_cells`` counts it for quarantine.
+    Text cells go through ``try_cast`` unless ``strict``, so a text that is
+    not a number becomes null (:func:`annotate_long` reports such cells).
     """
     slots = slots if slots is not None else slot_columns(df)
-    text = [c for c in slots if isinstance(df.schema[c].dataType, T.StringType)]
-    out = df
-    if text:
-        bad = [F.when(F.col(c).isNotNull() & F.trim(F.col(c)).try_cast("double").isNull(), 1).otherwise(0)
-               for c in text]
-        out = out.withColumn("_bad_price_cells", sum(bad[1:], bad[0]))
     casts = {}
     for c in slots:
-        src = F.trim(F.col(c)) if c in text else F.col(c)
+        src = F.trim(F.col(c)) if isinstance(df.schema[c].dataType, T.StringType) else F.col(c)
         casts[c] = src.cast("double") if strict else src.try_cast("double")
-    return out.withColumns(casts)
+    return df.withColumns(casts)
 
 
 def type_delivery_day(df: DataFrame, strict: bool = True, day_column: str = DAY_COLUMN) -> DataFrame:

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricetide.schema import LONG_COLUMNS
-
 PARTITION_COLUMNS = ("year", "month", "source_key")
 
 
@@ -69,6 +67,3 @@ def read_long_table(spark: SparkSession, path: str, merge_schema: bool = True) -
     is null in older files, a dropped one stays and is null in newer files."""
     return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
-
-def long_columns(df: DataFrame) -> DataFrame:
-    return df.select(*LONG_COLUMNS)
