@@ -9,6 +9,7 @@ import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 
 TABLES = ["lineitem"]
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 # Queries that write and re-read folders are covered in test_io; here they
 # run too, but only once each.
 NAMES = sorted(entry.queries())
@@ -39,6 +40,8 @@ def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_SMALL)
     s_cols = df.columns
     s_rows = [tuple(r) for r in df.collect()]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [n for n in PYTHON_NODES if n in plan], "query must stay JVM-side"
     res = con.execute(entry.oracle_sql()[name])
     d_cols = [c[0] for c in res.description]
     d_rows = res.fetchall()
