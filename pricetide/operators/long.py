@@ -132,7 +132,8 @@ def annotate_long(wide: DataFrame, timezone: str = DEFAULT_TIMEZONE,
     regular = F.col("_regular")
     long = long.filter(filled).select(
         *ids, "hour_name", price.alias("price"), F.col("_slot.hour").alias("hour"),
-        F.col("_slot.suffix").alias("_suffix"), bad_day.alias("_bad_day"), bad_price.alias("_bad_price"))
+        F.col("_slot.suffix").alias("_suffix"), bad_day.alias("_bad_day"), bad_price.alias("_bad_price"),
+        filled.alias("_filled"))
     # Irregular days only: the slot-by-slot conversion (inside CASE branches,
     # so regular days never evaluate it).
     local = F.col("_day_start") + step
@@ -154,7 +155,11 @@ def annotate_long(wide: DataFrame, timezone: str = DEFAULT_TIMEZONE,
             .otherwise(u))
     offset = F.when(regular, F.col("_offset0")).otherwise(utc_offset_hours(F.col("timestamp"), utc))
     label = F.when(regular, F.col("_label0")).otherwise(zone_label(timezone, offset))
-    reason = (F.when(F.col("_bad_day"), F.lit(REJECT_BAD_DAY))
+    # ``_filled`` is always true here; it keeps the reason null for an empty
+    # cell even where the optimiser evaluates a policy check (which may
+    # raise) next to, rather than after, the filled-cell filter.
+    reason = (F.when(~F.col("_filled"), F.lit(None).cast("string"))
+               .when(F.col("_bad_day"), F.lit(REJECT_BAD_DAY))
                .when(F.col("_bad_price"), F.lit(REJECT_BAD_PRICE))
                .when(F.col("hour").isNull(), F.lit(REJECT_UNKNOWN_SLOT))
                .when(F.col("is_nonexistent"), F.lit(REJECT_NONEXISTENT)))
@@ -230,15 +235,16 @@ def finish_long(annotated: DataFrame, timezone: str = DEFAULT_TIMEZONE, on_nonex
     long = with_zone_columns(annotated, timezone)
     if leaving:
         long = long.filter(~F.coalesce(F.col("reject_reason").isin(leaving), F.lit(False)))
-    price = F.col("price")
     if raising:
-        # Fail fast in the task that meets the row, with the row in the message.
+        # Fail fast in the task that meets the row, with the row in the
+        # message. A filter, not a projection: column pruning (e.g. under a
+        # count) cannot remove the check.
         msg = F.concat(F.lit("rejected price cell ("), F.col("reject_reason"), F.lit("): day "),
                        F.coalesce(F.col(DAY_COLUMN).cast("string"), F.lit("?")), F.lit(" slot "),
                        F.col("hour_name"))
-        price = F.when(F.col("reject_reason").isin(raising), F.raise_error(msg)).otherwise(price)
-    cols = [price.alias(c) if c == "price" else F.col(c) for c in LONG_COLUMNS]
-    return long.select(*cols, *(keep_columns or []))
+        long = long.filter(F.when(F.col("reject_reason").isin(raising), F.raise_error(msg))
+                            .otherwise(F.lit(True)))
+    return long.select(*LONG_COLUMNS, *(keep_columns or []))
 
 
 def rejected_rows(annotated: DataFrame) -> DataFrame:

@@ -167,3 +167,23 @@ def test_unpadded_day_is_read(spark):
     long = to_long(make_wide(spark, [("1/5/2024", _prices(2))]))
     assert long.count() == 24
     assert long.agg(F.min("timestamp")).first()[0] == T(2024, 5, 1)
+
+
+def test_hot_day_holding_a_third_of_rows(spark):
+    # 200 copies of one day next to 400 distinct days: nothing is dropped,
+    # the checks count every copy.
+    base = dt.date(2020, 1, 1)
+    days = [((base + dt.timedelta(days=i)).strftime("%d/%m/%Y"), _prices(i)) for i in range(400)]
+    hot = [("15/06/2020", _prices(999))] * 200
+    wide = make_wide(spark, days + hot).repartition(8)
+    with pytest.raises(Exception, match="nonexistent_local_time"):
+        to_long(wide).count()  # the priced 02:00 of 29 March 2020, even under a count
+    long = to_long(wide, on_nonexistent="drop")
+    assert long.count() == (400 + 200) * 24 - 1
+    report = {r[DAY_COLUMN]: r for r in quality_report(wide, long).collect()}
+    hot_day = report[dt.date(2020, 6, 15)]
+    assert (hot_day.n_wide_rows, hot_day.n_hours, hot_day.n_duplicate_hours) == (201, 201 * 24, 200 * 24)
+    assert hot_day.status == "duplicate_hours"
+    assert report[dt.date(2020, 3, 29)].violation == "skipped_hour_priced"
+    assert report[dt.date(2020, 10, 25)].violation == "repeated_hour_missing"
+    assert sum(1 for r in report.values() if r.status == "ok") == 400 - 3
