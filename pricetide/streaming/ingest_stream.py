@@ -9,6 +9,7 @@ after a newer version of its key was already written.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -66,10 +67,14 @@ def start_ingest_stream(spark: SparkSession, source: str, target: str, checkpoin
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         wide, latest = _newer_than_written(batch, versions_path)
+        # One row per file: kept for the semi join and the versions log
+        # (recomputed from the batch if an executor is lost).
+        latest.persist(StorageLevel.MEMORY_AND_DISK)
         ingest_frame(wide, target, options)
         (latest.select("source_key", "file_path", "file_modification_time")
                .withColumn("epoch_id", F.lit(epoch_id))
                .write.mode("append").parquet(versions_path))
+        latest.unpersist()
         if options.database and options.table:
             if spark.catalog.tableExists(f"{options.database}.{options.table}"):
                 refresh_table(spark, options.database, options.table)
