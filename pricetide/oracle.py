@@ -169,7 +169,7 @@ ORACLE: dict[str, str] = {
     "CAST(CAST(sum(cents) AS BIGINT) / 100.0 AS DOUBLE) AS sum_price, "
     "CAST(sign(sum(cents)) * ((abs(sum(cents)) * 2 + count(*)) // (2 * count(*))) AS BIGINT) / 100.0 "
     "AS avg_price FROM c GROUP BY year, month, timezone",
-    "wide_to_long_full": _FULL_LONG + f"SELECT {_LONG6} FROM long ORDER BY timestamp_utc, " + _q("timestamp"),
+    "wide_to_long_full": _FULL_LONG + f"SELECT {_LONG6} FROM long ORDER BY timestamp_utc, " + _q("timestamp") + ", price, timezone",
     "dst_calendar": _with(_CELLS, _WIDE, _SPINE, _CALENDAR)
     + f"SELECT delivery_day, hours_in_day, {_day_kind('hours_in_day')} AS day_kind FROM calendar",
     "slot_pattern_violations": _with(_CELLS, _WIDE, _VIOLATIONS)

@@ -207,7 +207,9 @@ def q_monthly_price_summary(spark, sf_dir):
 
 
 def q_wide_to_long_full(spark, sf_dir):
-    return _long(spark, sf_dir).orderBy("timestamp_utc", "timestamp")
+    # UTC order (O1). The whole row is the sort key, so range partitioning
+    # can still split a UTC hour that repeats across many rows.
+    return _long(spark, sf_dir).orderBy("timestamp_utc", "timestamp", "price", "timezone")
 
 
 # -- quality ----------------------------------------------------------------
