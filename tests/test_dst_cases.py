@@ -187,3 +187,19 @@ def test_hot_day_holding_a_third_of_rows(spark):
     assert report[dt.date(2020, 3, 29)].violation == "skipped_hour_priced"
     assert report[dt.date(2020, 10, 25)].violation == "repeated_hour_missing"
     assert sum(1 for r in report.values() if r.status == "ok") == 400 - 3
+
+
+@pytest.mark.parametrize("policy,utc_hour", [("first", 0), ("second", 1)])
+def test_repeated_hour_without_suffix_follows_policy(spark, policy, utc_hour):
+    cols = ", ".join(["delivery_day string"] + [f"hour_{i} double" for i in range(1, 25)])
+    wide = spark.createDataFrame([tuple(["27/10/2019"] + [float(i) for i in range(1, 25)])], cols)
+    row = to_long(wide, on_ambiguous=policy).filter("price = 3.0").first()
+    assert (row.timestamp, row.timestamp_utc) == (T(2019, 10, 27, 2), T(2019, 10, 27, utc_hour))
+
+
+def test_repeated_hour_without_suffix_can_raise(spark):
+    cols = ", ".join(["delivery_day string"] + [f"hour_{i} double" for i in range(1, 25)])
+    wide = spark.createDataFrame([tuple(["27/10/2019"] + [float(i) for i in range(1, 25)])], cols)
+    with pytest.raises(Exception, match="unresolved_ambiguous_time"):
+        to_long(wide, on_ambiguous="raise").count()
+    assert to_long(wide, on_ambiguous="raise", on_invalid="drop").count() == 23

@@ -191,3 +191,19 @@ def test_same_key_rewrite_replaces_rows_with_modified_after(spark, wide_text):
     out = spark.read.parquet(table)
     assert out.filter("price = -3.0").count() == 0
     assert out.select("source_key").distinct().collect()[0][0] == "1996-05"
+
+
+def test_range_sql_equals_range_read(spark, wide_text):
+    from pricetide.operators.long import to_long
+    from pricetide.plans.query import range_sql
+
+    path = scratch_path(spark, "t-rangesql")
+    long = to_long(wide_text, on_nonexistent="drop").withColumn(
+        "source_key", F.format_string("%04d-%02d", "year", "month"))
+    write_long_table(long, path)
+    name = register_table(spark, path, "energy_market_test", "r_" + path.rsplit("-", 1)[-1])
+    for by, lo, hi in [("local", "1996-10-26 00:00:00", "1996-10-28 00:00:00"),
+                       ("utc", "1997-03-29 22:00:00", "1997-04-01 03:00:00")]:
+        a = sorted(tuple(r) for r in read_range(spark.table(name), lo, hi, by=by).select(*LONG_COLUMNS).collect())
+        b = sorted(tuple(r) for r in spark.sql(range_sql(name, lo, hi, by=by)).select(*LONG_COLUMNS).collect())
+        assert a == b and a
