@@ -59,15 +59,17 @@ def slot_pattern_violations(wide: DataFrame, timezone: str = DEFAULT_TIMEZONE) -
     kind = day_kind(hours_in_day(DAY_COLUMN, timezone))
     checked = df.select(DAY_COLUMN, kind.alias("day_kind"),
                         a_set.alias("hour_3a_set"), b_set.alias("hour_3b_set"))
-    violation = (F.when((F.col("day_kind") == "normal") & F.col("hour_3b_set"), VIOLATION_3B_ON_NORMAL_DAY)
-                  .when((F.col("day_kind") == "normal") & ~F.col("hour_3a_set"), VIOLATION_3A_MISSING)
-                  .when((F.col("day_kind") == "spring_forward") & (F.col("hour_3a_set") | F.col("hour_3b_set")),
-                        VIOLATION_SKIPPED_HOUR_PRICED)
-                  .when((F.col("day_kind") == "fall_back") & ~(F.col("hour_3a_set") & F.col("hour_3b_set")),
-                        VIOLATION_REPEATED_HOUR_MISSING))
+    violation = _violation(F.col("day_kind"), F.col("hour_3a_set"), F.col("hour_3b_set"))
     return checked.withColumn("violation", violation).filter(F.col("violation").isNotNull())
 
 
+def _violation(kind: Column, a_set: Column, b_set: Column) -> Column:
+    return (F.when((kind == "normal") & b_set, VIOLATION_3B_ON_NORMAL_DAY)
+             .when((kind == "normal") & ~a_set, VIOLATION_3A_MISSING)
+             .when((kind == "spring_forward") & (a_set | b_set), VIOLATION_SKIPPED_HOUR_PRICED)
+             .when((kind == "fall_back") & ~(a_set & b_set), VIOLATION_REPEATED_HOUR_MISSING))
+
+
 def all_null(value: Column, where: Column | None = None) -> Column:
     """``true`` when every value (of the rows matching ``where``) is null or
     NaN; an empty set counts as all-null (A1)."""
@@ -133,11 +135,20 @@ def quality_report(wide: DataFrame, long: DataFrame, timezone: str = DEFAULT_TIM
     All inputs are reduced to one row per day before they meet, so the joins
     are between small per-day tables (AQE broadcasts them when measured
     small)."""
+    # Wide side in one aggregation: rows and first violation per day; the
+    # spine's bounds come from the same per-day table. When the wide input is
+    # costly to produce, checkpoint it first (it is one row per day and file):
+    # the wide side, the spine and the long side then read it, not its source.
     wide_n = typed_wide(wide)
-    calendar = dst_calendar(day_spine(wide_n), timezone)
-    wide_days = (wide_n.groupBy(DAY_COLUMN).agg(F.count(F.lit(1)).alias("n_wide_rows")))
-    violations = (slot_pattern_violations(wide_n, timezone)
-                  .groupBy(DAY_COLUMN).agg(F.min("violation").alias("violation")))
+    a_set = F.col("hour_3a").isNotNull() & ~F.isnan("hour_3a")
+    b_set = F.col("hour_3b").isNotNull() & ~F.isnan("hour_3b")
+    kind = day_kind(hours_in_day(DAY_COLUMN, timezone))
+    per_day = (wide_n.select(DAY_COLUMN, _violation(kind, a_set, b_set).alias("violation"))
+                     .groupBy(DAY_COLUMN)
+                     .agg(F.count(F.lit(1)).alias("n_wide_rows"), F.min("violation").alias("violation")))
+    bounds = per_day.agg(F.min(DAY_COLUMN).alias("_lo"), F.max(DAY_COLUMN).alias("_hi"))
+    spine = bounds.select(F.explode(F.sequence("_lo", "_hi")).alias(DAY_COLUMN))
+    calendar = dst_calendar(spine, timezone)
     steps = _with_steps(_hour_counts(long))
     long_days = (steps.groupBy(DAY_COLUMN)
                       .agg(F.sum("n_rows").alias("n_hours"),
@@ -145,9 +156,8 @@ def quality_report(wide: DataFrame, long: DataFrame, timezone: str = DEFAULT_TIM
                            F.count(F.when(F.col("prev_timestamp_utc").isNotNull()
                                           & (F.col("step_seconds") != EXPECTED_STEP_SECONDS), 1))
                             .alias("n_irregular_steps")))
-    report = (calendar.join(wide_days, DAY_COLUMN, "left")
+    report = (calendar.join(per_day, DAY_COLUMN, "left")
                       .join(long_days, DAY_COLUMN, "left")
-                      .join(violations, DAY_COLUMN, "left")
                       .fillna(0, subset=["n_wide_rows", "n_hours", "n_duplicate_hours", "n_irregular_steps"]))
     status = (F.when(F.col("n_wide_rows") == 0, "missing_day")
                .when(F.col("violation").isNotNull(), "slot_pattern")

@@ -46,7 +46,7 @@ from pricetide.schema import (
     SLOT_COLUMNS,
     SLOT_HEADERS,
 )
-from pricetide.session import scratch_path
+from pricetide.session import ensure_checkpoint_dir, scratch_path
 from pricetide.sources.csv_wide import read_wide_csv, write_wide_csv
 from pricetide.sources.file_keys import latest_versions, parse_file_key, with_file_key
 from pricetide.sources.lineitem import read_table, wide_prices, wide_prices_typed
@@ -235,7 +235,10 @@ def q_utc_hour_gaps(spark, sf_dir):
 
 
 def q_quality_report(spark, sf_dir):
-    w = wide(spark, sf_dir)
+    # The report reads the wide frame three times; derived from lineitem it
+    # is worth cutting its lineage once (checkpoint in the shared folder).
+    ensure_checkpoint_dir(spark)
+    w = wide(spark, sf_dir).checkpoint(eager=True)
     return quality_report(w, to_long(w, TZ, on_nonexistent="drop"), TZ)
 
 
