@@ -46,7 +46,7 @@ from pricetide.schema import (
     SLOT_COLUMNS,
     SLOT_HEADERS,
 )
-from pricetide.session import ensure_checkpoint_dir, scratch_path
+from pricetide.session import materialize, scratch_path
 from pricetide.sources.csv_wide import read_wide_csv, write_wide_csv
 from pricetide.sources.file_keys import latest_versions, parse_file_key, with_file_key
 from pricetide.sources.lineitem import read_table, wide_prices, wide_prices_typed
@@ -92,7 +92,9 @@ def _partial_and_complete(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
     """Two versions of every month file in text form: the first lacks the
     month's last delivery day (as a file appended to day by day), the second
     is complete."""
-    w = wide_text(spark, sf_dir)
+    # Several writes read this frame: derive it from lineitem once and cut
+    # its lineage (a table in the shared folder; one row per day).
+    w = materialize(wide_text(spark, sf_dir), spark, "wide-text")
     day = parse_delivery_day(DAY_HEADER)
     month = Window.partitionBy(F.year(day), F.month(day))  # a month: at most 31 rows
     partial = (w.withColumn("_last", F.max(day).over(month))
@@ -236,9 +238,8 @@ def q_utc_hour_gaps(spark, sf_dir):
 
 def q_quality_report(spark, sf_dir):
     # The report reads the wide frame three times; derived from lineitem it
-    # is worth cutting its lineage once (checkpoint in the shared folder).
-    ensure_checkpoint_dir(spark)
-    w = wide(spark, sf_dir).checkpoint(eager=True)
+    # is worth cutting its lineage once (a table in the shared folder).
+    w = materialize(wide(spark, sf_dir), spark, "wide")
     return quality_report(w, to_long(w, TZ, on_nonexistent="drop"), TZ)
 
 

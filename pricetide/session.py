@@ -73,3 +73,13 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     """
     root = ensure_checkpoint_dir(spark)
     return f"{root}/pricetide-scratch/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, spark: SparkSession, purpose: str):
+    """Write ``df`` as a Parquet table in a new folder under the shared
+    checkpoint folder and return a read of it: cuts the lineage of a small
+    frame that several later jobs read (columnar, column-pruned re-reads;
+    survives the loss of an executor, unlike a local checkpoint)."""
+    path = scratch_path(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
