@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricetide.functions.slots import parse_delivery_day
 from pricetide.operators.long import annotate_long, long_with_nulls, to_long, with_zone_columns
@@ -61,7 +62,7 @@ UTC_RANGE = ("1998-03-28 22:00:00", "1998-10-26 00:00:00")
 # Months rewritten by the partition-overwrite query (first half of each year).
 OVERWRITE_LAST_MONTH = 6
 
-TABLE_SCHEMA = LONG_SCHEMA.add("source_key", "string")
+TABLE_SCHEMA = T.StructType(LONG_SCHEMA.fields + [T.StructField("source_key", T.StringType(), True)])
 
 
 # -- inputs -----------------------------------------------------------------
