@@ -1,7 +1,7 @@
 """File -> table job (X2): scan, key, latest version, transform, write.
 
-Run as a job: ``spark-submit -m pricetide.plans.ingest --source <files> --target <table folder>``
-(or ``python -m pricetide.plans.ingest ...``).
+Run as a job: ``spark-submit --py-files pricetide.zip ingest_job.py --source <files> --target <table folder>``
+(locally ``python -m pricetide.plans.ingest ...``).
 """
 
 from __future__ import annotations

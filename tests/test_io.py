@@ -207,3 +207,15 @@ def test_range_sql_equals_range_read(spark, wide_text):
         a = sorted(tuple(r) for r in read_range(spark.table(name), lo, hi, by=by).select(*LONG_COLUMNS).collect())
         b = sorted(tuple(r) for r in spark.sql(range_sql(name, lo, hi, by=by)).select(*LONG_COLUMNS).collect())
         assert a == b and a
+
+
+def test_ingest_job_entry_point(spark, wide_text):
+    from pricetide.plans.ingest import main
+
+    root = scratch_path(spark, "t-cli-src")
+    table = scratch_path(spark, "t-cli-table")
+    quarantine = scratch_path(spark, "t-cli-q")
+    write_wide_csv(wide_text, root)
+    main(["--source", root, "--target", table, "--quarantine", quarantine])
+    assert spark.read.parquet(table).count() > 0
+    assert spark.read.parquet(quarantine).count() >= 1
