@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pricetide.llm.simhash import q_simhash
 from pricetide.llm.toxicity import q_toxicity
 
 QUERIES = {
+    "op3_simhash": q_simhash,
     "op6_toxicity": q_toxicity,
 }
 
