@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from pricetide.llm.decontam import Q_DECONTAMINATION_SQL, q_decontamination
 from pricetide.llm.simhash import q_simhash
 from pricetide.llm.toxicity import q_toxicity
 
 QUERIES = {
+    "op2_decontamination": q_decontamination,
     "op3_simhash": q_simhash,
     "op6_toxicity": q_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_decontamination": Q_DECONTAMINATION_SQL,
+}
