@@ -252,7 +252,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = No
                    .groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic")))
     calibrates = (F.xxhash64("doc_id") % 4) == 0
     training = (docs.select("doc_id", "text").filter(learn & ~calibrates)
-                    .join(marks, "doc_id").select("text", "toxic"))
+                    .join(marks.hint("merge"), "doc_id").select("text", "toxic"))
     odds = TokenOdds.counted(token_counts(training))
     table = stored(segments(docs, odds, [F.monotonically_increasing_id().alias("rid"), "doc_id"]), "segments")
     held = table.join(marks.filter(calibrates), "doc_id")
