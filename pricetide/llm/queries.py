@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pricetide.llm.decontam import Q_DECONTAMINATION_SQL, q_decontamination
 from pricetide.llm.mixing import q_mixing
+from pricetide.llm.secrets import q_secrets
 from pricetide.llm.simhash import q_simhash
 from pricetide.llm.toxicity import q_toxicity
 
 QUERIES = {
+    "op9_secrets": q_secrets,
     "op1_mixing": q_mixing,
     "op2_decontamination": q_decontamination,
     "op3_simhash": q_simhash,
