@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 
 from pricetide.llm.common import id_bucket, small_text_batches, stored
 
-HASH_BITS = 20
+HASH_BITS = 19
 PREFIXES = (3, 4, 6)
 PRIOR = 6.0          # pseudo-documents that each prior is worth
 DRIFT = 0.7          # subtracted from every token's log-odds
@@ -100,15 +100,17 @@ class TokenOdds:
 
     @classmethod
     def counted(cls, counts: DataFrame) -> "TokenOdds":
-        rows = counts.toPandas()  # at most 2 ** HASH_BITS + 1 rows
-        sides = []
-        words = rows[rows.slot == -1]
-        rows = rows[rows.slot >= 0]
-        for c in ("toxic_docs", "clean_docs"):
-            side = np.zeros(1 << HASH_BITS, np.float32)
-            side[rows.slot.to_numpy()] = rows[c].to_numpy()
-            sides.append(side)
-        return cls(*sides, (float(words.toxic_docs.sum()), float(words.clean_docs.sum())))
+        # At most 2 ** HASH_BITS + 1 narrow rows.
+        rows = counts.select(F.col("slot").cast("int"), F.col("toxic_docs").cast("float"),
+                             F.col("clean_docs").cast("float")).toArrow()
+        slot, *sides = (rows.column(i).to_numpy() for i in range(3))
+        out, words = [], []
+        for side in sides:
+            table = np.zeros(1 << HASH_BITS, np.float32)
+            table[slot[slot >= 0]] = side[slot >= 0]
+            out.append(table)
+            words.append(float(side[slot < 0].sum()))
+        return cls(*out, tuple(words))
 
     def score(self, word: str) -> float:
         if not self.trained:
