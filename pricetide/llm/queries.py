@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pricetide.llm.ann import Q_NEIGHBOURS_SQL, q_neighbours
 from pricetide.llm.decontam import Q_DECONTAMINATION_SQL, q_decontamination
 from pricetide.llm.mixing import q_mixing
 from pricetide.llm.secrets import q_secrets
@@ -9,6 +10,7 @@ from pricetide.llm.simhash import q_simhash
 from pricetide.llm.toxicity import q_toxicity
 
 QUERIES = {
+    "op5_neighbours": q_neighbours,
     "op9_secrets": q_secrets,
     "op1_mixing": q_mixing,
     "op2_decontamination": q_decontamination,
@@ -17,5 +19,6 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op5_neighbours": Q_NEIGHBOURS_SQL,
     "op2_decontamination": Q_DECONTAMINATION_SQL,
 }
