@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pricetide.llm.ann import Q_NEIGHBOURS_SQL, q_neighbours
 from pricetide.llm.decontam import Q_DECONTAMINATION_SQL, q_decontamination
+from pricetide.llm.langid import q_language
 from pricetide.llm.mixing import q_mixing
 from pricetide.llm.secrets import q_secrets
 from pricetide.llm.simhash import q_simhash
 from pricetide.llm.toxicity import q_toxicity
 
 QUERIES = {
+    "op7_language": q_language,
     "op5_neighbours": q_neighbours,
     "op9_secrets": q_secrets,
     "op1_mixing": q_mixing,
