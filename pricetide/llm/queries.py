@@ -9,8 +9,10 @@ from pricetide.llm.mixing import q_mixing
 from pricetide.llm.secrets import q_secrets
 from pricetide.llm.simhash import q_simhash
 from pricetide.llm.toxicity import q_toxicity
+from pricetide.llm.urlfilter import Q_URLS_SQL, q_urls
 
 QUERIES = {
+    "op10_urls": q_urls,
     "op7_language": q_language,
     "op5_neighbours": q_neighbours,
     "op9_secrets": q_secrets,
@@ -21,6 +23,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op10_urls": Q_URLS_SQL,
     "op5_neighbours": Q_NEIGHBOURS_SQL,
     "op2_decontamination": Q_DECONTAMINATION_SQL,
 }
