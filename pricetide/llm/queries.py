@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pricetide.llm.ann import Q_NEIGHBOURS_SQL, q_neighbours
+from pricetide.llm.chat import q_chat
 from pricetide.llm.decontam import Q_DECONTAMINATION_SQL, q_decontamination
 from pricetide.llm.langid import q_language
 from pricetide.llm.mixing import q_mixing
@@ -12,6 +13,7 @@ from pricetide.llm.toxicity import q_toxicity
 from pricetide.llm.urlfilter import Q_URLS_SQL, q_urls
 
 QUERIES = {
+    "op8_chat": q_chat,
     "op10_urls": q_urls,
     "op7_language": q_language,
     "op5_neighbours": q_neighbours,
