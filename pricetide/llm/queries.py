@@ -11,21 +11,24 @@ from pricetide.llm.secrets import q_secrets
 from pricetide.llm.simhash import q_simhash
 from pricetide.llm.toxicity import q_toxicity
 from pricetide.llm.urlfilter import Q_URLS_SQL, q_urls
+from pricetide.llm.warc import Q_WARC_SQL, q_warc
 
 QUERIES = {
-    "op8_chat": q_chat,
-    "op10_urls": q_urls,
-    "op7_language": q_language,
-    "op5_neighbours": q_neighbours,
-    "op9_secrets": q_secrets,
     "op1_mixing": q_mixing,
     "op2_decontamination": q_decontamination,
     "op3_simhash": q_simhash,
+    "op4_warc": q_warc,
+    "op5_neighbours": q_neighbours,
     "op6_toxicity": q_toxicity,
+    "op7_language": q_language,
+    "op8_chat": q_chat,
+    "op9_secrets": q_secrets,
+    "op10_urls": q_urls,
 }
 
 ORACLE: dict[str, str] = {
-    "op10_urls": Q_URLS_SQL,
-    "op5_neighbours": Q_NEIGHBOURS_SQL,
     "op2_decontamination": Q_DECONTAMINATION_SQL,
+    "op4_warc": Q_WARC_SQL,
+    "op5_neighbours": Q_NEIGHBOURS_SQL,
+    "op10_urls": Q_URLS_SQL,
 }
