@@ -48,7 +48,11 @@ MIN_SEGMENT = 1.0    # segments below carry no evidence and are not kept
 WORD_CACHE = 400_000  # words whose slots or score a task remembers at once
 THRESHOLD = 0.7
 WORD = re.compile(r"\w+")
-SEGMENTS = T.StructType.fromDDL("n_tokens long, segments array<struct<start:int,end:int,score:double>>")
+SEGMENTS = T.StructType([
+    T.StructField("n_tokens", T.LongType()),
+    T.StructField("segments", T.ArrayType(T.StructType([
+        T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()),
+        T.StructField("score", T.DoubleType())])))])
 
 
 def _slots(word: str) -> tuple[int, ...]:
