@@ -66,17 +66,19 @@ def fingerprint(data: bytes, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every row of ``docs`` (doc_id, text)."""
+    """(doc_id, text_hash, fp) of every row of ``docs`` (doc_id, text)."""
 
     def scan(batches):
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
+            texts = batch.column(2).cast(pa.binary())
             fps = [fingerprint(t.as_py() or b"", shingle) for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fps, pa.int64())],
+                                             names=["doc_id", "text_hash", "fp"])
 
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))
-    kept = docs.select("doc_id", "text")
-    return kept.mapInArrow(scan, f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, fp long")
+    kept = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    kind = kept.schema["doc_id"].dataType.simpleString()
+    return kept.mapInArrow(scan, f"doc_id {kind}, text_hash long, fp long")
 
 
 # -- partitions and thresholds -----------------------------------------------
@@ -166,13 +168,13 @@ def _spanning(index: np.ndarray, label: np.ndarray, rows: np.ndarray, max_bits:
         part = rows[start:start + block]
         close = np.bitwise_count(part[:, None] ^ index[None, :]) <= max_bits
         for i in np.flatnonzero(close.any(axis=1)).tolist():
-            groups = np.unique(label[close[i]])
-            first = groups[0]
-            if part[i] != index[first]:
-                out.append((part[i], index[first]))
-            for other in groups[1:]:
-                out.append((index[other], index[first]))
-                label[label == other] = first
+            near = np.flatnonzero(close[i])
+            groups, member = np.unique(label[near], return_index=True)
+            for group, j in zip(groups, near[member]):
+                if part[i] != index[j]:
+                    out.append((part[i], index[j]))
+                if group != groups[0]:
+                    label[label == group] = groups[0]
     return out
 
 
@@ -314,8 +316,9 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``: the smallest
-    doc_id reachable over links of at most ``max_bits`` differing bits."""
+    """(fp, doc_id, text_hash, group, component_id) for every row of ``docs``:
+    ``group`` names the component by a fingerprint, ``component_id`` by the
+    smallest doc_id reachable over links of at most ``max_bits`` bits."""
     each = stored(fingerprints(docs, shingle), "fingerprints")
     distinct = stored(each.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     links = fingerprint_links(distinct.select("fp"), max_bits)
@@ -323,7 +326,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     named = distinct.join(nodes, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("group"))
     smallest = named.groupBy("group").agg(F.min("least").alias("component_id"))
-    return each.join(named.join(smallest, "group").select("fp", "component_id"), "fp")
+    return each.join(named.join(smallest, "group").select("fp", "group", "component_id"), "fp")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
@@ -336,11 +339,12 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     kept = docs.join(stay, F.col("doc_id") == F.col("__stay"), "left_semi")
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
     kept = kept.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
-    nameless = docs.filter("doc_id is null")
-    if found.filter("component_id is null").limit(1).count():
-        one = Window.partitionBy(F.xxhash64("text")).orderBy("text")
-        kept = kept.unionByName(nameless.withColumn("__rank", F.row_number().over(one))
-                                .filter("__rank = 1").drop("__rank"))
+    unnamed = found.filter("component_id is null").groupBy("group").agg(F.min("text_hash").alias("__hash"))
+    one = Window.partitionBy("__text").orderBy("text")
+    nameless = (docs.filter("doc_id is null").withColumn("__text", F.xxhash64("text"))
+                    .join(unnamed.select("__hash"), F.col("__text") == F.col("__hash"), "left_semi")
+                    .withColumn("__rank", F.row_number().over(one)).filter("__rank = 1").drop("__rank", "__text"))
+    kept = kept.unionByName(nameless)
     return kept
 
 
