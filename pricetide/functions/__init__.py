@@ -5,7 +5,6 @@ from pricetide.functions.slots import (  # noqa: F401
     parse_delivery_day,
     slot_hour,
     slot_local_timestamp,
-    slot_suffix,
 )
 from pricetide.functions.tz import (  # noqa: F401
     DAY_KINDS,
@@ -13,7 +12,6 @@ from pricetide.functions.tz import (  # noqa: F401
     hours_in_day,
     is_ambiguous,
     is_nonexistent,
-    local_to_utc,
     local_to_utc_naive,
     utc_offset_hours,
     zone_label,

@@ -20,11 +20,6 @@ def slot_hour(label: Column | str) -> Column:
     return F.regexp_extract(_col(label), r"([0-9]+)", 1).try_cast("int")
 
 
-def slot_suffix(label: Column | str) -> Column:
-    """Letter after the digits (``hour_3b`` -> ``b``), empty if none."""
-    return F.lower(F.regexp_extract(_col(label), r"[0-9]+([A-Za-z]*)$", 1))
-
-
 def parse_delivery_day(day: Column | str, strict: bool = True, fmt: str = DAY_PARSE_FORMAT) -> Column:
     """Day-first text (``31/03/2019``, also ``1/5/2024``) to DATE.
 

@@ -46,15 +46,6 @@ def is_ambiguous(local: Column | str, tz: str, utc_first: Column | None = None)
     return utc_to_local(u + one_hour(), tz) == _col(local)
 
 
-def local_to_utc(local: Column | str, tz: str, take_second: Column,
-                 utc_first: Column | None = None) -> Column:
-    """UTC of a wall time; on an ambiguous one ``take_second`` picks the
-    later instant (standard time) instead of the first (C8/C9)."""
-    u = local_to_utc_naive(local, tz) if utc_first is None else utc_first
-    second = is_ambiguous(local, tz, u) & F.coalesce(take_second, F.lit(False))
-    return F.when(second, u + one_hour()).otherwise(u)
-
-
 def utc_offset_hours(local: Column | str, utc: Column | str) -> Column:
     """Whole hours between wall time and UTC, truncated toward zero."""
     return (_col(local) - _col(utc)).cast("interval hour").cast("int")

@@ -25,6 +25,5 @@ from pricetide.operators.reshape import (  # noqa: F401
     snake_case_columns,
     split_by,
     union_parts,
-    unpivot_slots,
     with_slot_time,
 )

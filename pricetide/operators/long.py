@@ -23,7 +23,7 @@ from pricetide.functions.tz import (
     zone_label,
 )
 from pricetide.operators.reshape import lineage_columns, slot_columns, snake_case_columns
-from pricetide.schema import DAY_COLUMN, DEFAULT_TIMEZONE, LONG_COLUMNS
+from pricetide.schema import DAY_COLUMN, DEFAULT_TIMEZONE, LONG_COLUMNS, NULL_MARKERS
 
 _SLOT_NAME = re.compile(r"^hour_[0-9]+[a-z]?$")
 _POLICIES = ("raise", "drop", "quarantine")
@@ -34,6 +34,8 @@ REJECT_BAD_PRICE = "bad_price"
 REJECT_UNKNOWN_SLOT = "unknown_slot"
 REJECT_NONEXISTENT = "nonexistent_local_time"
 REJECT_AMBIGUOUS = "unresolved_ambiguous_time"
+REJECT_MALFORMED = "malformed_line"
+REJECT_UNKEYED = "unkeyed_file"
 
 
 def normalise_wide(wide: DataFrame) -> DataFrame:
@@ -56,7 +58,8 @@ def annotate_long(wide: DataFrame, timezone: str = DEFAULT_TIMEZONE,
 
     Columns: delivery_day, hour_name, hour, price, timestamp, timestamp_utc,
     utc_offset, timezone, year, month, is_ambiguous, is_nonexistent,
-    reject_reason, plus lineage columns.
+    reject_reason, plus lineage columns and, where the input is text,
+    ``delivery_day_text`` and ``cell_text`` as they were.
 
     Ambiguous wall times (the hour a fall-back day repeats) are resolved by
     the slot label: suffix ``a`` = first occurrence (summer time), ``b`` =
@@ -78,11 +81,10 @@ def annotate_long(wide: DataFrame, timezone: str = DEFAULT_TIMEZONE,
         day = parse_delivery_day(day_text, strict=False)
         day_cols = [day.alias(DAY_COLUMN), day_text.alias("_day_text")]
         lineage = lineage + ["_day_text"]
-        bad_day = F.col("_day_text").isNotNull() & F.col(DAY_COLUMN).isNull()
     else:
         day = F.col(DAY_COLUMN) if isinstance(day_type, T.DateType) else F.col(DAY_COLUMN).cast("date")
         day_cols = [day.alias(DAY_COLUMN)]
-        bad_day = F.col(DAY_COLUMN).isNull()
+    bad_day = F.col(DAY_COLUMN).isNull()  # unreadable or empty
 
     # Slot number and suffix come from the column names: known on the driver,
     # so they travel through the unpivot as literals instead of being parsed
@@ -119,11 +121,13 @@ def annotate_long(wide: DataFrame, timezone: str = DEFAULT_TIMEZONE,
 
     if text_slots:
         # Cells arrive as text, so each bad number is caught per cell.
-        cell_text = F.nullif(F.trim(F.col("_slot.v")), F.lit(""))
+        cell_text = F.trim(F.col("_slot.v"))
+        cell_text = F.when(~cell_text.isin(NULL_MARKERS), cell_text)
         price = cell_text.try_cast("double")
         filled = cell_text.isNotNull() & ~(price.isNotNull() & F.isnan(price))
         bad_price = cell_text.isNotNull() & price.isNull()
     else:
+        cell_text = None
         price = F.col("_slot.v")
         filled = price.isNotNull() & ~F.isnan(price)
         bad_price = F.lit(False)
@@ -133,7 +137,7 @@ def annotate_long(wide: DataFrame, timezone: str = DEFAULT_TIMEZONE,
     long = long.filter(filled).select(
         *ids, "hour_name", price.alias("price"), F.col("_slot.hour").alias("hour"),
         F.col("_slot.suffix").alias("_suffix"), bad_day.alias("_bad_day"), bad_price.alias("_bad_price"),
-        filled.alias("_filled"))
+        filled.alias("_filled"), *([] if cell_text is None else [cell_text.alias("_cell_text")]))
     # Irregular days only: the slot-by-slot conversion (inside CASE branches,
     # so regular days never evaluate it).
     local = F.col("_day_start") + step
@@ -171,6 +175,8 @@ def annotate_long(wide: DataFrame, timezone: str = DEFAULT_TIMEZONE,
     keep += [c for c in lineage if c != "_day_text"]
     if "_day_text" in lineage:
         keep.append(F.col("_day_text").alias("delivery_day_text"))
+    if text_slots:
+        keep.append(F.col("_cell_text").alias("cell_text"))
     return long.select(*keep)
 
 

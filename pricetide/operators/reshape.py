@@ -56,17 +56,6 @@ def type_delivery_day(df: DataFrame, strict: bool = True, day_column: str = DAY_
     return df.withColumn(day_column, F.col(day_column).cast("date"))
 
 
-def unpivot_slots(df: DataFrame, slots: list[str] | None = None, day_column: str = DAY_COLUMN,
-                  keep: list[str] | None = None) -> DataFrame:
-    """Wide -> long: one row per (day, slot), null cells kept.
-
-    Plans as a single ``Expand``: narrow, no shuffle, codegen'd.
-    """
-    slots = slots if slots is not None else slot_columns(df, day_column)
-    ids = [day_column] + (keep if keep is not None else lineage_columns(df))
-    return df.unpivot(ids, slots, "hour_name", "price")
-
-
 def drop_missing_price(df: DataFrame) -> DataFrame:
     """Drop rows whose price is null or NaN."""
     return df.dropna(subset=["price"])

@@ -1,4 +1,4 @@
-"""File -> table job (X2): scan, key, latest version, transform, write.
+"""File -> table job (X2): list, key, latest version, transform, write.
 
 Run as a job: ``spark-submit --py-files pricetide.zip ingest_job.py --source <files> --target <table folder>``
 (locally ``python -m pricetide.plans.ingest ...``).
@@ -9,68 +9,162 @@ from __future__ import annotations
 import argparse
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pricetide.operators.long import annotate_long, finish_long, rejected_rows
-from pricetide.plans.sink import register_table, write_long_table
-from pricetide.schema import DEFAULT_TIMEZONE
-from pricetide.sources.csv_wide import read_wide_csv
-from pricetide.sources.file_keys import latest_versions, with_file_key
+from pricetide.operators.long import (
+    REJECT_MALFORMED,
+    REJECT_UNKEYED,
+    annotate_long,
+    finish_long,
+    rejected_rows,
+)
+from pricetide.plans.sink import register_table, replace_keys
+from pricetide.plans.versions import not_older, read_versions, write_versions
+from pricetide.schema import DAY_HEADER, DEFAULT_TIMEZONE, WIDE_TEXT_SCHEMA
+from pricetide.sources.csv_wide import MALFORMED_COLUMN, read_wide_csv
+from pricetide.sources.file_keys import UNKEYED, latest_files, list_files, with_file_key
+
+POLICIES = ("raise", "drop", "quarantine")
 
 
 @dataclass
 class IngestOptions:
+    """``on_nonexistent`` treats priced skipped hours; ``on_invalid`` cells with
+    a bad day or price, malformed lines and files without a key. Each is
+    ``raise`` (default), ``drop`` or ``quarantine``, which needs
+    ``quarantine_path``: nothing is lost unless dropping is asked for."""
+
     timezone: str = DEFAULT_TIMEZONE
-    on_nonexistent: str = "quarantine"
-    on_invalid: str = "quarantine"
+    on_nonexistent: str = "raise"
+    on_invalid: str = "raise"
     on_ambiguous: str = "first"
     quarantine_path: str | None = None
     database: str | None = None
     table: str | None = None
 
-
-def prepare_wide(raw: DataFrame) -> DataFrame:
-    """Key every row by its file (S3) and keep the newest file per key."""
-    return latest_versions(with_file_key(raw))
-
-
-def ingest_frame(wide: DataFrame, target: str, options: IngestOptions | None = None) -> DataFrame:
-    """Transform keyed wide rows and write them to ``target`` (dynamic
-    overwrite per year / month / source_key). Returns the long rows written
-    (lazy)."""
-    options = options or IngestOptions()
-    annotated = annotate_long(wide, options.timezone, options.on_ambiguous)
-    quarantining = options.quarantine_path is not None and "quarantine" in (
-        options.on_nonexistent, options.on_invalid)
-    if quarantining:
-        # Read once, write twice: keep the transformed rows until both writes
-        # are done (recomputed from the files if an executor is lost).
-        annotated = annotated.persist(StorageLevel.MEMORY_AND_DISK)
+    def __post_init__(self) -> None:
+        for policy in (self.on_nonexistent, self.on_invalid):
+            if policy not in POLICIES:
+                raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")
+        if self.quarantines and not self.quarantine_path:
+            raise ValueError("policy 'quarantine' needs quarantine_path: rejected cells must be written somewhere")
+
+    @property
+    def quarantines(self) -> bool:
+        return "quarantine" in (self.on_nonexistent, self.on_invalid)
+
+
+def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Keyed wide rows of exactly these files."""
+    if not paths:
+        return with_file_key(spark.createDataFrame([], WIDE_TEXT_SCHEMA).select(
+            "*", F.lit(None).cast("string").alias(MALFORMED_COLUMN), F.lit(None).cast("string").alias("file_path"),
+            F.lit(None).cast("timestamp").alias("file_modification_time")))
+    return with_file_key(read_wide_csv(spark, paths))
+
+
+def read_latest(spark: SparkSession, source: str | list[str], modified_after: str | None = None) -> DataFrame:
+    """Rows of the newest file of every key under ``source`` (S9): the listing
+    decides, only the winners are scanned. Their paths pass through the
+    driver, which holds every scan's file list anyway."""
+    winners = latest_files(list_files(spark, source, modified_after)).select("file_path")
+    return read_files(spark, sorted(r.file_path for r in winners.collect()))
+
+
+def _whole_lines(wide: DataFrame, policy: str) -> DataFrame:
+    """Rows of well-formed lines of keyed files; under ``raise`` another row
+    fails the task that meets it."""
+    wrong = F.when(F.col(MALFORMED_COLUMN).isNotNull(), F.lit(REJECT_MALFORMED)).when(
+        F.col("source_key").isNull(), F.lit(REJECT_UNKEYED))
+    good = wrong.isNull()
+    if policy == "raise":
+        # The check is part of the filter: column pruning cannot skip it.
+        message = F.concat(F.lit("rejected line ("), wrong, F.lit("): "),
+                           F.coalesce("file_path", F.lit("?")), F.lit(" "),
+                           F.coalesce(MALFORMED_COLUMN, DAY_HEADER, F.lit("")))
+        good = F.when(good, F.lit(True)).otherwise(F.raise_error(message))
+    return wide.filter(good).drop(MALFORMED_COLUMN)
+
+
+def rejects(wide: DataFrame, options: IngestOptions) -> DataFrame:
+    """What the policies quarantine, with the original day and cell text:
+    every rejected cell, and malformed or unkeyed lines."""
+    columns = ["source_key", "file_path", "delivery_day", "delivery_day_text", "hour_name", "cell_text", "price",
+               "timestamp", "reject_reason"]
+    cells = rejected_rows(annotate_long(_whole_lines(wide, "quarantine"), options.timezone, options.on_ambiguous))
+    kept = F.when(F.col("reject_reason") == "nonexistent_local_time", F.lit(options.on_nonexistent)).otherwise(
+        F.lit(options.on_invalid)) == "quarantine"
+    out = cells.filter(kept).select(columns)
+    if options.on_invalid != "quarantine":
+        return out
+    lines = wide.filter(F.col(MALFORMED_COLUMN).isNotNull() | F.col("source_key").isNull())
+    line = F.coalesce(F.col(MALFORMED_COLUMN), F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit(""))
+                                                                  for c in WIDE_TEXT_SCHEMA.names]))
+    reason = F.when(F.col(MALFORMED_COLUMN).isNotNull(), REJECT_MALFORMED).otherwise(REJECT_UNKEYED)
+    whole = lines.select(
+        F.coalesce("source_key", F.lit(UNKEYED)).alias("source_key"), "file_path",
+        F.lit(None).cast("date").alias("delivery_day"), F.col(DAY_HEADER).alias("delivery_day_text"),
+        F.lit(None).cast("string").alias("hour_name"), line.alias("cell_text"),
+        F.lit(None).cast("double").alias("price"), F.lit(None).cast("timestamp_ntz").alias("timestamp"),
+        reason.alias("reject_reason"))
+    return out.unionByName(whole)
+
+
+def _write_quarantine(df: DataFrame, path: str) -> None:
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("source_key").parquet(path))
+
+
+def ingest_rows(wide: DataFrame, keys: list[str], target: str, options: IngestOptions) -> tuple[list, list]:
+    """Transform keyed wide rows and replace exactly ``keys`` in the quarantine
+    (first, so a failure loses nothing) and in the table at ``target``. The
+    transform is narrow, so both writes derive it from the files; nothing is
+    held on executor disks between them."""
+    if options.quarantines:
+        # The folder of files without a key is replaced like a key's.
+        replace_keys(rejects(wide, options), options.quarantine_path, [*keys, UNKEYED], _write_quarantine)
+    annotated = annotate_long(_whole_lines(wide, options.on_invalid), options.timezone, options.on_ambiguous)
     long = finish_long(annotated, options.timezone, options.on_nonexistent, options.on_invalid,
                        keep_columns=["source_key"])
-    write_long_table(long, target)
-    if quarantining:
-        rejects = (rejected_rows(annotated)
-                   .select("source_key", "file_path", "delivery_day", "hour_name", "price",
-                           "timestamp", "reject_reason"))
-        (rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy("source_key").parquet(options.quarantine_path))
-        annotated.unpersist()
-    return long
+    leaves, removed = replace_keys(long, target, keys)
+    if options.database and options.table:
+        register_table(wide.sparkSession, target, options.database, options.table, schema=long.schema,
+                       leaves=leaves, removed=removed)
+    return leaves, removed
+
+
+def ingest_listing(spark: SparkSession, files: DataFrame, target: str, options: IngestOptions,
+                   new_only: bool) -> int:
+    """Ingest the newest file per key of a listing, unless a later one is on
+    record for the key (``new_only``: or the same one). Returns the number of
+    files read. Batch and stream both end here."""
+    latest = latest_files(files)
+    winners = not_older(latest, read_versions(spark, target), equal=not new_only)
+    rows = winners.select("source_key", "file_path", "file_modification_time").collect()
+    if not rows:
+        return 0
+    keys = sorted({r.source_key for r in rows if r.source_key is not None})
+    ingest_rows(read_files(spark, sorted(r.file_path for r in rows)), keys, target, options)
+    if keys:
+        write_versions(spark, target, spark.createDataFrame([r for r in rows if r.source_key is not None],
+                                                            "source_key string, file_path string, "
+                                                            "file_modification_time timestamp"))
+    return len(rows)
 
 
 def ingest(spark: SparkSession, source: str | list[str], target: str,
-           options: IngestOptions | None = None, modified_after: str | None = None) -> DataFrame:
-    """Batch job: every wide file under ``source`` (or only those changed after
-    ``modified_after``, UTC) -> long table at ``target``; then, if a table
-    name is given, register / repair it in the catalog (S5)."""
+           options: IngestOptions | None = None, modified_after: str | None = None,
+           new_only: bool = False) -> int:
+    """Batch job: the newest wide file of every key under ``source`` -> long
+    table at ``target`` and, if a table name is given, the catalog (S5).
+
+    ``modified_after`` (UTC, such as ``versions.stored_watermark``) lists only files
+    changed after that instant; ``new_only`` skips files on record, so a file
+    that lands late is still found. An older file never replaces a newer
+    version of its key. Returns the number of files read."""
     options = options or IngestOptions()
-    raw = read_wide_csv(spark, source, modified_after=modified_after)
-    long = ingest_frame(prepare_wide(raw), target, options)
-    if options.database and options.table:
-        register_table(spark, target, options.database, options.table)
-    return long
+    return ingest_listing(spark, list_files(spark, source, modified_after), target, options, new_only)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -79,19 +173,20 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--target", required=True, help="folder of the long Parquet table")
     parser.add_argument("--timezone", default=DEFAULT_TIMEZONE)
     parser.add_argument("--modified-after", help="only files changed after this UTC time")
+    parser.add_argument("--new-only", action="store_true", help="only files that are not on record")
     parser.add_argument("--quarantine", help="folder for rejected cells")
-    parser.add_argument("--on-nonexistent", default="quarantine", choices=["raise", "drop", "quarantine"])
-    parser.add_argument("--on-invalid", default="quarantine", choices=["raise", "drop", "quarantine"])
+    parser.add_argument("--on-nonexistent", default="raise", choices=POLICIES)
+    parser.add_argument("--on-invalid", default="raise", choices=POLICIES)
     parser.add_argument("--database")
     parser.add_argument("--table")
     args = parser.parse_args(argv)
     from pricetide.session import build_session
 
-    spark = build_session(app_name="pricetide-ingest")
     options = IngestOptions(timezone=args.timezone, on_nonexistent=args.on_nonexistent,
                             on_invalid=args.on_invalid, quarantine_path=args.quarantine,
                             database=args.database, table=args.table)
-    ingest(spark, args.source, args.target, options, modified_after=args.modified_after)
+    spark = build_session(app_name="pricetide-ingest")
+    ingest(spark, args.source, args.target, options, modified_after=args.modified_after, new_only=args.new_only)
 
 
 if __name__ == "__main__":

@@ -23,11 +23,13 @@ def ntz_literal(value: str | dt.datetime | dt.date) -> Column:
 
 def month_range_predicate(start: dt.datetime, end: dt.datetime) -> Column:
     """``(year, month)`` between the months of ``start`` and ``end``; uses
-    partition columns only, so the scan skips other folders."""
+    partition columns only, so the scan skips other folders. The plain bounds
+    on ``year`` are what a metastore can evaluate by itself."""
     lo = start.year * 100 + start.month
     hi = end.year * 100 + end.month
     ym = F.col("year") * 100 + F.col("month")
-    return (ym >= lo) & (ym <= hi)
+    year = F.col("year")
+    return (year >= start.year) & (year <= end.year) & (ym >= lo) & (ym <= hi)
 
 
 def read_range(df: DataFrame, start, end, by: str = "local") -> DataFrame:
@@ -56,19 +58,33 @@ def range_sql(table: str, start, end, by: str = "local", columns: str = "*") ->
     pad = dt.timedelta(days=1) if by == "utc" else dt.timedelta(0)
     lo, hi = start - pad, end + pad
     return (f"SELECT {columns} FROM {table} "
-            f"WHERE year * 100 + month BETWEEN {lo.year * 100 + lo.month} AND {hi.year * 100 + hi.month} "
+            f"WHERE year >= {lo.year} AND year <= {hi.year} "
+            f"AND year * 100 + month BETWEEN {lo.year * 100 + lo.month} AND {hi.year * 100 + hi.month} "
             f"AND `{column}` >= TIMESTAMP_NTZ'{start.isoformat(sep=' ')}' "
             f"AND `{column}` < TIMESTAMP_NTZ'{end.isoformat(sep=' ')}'")
 
 
+# Digits after the point that prices are summed with, exactly.
+PRICE_SCALE = 6
+
+
+def exact_price(price: Column) -> Column:
+    """The price as a decimal of ``PRICE_SCALE`` places; a price that has more
+    fails instead of being rounded."""
+    exact = price.cast(f"decimal(18,{PRICE_SCALE})")
+    message = F.concat(F.lit(f"price has more than {PRICE_SCALE} decimal places: "), price.cast("string"))
+    return F.when(price.isNull() | (exact.cast("double") == price), exact).otherwise(
+        F.raise_error(message).cast(f"decimal(18,{PRICE_SCALE})"))
+
+
 def monthly_summary(long: DataFrame) -> DataFrame:
-    """Hours, min / max, exact sum and cent-rounded average price per local
-    month and zone label. The price is summed as DECIMAL(18,2), so the
-    result does not depend on the order of the rows."""
-    cents = F.col("price").cast("decimal(18,2)")
+    """Hours, min / max, exact sum and average price (to cents) per local month
+    and zone label. Prices are summed as exact decimals, so the result depends
+    neither on the order of the rows nor on their number of places."""
+    exact = exact_price(F.col("price"))
     return (long.groupBy("year", "month", "timezone")
                 .agg(F.count(F.lit(1)).alias("n_hours"),
                      F.min("price").alias("min_price"),
                      F.max("price").alias("max_price"),
-                     F.sum(cents).cast("double").alias("sum_price"),
-                     F.round(F.avg(cents), 2).cast("double").alias("avg_price")))
+                     F.sum(exact).cast("double").alias("sum_price"),
+                     F.round(F.avg(exact), 2).cast("double").alias("avg_price")))

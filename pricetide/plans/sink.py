@@ -1,10 +1,16 @@
-"""Long table sink, catalog registration and schema evolution."""
+"""Long table sink, whole-key replacement, catalog, schema change."""
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-PARTITION_COLUMNS = ("year", "month", "source_key")
+# The file key first: one key's leaves lie together, so replacing it lists
+# only its own folders.
+PARTITION_COLUMNS = ("source_key", "year", "month")
+PARTITIONS_PER_STATEMENT = 200
 
 
 def _partitions(df: DataFrame) -> list[str]:
@@ -12,12 +18,11 @@ def _partitions(df: DataFrame) -> list[str]:
 
 
 def write_long_table(long: DataFrame, path: str, mode: str = "overwrite") -> list[str]:
-    """Write the long table as Parquet, partitioned by local ``year``,
-    ``month`` and the file key ``source_key`` (S4).
+    """Write the long table as Parquet, partitioned by the file key
+    ``source_key`` and the local ``year`` and ``month`` (S4).
 
-    ``overwrite`` is dynamic: only the (year, month, source_key) leaves present
-    in ``long`` are replaced, so a new version of one month file replaces
-    exactly that file's rows and a rerun changes nothing.
+    ``overwrite`` is dynamic: the leaves present in ``long`` are replaced.
+    :func:`replace_keys` also removes a key's other leaves.
 
     The ``rebalance`` hint shuffles by the partition columns so each task
     writes few files; AQE splits a month that holds a large share of the rows
@@ -33,37 +38,111 @@ def write_long_table(long: DataFrame, path: str, mode: str = "overwrite") -> lis
     return parts
 
 
-def table_ddl(database: str, table: str, path: str, extra: str = "") -> str:
-    return (
-        f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ("
-        "`timestamp` TIMESTAMP_NTZ, `timestamp_utc` TIMESTAMP_NTZ, `price` DOUBLE, "
-        f"`timezone` STRING{extra}, `year` INT, `month` INT, `source_key` STRING) "
-        "USING parquet PARTITIONED BY (`year`, `month`, `source_key`) "
-        f"LOCATION '{path}'"
-    )
+def _hadoop(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def register_table(spark: SparkSession, path: str, database: str = "energy_market",
-                   table: str = "day_ahead_prices") -> str:
-    """Make the written folder a catalog table and pick up new partitions.
+def _escaped(spark: SparkSession, key: str) -> str:
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(key)
 
-    Partitions written after the table was created are invisible until
-    ``MSCK REPAIR TABLE`` (``ALTER TABLE ... RECOVER PARTITIONS``) has run.
-    """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    spark.sql(table_ddl(database, table, path))
-    refresh_table(spark, database, table)
-    return f"{database}.{table}"
 
+def key_leaves(spark: SparkSession, path: str, keys: list[str]) -> dict[str, set[str]]:
+    """Leaf folder (below ``path``, such as ``source_key=k/year=2024/month=5``)
+    -> names of its files, for the folders of ``keys`` only."""
+    jvm, root, store = _hadoop(spark, path)
+    leaves: dict[str, set[str]] = {}
+    for key in keys:
+        top = jvm.org.apache.hadoop.fs.Path(root, f"source_key={_escaped(spark, key)}")
+        if not store.exists(top):
+            continue
+        prefix = store.getFileStatus(root).getPath().toString().rstrip("/") + "/"
+        files = store.listFiles(top, True)
+        while files.hasNext():
+            found = files.next().getPath()
+            leaf = found.getParent().toString().removeprefix(prefix)
+            leaves.setdefault(leaf, set()).add(found.getName())
+    return leaves
 
-def refresh_table(spark: SparkSession, database: str, table: str) -> None:
-    spark.sql(f"MSCK REPAIR TABLE `{database}`.`{table}`")
-    spark.sql(f"REFRESH TABLE `{database}`.`{table}`")
 
+def replace_keys(df: DataFrame, path: str, keys: list[str], write=write_long_table) -> tuple[list[str], list[str]]:
+    """Write ``df`` so that afterwards the table holds exactly its rows for
+    ``keys``: a leaf of these keys that the write did not touch still has a
+    file from before, and is removed - also when no row is left at all.
+    Returns (leaves there now, leaves removed). A run that dies in between is
+    mended by running it again."""
+    spark = df.sparkSession
+    before = key_leaves(spark, path, keys)
+    write(df, path)
+    after = key_leaves(spark, path, keys)
+    stale = sorted(leaf for leaf, files in after.items() if files & before.get(leaf, set()))
+    jvm, root, store = _hadoop(spark, path)
+    for leaf in stale:
+        store.delete(jvm.org.apache.hadoop.fs.Path(root, leaf), True)
+    # A leaf that was overwritten away entirely is gone as well.
+    removed = sorted(set(before) - (set(after) - set(stale)))
+    return sorted(set(after) - set(stale)), removed
+
+
+def _columns_sql(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields
+                     if f.name not in PARTITION_COLUMNS)
+
+
+def table_ddl(database: str, table: str, path: str, schema: T.StructType) -> str:
+    return (f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ({_columns_sql(schema)}, "
+            "`source_key` STRING, `year` INT, `month` INT) "
+            "USING parquet PARTITIONED BY (`source_key`, `year`, `month`) "
+            f"LOCATION '{path}'")
 
-def read_long_table(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
-    """Read the long table; with ``merge_schema`` files written with more or
-    fewer columns read as the union of all columns (S6): a column added later
-    is null in older files, a dropped one stays and is null in newer files."""
-    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
+def _partition_spec(leaf: str) -> str:
+    values = dict(part.split("=", 1) for part in leaf.split("/"))
+    key = unquote(values["source_key"]).replace("'", "\\'")
+    return f"PARTITION (`source_key`='{key}', `year`={int(values['year'])}, `month`={int(values['month'])})"
+
+
+def _alter(spark: SparkSession, name: str, verb: str, leaves: list[str], between: str) -> None:
+    for i in range(0, len(leaves), PARTITIONS_PER_STATEMENT):
+        specs = [_partition_spec(leaf) for leaf in leaves[i:i + PARTITIONS_PER_STATEMENT]]
+        spark.sql(f"ALTER TABLE {name} {verb} {between.join(specs)}")
+
+
+def register_table(spark: SparkSession, path: str, database: str = "energy_market",
+                   table: str = "day_ahead_prices", schema: T.StructType | None = None,
+                   leaves: list[str] | None = None, removed: list[str] | None = None) -> str:
+    """Make the written folder a catalog table, or bring the table up to date
+    (S5, S6): columns of ``schema`` that the table lacks are added in place
+    (older files read them as null); of an existing table only the partitions
+    ``leaves`` are added and ``removed`` dropped, so a run touches what it
+    wrote. Without ``leaves`` - and when the table is new - the folder is
+    listed once (``MSCK REPAIR``)."""
+    from pricetide.schema import LONG_SCHEMA
+
+    schema = schema or LONG_SCHEMA
+    name = f"`{database}`.`{table}`"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    exists = spark.catalog.tableExists(f"{database}.{table}")
+    if not exists:
+        spark.sql(table_ddl(database, table, path, schema))
+    known = {f.name for f in spark.table(name).schema.fields}
+    new = T.StructType([f for f in schema.fields if f.name not in known])
+    if new.fields:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_columns_sql(new)})")
+    if leaves is None or not exists:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+    else:
+        if removed:
+            _alter(spark, name, "DROP IF EXISTS", removed, ", ")
+        if leaves:
+            _alter(spark, name, "ADD IF NOT EXISTS", leaves, " ")
+    spark.sql(f"REFRESH TABLE {name}")
+    return f"{database}.{table}"
+
+
+def read_long_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+    """Read the long table's folder. ``merge_schema`` opens every file's footer
+    to read the union of all columns (S6); the catalog table needs no such
+    pass, since new columns are added to it in place."""
+    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import types as T
 
 # The wide file's header, in file order. One delivery day per
@@ -16,19 +18,23 @@ SLOT_HEADERS = [
 ]
 # File conventions and the default market zone.
 COMMENT_CHAR = "#"
-DAY_FORMAT = "dd/MM/yyyy"        # as written
-DAY_PARSE_FORMAT = "d/M/yyyy"    # as read: also takes 1/5/2024
+DAY_PARSE_FORMAT = "d/M/yyyy"    # also takes 01/05/2024
 DEFAULT_TIMEZONE = "Europe/Berlin"
 DEFAULT_TOP_FOLDER = "daa_market"
 
+# Texts of a cell that mean "no value", as the usual data-frame
+# CSV readers take them.
+NULL_MARKERS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+
 # The long table's columns, in order.
 LONG_COLUMNS = ["timestamp", "timestamp_utc", "price", "timezone", "year", "month"]
 
 
 def snake_case(name: str) -> str:
     """Whitespace runs become one underscore, then lower case."""
-    import re
-
     return re.sub(r"\s+", "_", name).lower()
 
 
@@ -41,12 +47,6 @@ WIDE_TEXT_SCHEMA = T.StructType(
     + [T.StructField(h, T.StringType(), True) for h in SLOT_HEADERS]
 )
 
-# Wide frame after typing (snake-case names).
-WIDE_SCHEMA = T.StructType(
-    [T.StructField(DAY_COLUMN, T.DateType(), True)]
-    + [T.StructField(c, T.DoubleType(), True) for c in SLOT_COLUMNS]
-)
-
 LONG_SCHEMA = T.StructType(
     [
         T.StructField("timestamp", T.TimestampNTZType(), True),

@@ -21,7 +21,9 @@ from pricetide.schema import (
     WIDE_TEXT_SCHEMA,
 )
 
-# The comment line written at the top of each landing file.
+# The column of malformed lines; the comment line written at the
+# top of each landing file.
+MALFORMED_COLUMN = "_malformed_line"
 COMMENT_LINE = "# Prices - day-ahead auction - Currency: EUR"
 
 
@@ -32,7 +34,10 @@ def csv_reader_options(modified_after: str | None = None) -> dict[str, str]:
         # Check every file's header against the declared names: swapped or
         # extra columns fail instead of loading into the wrong slot.
         "enforceSchema": "false",
-        "mode": "FAILFAST",
+        # A line with too few or too many cells is kept whole in this column
+        # and goes to the policy for invalid rows.
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": MALFORMED_COLUMN,
         # Month folders are read whatever their naming; the month comes from
         # the key (S3), not from folder partition discovery.
         "recursiveFileLookup": "true",
@@ -51,13 +56,15 @@ def with_file_lineage(df: DataFrame) -> DataFrame:
 def read_wide_csv(spark: SparkSession, path: str | list[str], modified_after: str | None = None,
                   schema: T.StructType = WIDE_TEXT_SCHEMA) -> DataFrame:
     """Scan wide price files (one or many, by folder or glob) as text cells,
-    with ``file_path`` and ``file_modification_time`` lineage.
+    with ``file_path`` and ``file_modification_time`` lineage and, for a line
+    with a wrong number of cells, the line itself in ``_malformed_line``.
 
     ``modified_after`` (``YYYY-MM-DDTHH:MM:SS[.fff]`` in UTC) keeps only files
     changed after that instant: the batch form of incremental pick-up (S8).
     Typing (day-first date, numbers) happens in :func:`annotate_long`, per
     cell, so a bad value is caught without losing the file.
     """
+    schema = T.StructType([*schema.fields, T.StructField(MALFORMED_COLUMN, T.StringType())])
     reader = spark.read.schema(schema).options(**csv_reader_options(modified_after))
     paths = [path] if isinstance(path, str) else list(path)
     return with_file_lineage(reader.csv(paths))
@@ -70,21 +77,17 @@ def landing_lines(wide: DataFrame, pad_month: bool = False) -> DataFrame:
     month = F.month(day)
     month_key = F.lpad(month.cast("string"), 2, "0") if pad_month else month.cast("string")
     rows = wide.select(
-        F.year(day).alias("file_year"), month_key.alias("file_month"),
-        F.lit(2).alias("_kind"), day.alias("_day"),
+        F.year(day).alias("file_year"), month_key.alias("file_month"), day.alias("_day"),
         F.expr("concat_ws(',', " + ", ".join(f"coalesce(CAST(`{c}` AS string), '')"
                                              for c in [DAY_HEADER] + SLOT_HEADERS) + ") AS value"),
     )
-    files = rows.select("file_year", "file_month").distinct()
     header = ",".join([DAY_HEADER] + SLOT_HEADERS)
-    heads = files.select(
-        "file_year", "file_month",
-        F.explode(F.array(
-            F.struct(F.lit(0).alias("_kind"), F.lit(COMMENT_LINE).alias("value")),
-            F.struct(F.lit(1).alias("_kind"), F.lit(header).alias("value")),
-        )).alias("_h"),
-    ).select("file_year", "file_month", "_h._kind", F.lit(None).cast("date").alias("_day"), "_h.value")
-    return rows.unionByName(heads)
+    # A month file is one group by its nature (a line per delivery day), so
+    # comment and header are put before its lines in the same aggregation.
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("_day", "value"))), lambda x: x["value"])
+    files = rows.groupBy("file_year", "file_month").agg(
+        F.concat(F.array(F.lit(COMMENT_LINE), F.lit(header)), lines).alias("lines"))
+    return files.select("file_year", "file_month", F.explode("lines").alias("value"))
 
 
 def write_wide_csv(wide: DataFrame, root: str, top: str = DEFAULT_TOP_FOLDER,
@@ -93,12 +96,8 @@ def write_wide_csv(wide: DataFrame, root: str, top: str = DEFAULT_TOP_FOLDER,
     ``root/top/file_year=YYYY/file_month=M/`` (or ``MM`` with ``pad_month``).
 
     A month file is a bounded group (at most 31 days + 2 lines), so all lines
-    of one month go to one task; the sort keeps comment and header first.
+    of one month leave one task, in order.
     """
     out = f"{root.rstrip('/')}/{top}"
-    lines = landing_lines(wide, pad_month)
-    (lines.repartition("file_year", "file_month")
-          .sortWithinPartitions("file_year", "file_month", "_kind", "_day")
-          .select("file_year", "file_month", "value")
-          .write.mode("overwrite").partitionBy("file_year", "file_month").text(out))
+    landing_lines(wide, pad_month).write.mode("overwrite").partitionBy("file_year", "file_month").text(out)
     return out

@@ -47,8 +47,3 @@ def wide_prices_typed(lineitem: DataFrame) -> DataFrame:
     """Same content, already typed: ``delivery_day`` DATE + snake-case slots."""
     wide = _pivot_min(_day_slot_cells(lineitem), SLOT_COLUMNS)
     return wide.withColumnRenamed("_day", DAY_COLUMN)
-
-
-def wide_from_tables(spark: SparkSession, sf_dir: str, typed: bool = True) -> DataFrame:
-    lineitem = read_table(spark, sf_dir, "lineitem")
-    return wide_prices_typed(lineitem) if typed else wide_prices(lineitem)

@@ -1,3 +1,3 @@
 """File-source streaming ingest."""
 
-from pricetide.streaming.ingest_stream import run_available_now, start_ingest_stream, wide_file_stream  # noqa: F401
+from pricetide.streaming.ingest_stream import file_stream, run_available_now, start_ingest_stream  # noqa: F401

@@ -1,58 +1,36 @@
 """Structured Streaming pick-up of new and rewritten price files.
 
-A file source remembers the paths it has read, so a file rewritten under the
-same path is not seen again. Each version therefore lands under a new path
-(e.g. ``.../ingest=<ts>/daa_market/...``); inside every micro-batch the newest
-file per key wins (S9), and a small versions table drops a file that arrives
-after a newer version of its key was already written.
+The stream carries the *listing* of new files (path and time, no content);
+every micro-batch hands it to the batch job, so both read files, choose
+versions and treat bad lines in one way. A file source remembers the paths it
+has seen, so a file rewritten under the same path is not seen again: each
+version lands under a new path (``.../ingest=<ts>/daa_market/...``), or the
+batch job is used.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pricetide.plans.ingest import IngestOptions, ingest_frame
-from pricetide.plans.sink import refresh_table, register_table
-from pricetide.schema import WIDE_TEXT_SCHEMA
-from pricetide.sources.csv_wide import csv_reader_options, with_file_lineage
-from pricetide.sources.file_keys import MAX_BROADCAST_FILES, latest_files, with_file_key
+from pricetide.plans.ingest import IngestOptions, ingest_listing
+from pricetide.sources.file_keys import listed, listing_options
 
 
-def wide_file_stream(spark: SparkSession, source: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    opts = csv_reader_options()
-    opts.pop("mode")
-    if max_files_per_trigger:
-        opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
-    reader = spark.readStream.schema(WIDE_TEXT_SCHEMA).options(**opts)
-    return with_file_key(with_file_lineage(reader.csv(source)))
+# A hundred years; the columns of a file listing.
+MAX_FILE_AGE = "36500d"
+LISTING_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
-def _newer_than_written(batch: DataFrame, versions_path: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of the newest file per key in this batch, unless an equal or newer
-    version of that key was already written by an earlier batch."""
-    spark = batch.sparkSession
-    latest = latest_files(batch)
-    try:
-        written = (spark.read.parquet(versions_path)
-                        .groupBy("source_key").agg(F.max("file_modification_time").alias("_written")))
-        latest = (latest.join(written, "source_key", "left")
-                        .filter(F.col("_written").isNull()
-                                | (F.col("file_modification_time") > F.col("_written")))
-                        .drop("_written"))
-    except Exception as exc:  # first batch: no versions table yet
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-            raise
-    keep = latest.select("file_path")
-    try:
-        n_files = len(batch.inputFiles())
-    except Exception:
-        n_files = 0
-    if 0 < n_files <= MAX_BROADCAST_FILES:
-        keep = F.broadcast(keep)
-    return batch.join(keep, "file_path", "left_semi"), latest
+def file_stream(spark: SparkSession, source: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of (path, modificationTime) of new files; contents stay unread."""
+    # The source would ignore files older than a week before the newest: here
+    # versions decide, so a file of another key may be of any age.
+    opts = listing_options() | {"maxFileAge": MAX_FILE_AGE}
+    if max_files_per_trigger:
+        opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
+    return (spark.readStream.format("binaryFile").schema(LISTING_SCHEMA).options(**opts).load(source)
+                 .select("path", "modificationTime"))
 
 
 def start_ingest_stream(spark: SparkSession, source: str, target: str, checkpoint: str,
@@ -61,27 +39,15 @@ def start_ingest_stream(spark: SparkSession, source: str, target: str, checkpoin
                         max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Stream every new file under ``source`` into the long table at
     ``target``. ``available_now`` processes what is there and stops (the
-    per-event job of a scheduler); otherwise runs every ``processing_time``."""
+    per-event job of a scheduler); otherwise runs every ``processing_time``.
+    A batch that is replayed after a failure meets its files on record or
+    writes them again, to the same end."""
     options = options or IngestOptions()
-    versions_path = f"{target.rstrip('/')}/_versions"
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        wide, latest = _newer_than_written(batch, versions_path)
-        # One row per file: kept for the semi join and the versions log
-        # (recomputed from the batch if an executor is lost).
-        latest.persist(StorageLevel.MEMORY_AND_DISK)
-        ingest_frame(wide, target, options)
-        (latest.select("source_key", "file_path", "file_modification_time")
-               .withColumn("epoch_id", F.lit(epoch_id))
-               .write.mode("append").parquet(versions_path))
-        latest.unpersist()
-        if options.database and options.table:
-            if spark.catalog.tableExists(f"{options.database}.{options.table}"):
-                refresh_table(spark, options.database, options.table)
-            else:
-                register_table(spark, target, options.database, options.table)
+        ingest_listing(batch.sparkSession, listed(batch), target, options, new_only=True)
 
-    writer = (wide_file_stream(spark, source, max_files_per_trigger)
+    writer = (file_stream(spark, source, max_files_per_trigger)
               .writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint))
     if available_now:
@@ -97,4 +63,3 @@ def run_available_now(spark: SparkSession, source: str, target: str, checkpoint:
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-
