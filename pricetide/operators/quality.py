@@ -93,18 +93,26 @@ def _hour_counts(long: DataFrame) -> DataFrame:
 
 
 def _with_steps(hour_counts: DataFrame) -> DataFrame:
+    """Every UTC hour with the one before it: within the day by a window of at
+    most 25 hours, across midnight by joining the day before's last hour, a
+    table of one row per day. So the check runs over the whole frame without a
+    window over all of it."""
     w = Window.partitionBy(DAY_COLUMN).orderBy("timestamp_utc")
-    prev = F.lag("timestamp_utc").over(w)
-    return (hour_counts.withColumn("prev_timestamp_utc", prev)
+    last = hour_counts.groupBy(DAY_COLUMN).agg(F.max("timestamp_utc").alias("_last")).select(
+        F.date_add(DAY_COLUMN, 1).alias(DAY_COLUMN), "_last")
+    prev = F.coalesce(F.lag("timestamp_utc").over(w), F.col("_last"))
+    return (hour_counts.join(last, DAY_COLUMN, "left")
+                       .withColumn("prev_timestamp_utc", prev).drop("_last")
                        .withColumn("step_seconds",
                                    (F.col("timestamp_utc") - F.col("prev_timestamp_utc"))
                                    .cast("interval second").cast("bigint")))
 
 
 def utc_hour_gaps(long: DataFrame) -> DataFrame:
-    """UTC hours of a local day that do not follow the previous one by exactly
-    one hour (W1): ``n_rows > 1`` is a duplicate hour, ``step_seconds`` above
-    3600 a gap. The first hour of a day has no previous hour."""
+    """UTC hours that do not follow the previous one by exactly one hour (W1),
+    also across midnight: ``n_rows > 1`` is a duplicate hour, ``step_seconds``
+    above 3600 a gap. The first hour after a day without any hour has no
+    previous hour; that day itself is missing (A2, X3)."""
     steps = _with_steps(_hour_counts(long))
     bad = (F.col("prev_timestamp_utc").isNotNull() & (F.col("step_seconds") != EXPECTED_STEP_SECONDS)) | (
         F.col("n_rows") > 1)
@@ -128,8 +136,8 @@ def day_completeness(long: DataFrame, timezone: str = DEFAULT_TIMEZONE) -> DataF
 
 
 def quality_report(wide: DataFrame, long: DataFrame, timezone: str = DEFAULT_TIMEZONE) -> DataFrame:
-    """One row per calendar day of the data's span (X3): expected hours and
-    day kind, wide rows seen, long hours written, duplicate hours, irregular
+    """One row per calendar day of the data's span, and one with a null day if
+    rows have an unreadable day (X3): expected hours and day kind, wide rows seen, long hours written, duplicate hours, irregular
     UTC steps, slot-pattern violation and an overall ``status``.
 
     All inputs are reduced to one row per day before they meet, so the joins
@@ -166,6 +174,11 @@ def quality_report(wide: DataFrame, long: DataFrame, timezone: str = DEFAULT_TIM
                .when(F.col("n_hours") != F.col("hours_in_day"), completeness_status(F.col("n_hours"),
                                                                                    F.col("hours_in_day")))
                .otherwise("ok"))
-    return report.withColumn("status", status).select(
-        DAY_COLUMN, "day_kind", "hours_in_day", "n_wide_rows", "n_hours", "n_duplicate_hours",
-        "n_irregular_steps", "violation", "status")
+    columns = [DAY_COLUMN, "day_kind", "hours_in_day", "n_wide_rows", "n_hours", "n_duplicate_hours",
+               "n_irregular_steps", "violation", "status"]
+    none, zero = F.lit(None).cast("string"), F.lit(0).cast("bigint")
+    unreadable = per_day.filter(F.col(DAY_COLUMN).isNull()).select(
+        DAY_COLUMN, none.alias("day_kind"), F.lit(None).cast("int").alias("hours_in_day"), "n_wide_rows",
+        zero.alias("n_hours"), zero.alias("n_duplicate_hours"), zero.alias("n_irregular_steps"),
+        none.alias("violation"), F.lit("unreadable_day").alias("status"))
+    return report.withColumn("status", status).select(columns).unionByName(unreadable.select(columns))
