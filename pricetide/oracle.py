@@ -8,9 +8,8 @@ ambiguity itself and never compares raw conversions.
 
 from __future__ import annotations
 
-from pricetide.queries import LOCAL_RANGE, OVERWRITE_LAST_MONTH, UTC_RANGE
+from pricetide.queries import EMPTIED_MONTH, LOCAL_RANGE, OVERWRITE_LAST_MONTH, UTC_RANGE
 from pricetide.schema import DEFAULT_TIMEZONE, SLOT_COLUMNS
-from pricetide.sources.file_keys import FILE_KEY_PATTERN
 
 TZ = DEFAULT_TIMEZONE
 
@@ -20,7 +19,6 @@ def _q(name: str) -> str:
 
 
 _SLOT_LIST = ", ".join(SLOT_COLUMNS)
-_KEY = FILE_KEY_PATTERN
 
 _CELLS = (
     "cells AS (SELECT CAST(l_shipdate AS DATE) AS d, "
@@ -76,7 +74,7 @@ def _day_kind(hours: str) -> str:
 
 
 def _source_key(day: str) -> str:
-    return f"strftime({day}, '%Y-%m')"
+    return f"'daa_market.' || strftime({day}, '%Y-%m')"
 
 
 _WIDE_SELECT = "delivery_day, " + _SLOT_LIST
@@ -100,8 +98,9 @@ _VIOLATIONS = (
 _STEPS = (
     "hc AS (SELECT CAST(" + _q("timestamp") + " AS DATE) AS delivery_day, timestamp_utc, "
     "count(*) AS n_rows FROM long GROUP BY 1, 2),\n"
-    "st AS (SELECT *, lag(timestamp_utc) OVER (PARTITION BY delivery_day ORDER BY timestamp_utc) "
-    "AS prev_timestamp_utc FROM hc),\n"
+    "dl AS (SELECT delivery_day + 1 AS next_day, max(timestamp_utc) AS last_utc FROM hc GROUP BY delivery_day),\n"
+    "st AS (SELECT hc.*, coalesce(lag(timestamp_utc) OVER (PARTITION BY delivery_day ORDER BY timestamp_utc), "
+    "last_utc) AS prev_timestamp_utc FROM hc LEFT JOIN dl ON delivery_day = next_day),\n"
     "steps AS (SELECT *, CAST(epoch(timestamp_utc) - epoch(prev_timestamp_utc) AS BIGINT) AS step_seconds "
     "FROM st)"
 )
@@ -124,16 +123,13 @@ ORACLE: dict[str, str] = {
     + "SELECT strftime(delivery_day, '%d/%m/%Y') AS delivery_day, " + _SLOT_LIST + " FROM wide",
     "csv_roundtrip_scan": _with(_CELLS, _WIDE)
     + f"SELECT {_WIDE_SELECT}, {_source_key('delivery_day')} AS source_key FROM wide",
+    # The key's parts come from the date, not from parsing the path.
     "file_key_parse": _with(_CELLS, _WIDE)
-    + "SELECT delivery_day, file_key, top_folder, file_year, file_month, "
-    "lpad(CAST(file_year AS VARCHAR), 4, '0') || '-' || lpad(CAST(file_month AS VARCHAR), 2, '0') AS source_key "
-    f"FROM (SELECT delivery_day, file_key, nullif(regexp_extract(file_key, '{_KEY}', 1), '') AS top_folder, "
-    f"CAST(regexp_extract(file_key, '{_KEY}', 2) AS INTEGER) AS file_year, "
-    f"CAST(regexp_extract(file_key, '{_KEY}', 3) AS INTEGER) AS file_month FROM (SELECT delivery_day, "
-    "'daa_market/' || CAST(year(delivery_day) AS VARCHAR) || '/' || m || '/daa_market.csv' AS file_key "
-    "FROM wide, (SELECT 0 AS pad UNION ALL SELECT 1) p, "
-    "LATERAL (SELECT CASE WHEN pad = 1 THEN lpad(CAST(month(delivery_day) AS VARCHAR), 2, '0') "
-    "ELSE CAST(month(delivery_day) AS VARCHAR) END AS m)) k) p",
+    + "SELECT delivery_day, 'daa_market/' || year(delivery_day) || '/' || m || '/daa_market.csv' AS file_key, "
+    "'daa_market' AS top_folder, CAST(year(delivery_day) AS INTEGER) AS file_year, "
+    "CAST(month(delivery_day) AS INTEGER) AS file_month, " + _source_key("delivery_day") + " AS source_key "
+    "FROM (SELECT delivery_day, CAST(month(delivery_day) AS VARCHAR) AS m FROM wide "
+    "UNION ALL SELECT delivery_day, strftime(delivery_day, '%m') AS m FROM wide) k",
     "unpivot_include_nulls": _with(*_LONG_CHAIN[:3]) + "SELECT delivery_day, hour_name, price FROM unp",
     "unpivot_drop_null_price": _with(*_LONG_CHAIN[:3])
     + "SELECT delivery_day, hour_name, price FROM unp WHERE price IS NOT NULL AND NOT isnan(price)",
@@ -206,7 +202,8 @@ ORACLE: dict[str, str] = {
     + " ELSE 'ok' END AS status FROM report",
     "parquet_partition_overwrite": _with(*_LONG_CHAIN, _last_day_of_month())
     + f"SELECT {_LONG6}, {_source_key('l.delivery_day')} AS source_key FROM long l JOIN lastday USING (delivery_day) "
-    f"WHERE NOT (l.delivery_day = last_day AND month(l.delivery_day) > {OVERWRITE_LAST_MONTH})",
+    f"WHERE NOT (l.delivery_day = last_day AND month(l.delivery_day) > {OVERWRITE_LAST_MONTH}) "
+    f"AND month(l.delivery_day) <> {EMPTIED_MONTH}",
     "catalog_range_local": _FULL_LONG
     + f"SELECT {_LONG6} FROM long WHERE " + _q("timestamp")
     + f" >= TIMESTAMP '{LOCAL_RANGE[0]}' AND " + _q("timestamp") + f" < TIMESTAMP '{LOCAL_RANGE[1]}'",

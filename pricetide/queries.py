@@ -8,8 +8,6 @@ the shared checkpoint folder, then return a lazy read of what was written.
 
 from __future__ import annotations
 
-import datetime as dt
-import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -35,13 +33,15 @@ from pricetide.operators.reshape import (
     union_parts,
     with_slot_time,
 )
-from pricetide.plans.ingest import IngestOptions, ingest
+from pricetide.plans.ingest import IngestOptions, ingest, read_latest
 from pricetide.plans.query import monthly_summary, range_sql, read_range
-from pricetide.plans.sink import read_long_table, register_table, write_long_table
+from pricetide.plans.sink import register_table, replace_keys, write_long_table
+from pricetide.plans.versions import stored_watermark
 from pricetide.schema import (
     DAY_COLUMN,
     DAY_HEADER,
     DEFAULT_TIMEZONE,
+    DEFAULT_TOP_FOLDER,
     LONG_COLUMNS,
     LONG_SCHEMA,
     SLOT_COLUMNS,
@@ -49,7 +49,7 @@ from pricetide.schema import (
 )
 from pricetide.session import materialize, scratch_path
 from pricetide.sources.csv_wide import read_wide_csv, write_wide_csv
-from pricetide.sources.file_keys import latest_versions, parse_file_key, with_file_key
+from pricetide.sources.file_keys import parse_file_key, with_file_key
 from pricetide.sources.lineitem import read_table, wide_prices, wide_prices_typed
 from pricetide.streaming.ingest_stream import run_available_now
 
@@ -59,8 +59,10 @@ TZ = DEFAULT_TIMEZONE
 # spring and autumn changes of 1998).
 LOCAL_RANGE = ("1998-03-01 00:00:00", "1998-11-01 00:00:00")
 UTC_RANGE = ("1998-03-28 22:00:00", "1998-10-26 00:00:00")
-# Months rewritten by the partition-overwrite query (first half of each year).
+# Months rewritten by the partition-overwrite query (first half of each year),
+# and those of them whose second version has no row at all.
 OVERWRITE_LAST_MONTH = 6
+EMPTIED_MONTH = 2
 
 TABLE_SCHEMA = T.StructType(LONG_SCHEMA.fields + [T.StructField("source_key", T.StringType(), True)])
 
@@ -86,7 +88,8 @@ def _annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _with_source_key(long: DataFrame) -> DataFrame:
-    return long.withColumn("source_key", F.format_string("%04d-%02d", F.col("year"), F.col("month")))
+    return long.withColumn("source_key", F.format_string(f"{DEFAULT_TOP_FOLDER}.%04d-%02d", F.col("year"),
+                                                         F.col("month")))
 
 
 def _partial_and_complete(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -111,10 +114,6 @@ def _typed_from_files(df: DataFrame) -> DataFrame:
     )
 
 
-def _utc_iso(micros: int) -> str:
-    return (dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=micros)).isoformat(timespec="milliseconds")
-
-
 # -- scans, keys, reshape -------------------------------------------------
 
 def q_wide_snake_case(spark, sf_dir):
@@ -253,9 +252,13 @@ def _read_table(spark: SparkSession, path: str) -> DataFrame:
 def q_parquet_partition_overwrite(spark, sf_dir):
     path = scratch_path(spark, "long-table")
     partial, complete = _partial_and_complete(spark, sf_dir)
-    write_long_table(_with_source_key(to_long(partial, TZ, on_nonexistent="drop")), path)
-    rewrite = complete.filter(F.month(parse_delivery_day(DAY_HEADER)) <= OVERWRITE_LAST_MONTH)
-    write_long_table(_with_source_key(to_long(rewrite, TZ, on_nonexistent="drop")), path)
+    first = _with_source_key(to_long(partial, TZ, on_nonexistent="drop"))
+    write_long_table(first, path)
+    # Version 2 of the keys of these months: complete, but February is empty.
+    rewritten = F.month(parse_delivery_day(DAY_HEADER)) <= OVERWRITE_LAST_MONTH
+    second = _with_source_key(to_long(complete.filter(rewritten), TZ, on_nonexistent="drop"))
+    keys = second.select("source_key").distinct().collect()  # one row per month file
+    replace_keys(second.filter(F.col("month") != EMPTIED_MONTH), path, sorted(r.source_key for r in keys))
     return _read_table(spark, path)
 
 
@@ -279,16 +282,17 @@ def q_catalog_range_utc(spark, sf_dir):
 
 def q_schema_evolution_read(spark, sf_dir):
     path = scratch_path(spark, "evolving-table")
+    name = "t_" + path.rsplit("-", 1)[-1]
     long = _with_source_key(_long(spark, sf_dir))
     old = long.filter(F.col("month") <= OVERWRITE_LAST_MONTH)
     new = (long.filter(F.col("month") > OVERWRITE_LAST_MONTH)
                .withColumn("utc_offset",
                            (F.col("timestamp") - F.col("timestamp_utc")).cast("interval hour").cast("int")))
     write_long_table(old, path)
+    register_table(spark, path, "energy_market", name, schema=old.schema)
     write_long_table(new, path)
-    merged = read_long_table(spark, path, merge_schema=True)
-    return merged.select("timestamp", "timestamp_utc", "price", "timezone", "utc_offset",
-                         F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"))
+    table = register_table(spark, path, "energy_market", name, schema=new.schema)
+    return spark.table(table).select("timestamp", "timestamp_utc", "price", "timezone", "utc_offset", "year", "month")
 
 
 def q_latest_file_version(spark, sf_dir):
@@ -296,20 +300,23 @@ def q_latest_file_version(spark, sf_dir):
     partial, complete = _partial_and_complete(spark, sf_dir)
     write_wide_csv(partial, f"{root}/ingest=0001")
     write_wide_csv(complete, f"{root}/ingest=0002", pad_month=True)
-    files = with_file_key(read_wide_csv(spark, root))
-    return _typed_from_files(latest_versions(files))
+    return _typed_from_files(read_latest(spark, root))
+
+
+def _quarantining(spark: SparkSession) -> IngestOptions:
+    """The derived frame prices skipped hours: those cells are quarantined."""
+    return IngestOptions(timezone=TZ, on_nonexistent="quarantine", quarantine_path=scratch_path(spark, "quarantine"))
 
 
 def q_incremental_modified_after(spark, sf_dir):
     root = scratch_path(spark, "landing")
     table = scratch_path(spark, "ingested")
+    options = _quarantining(spark)
     partial, complete = _partial_and_complete(spark, sf_dir)
     write_wide_csv(partial, f"{root}/ingest=0001")
-    ingest(spark, root, table, IngestOptions(timezone=TZ))
-    seen = read_wide_csv(spark, root).agg(F.unix_micros(F.max("file_modification_time"))).first()[0]
-    time.sleep(0.01)
+    ingest(spark, root, table, options)
     write_wide_csv(complete, f"{root}/ingest=0002")
-    ingest(spark, root, table, IngestOptions(timezone=TZ), modified_after=_utc_iso(seen))
+    ingest(spark, root, table, options, modified_after=stored_watermark(spark, table), new_only=True)
     return _read_table(spark, table).select(*LONG_COLUMNS)
 
 
@@ -317,11 +324,12 @@ def q_stream_available_now(spark, sf_dir):
     root = scratch_path(spark, "landing")
     table = scratch_path(spark, "streamed")
     checkpoint = scratch_path(spark, "stream-checkpoint")
+    options = _quarantining(spark)
     partial, complete = _partial_and_complete(spark, sf_dir)
     write_wide_csv(partial, f"{root}/ingest=0001")
-    run_available_now(spark, root, table, checkpoint, IngestOptions(timezone=TZ))
+    run_available_now(spark, root, table, checkpoint, options)
     write_wide_csv(complete, f"{root}/ingest=0002")
-    run_available_now(spark, root, table, checkpoint, IngestOptions(timezone=TZ))
+    run_available_now(spark, root, table, checkpoint, options)
     return _read_table(spark, table).select(*LONG_COLUMNS)
 
 
