@@ -7,13 +7,13 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from pricetide.plans.ingest import IngestOptions, ingest
+from pricetide.plans.ingest import IngestOptions, ingest, read_latest
 from pricetide.plans.query import read_range
 from pricetide.plans.sink import read_long_table, register_table, write_long_table
 from pricetide.schema import LONG_COLUMNS
 from pricetide.session import scratch_path
 from pricetide.sources.csv_wide import COMMENT_LINE, read_wide_csv, write_wide_csv
-from pricetide.sources.file_keys import latest_versions, parse_file_key, with_file_key
+from pricetide.sources.file_keys import parse_file_key, with_file_key
 from pricetide.sources.lineitem import read_table, wide_prices
 from pricetide.streaming.ingest_stream import run_available_now
 from tests.conftest import SF_SMALL
@@ -28,6 +28,11 @@ def _local(path):
     return path[len("file:"):] if path.startswith("file:") else path
 
 
+def _quarantining(spark):
+    """The derived frame prices skipped hours, which the default refuses."""
+    return IngestOptions(on_nonexistent="quarantine", quarantine_path=scratch_path(spark, "t-rejects"))
+
+
 def _table(spark, path):
     return sorted(tuple(r) for r in spark.read.parquet(path).select(*LONG_COLUMNS).collect())
 
@@ -63,11 +68,12 @@ def test_header_is_checked(spark, tmp_path):
 def test_file_key_forms(spark):
     keys = spark.createDataFrame(
         [("daa_market/2024/5/daa_market.csv",), ("s3://bucket/daa_market/2024/05/daa_market.csv",),
-         ("file:/x/land/ingest=0002/daa_market/file_year=2024/file_month=05/part-0.txt",), ("no-key.csv",)],
+         ("file:/x/land/ingest=0002/daa_market/file_year=2024/file_month=05/part-0.txt",), ("no-key.csv",),
+         ("daa_market/2024/13/x.csv",), ("daa_market/2024/0/x.csv",)],
         "p string")
     parsed = keys.select(*[v.alias(k) for k, v in parse_file_key("p").items()]).collect()
-    assert [tuple(r) for r in parsed[:3]] == [("daa_market", 2024, 5, "2024-05")] * 3
-    assert parsed[3].source_key is None
+    assert [tuple(r) for r in parsed[:3]] == [("daa_market", 2024, 5, "daa_market.2024-05")] * 3
+    assert [tuple(r) for r in parsed[3:]] == [(None,) * 4] * 3
 
 
 def test_latest_version_wins_and_padding_meets(spark, wide_text):
@@ -75,7 +81,7 @@ def test_latest_version_wins_and_padding_meets(spark, wide_text):
     older = wide_text.withColumn("Hour 1", F.lit(-1.0))
     write_wide_csv(older, f"{root}/ingest=0001")
     write_wide_csv(wide_text, f"{root}/ingest=0002", pad_month=True)
-    rows = latest_versions(with_file_key(read_wide_csv(spark, root)))
+    rows = read_latest(spark, root)
     assert rows.count() == wide_text.count()
     assert rows.filter(F.col("Hour 1") == "-1.0").count() == 0
 
@@ -85,7 +91,7 @@ def test_ingest_rerun_changes_nothing_and_quarantines(spark, wide_text):
     table = scratch_path(spark, "t-table")
     quarantine = scratch_path(spark, "t-quarantine")
     write_wide_csv(wide_text, root)
-    opts = IngestOptions(quarantine_path=quarantine)
+    opts = IngestOptions(on_nonexistent="quarantine", quarantine_path=quarantine)
     ingest(spark, root, table, opts)
     first = _table(spark, table)
     ingest(spark, root, table, opts)
@@ -113,15 +119,16 @@ def test_stream_picks_up_new_versions_and_replay_is_idempotent(spark, wide_text)
     root = scratch_path(spark, "t-stream-src")
     table = scratch_path(spark, "t-stream-table")
     ckpt = scratch_path(spark, "t-stream-ckpt")
+    options = _quarantining(spark)
     stale = wide_text.withColumn("Hour 1", F.lit(-5.0))
     write_wide_csv(stale, f"{root}/ingest=0001")
-    run_available_now(spark, root, table, ckpt)
+    run_available_now(spark, root, table, ckpt, options)
     assert spark.read.parquet(table).filter("price = -5.0").count() > 0
     write_wide_csv(wide_text, f"{root}/ingest=0002")
-    run_available_now(spark, root, table, ckpt)
+    run_available_now(spark, root, table, ckpt, options)
     after = _table(spark, table)
     assert not [r for r in after if r[2] == -5.0]
-    run_available_now(spark, root, table, ckpt)  # nothing new
+    run_available_now(spark, root, table, ckpt, options)  # nothing new
     assert _table(spark, table) == after
 
 
@@ -129,14 +136,15 @@ def test_stream_drops_a_late_older_version(spark, wide_text):
     root = scratch_path(spark, "t-late-src")
     table = scratch_path(spark, "t-late-table")
     ckpt = scratch_path(spark, "t-late-ckpt")
+    options = _quarantining(spark)
     write_wide_csv(wide_text, f"{root}/ingest=0002")
-    run_available_now(spark, root, table, ckpt)
+    run_available_now(spark, root, table, ckpt, options)
     before = _table(spark, table)
     late = write_wide_csv(wide_text.withColumn("Hour 1", F.lit(-7.0)), f"{root}/ingest=0001")
     old = time.time() - 3600
     for f in glob.glob(_local(late) + "/**/part-*", recursive=True):
         os.utime(f, (old, old))
-    run_available_now(spark, root, table, ckpt)
+    run_available_now(spark, root, table, ckpt, options)
     assert _table(spark, table) == before
 
 
@@ -145,13 +153,14 @@ def test_catalog_range_reads_prune_partitions(spark, wide_text):
 
     path = scratch_path(spark, "t-cat")
     long = to_long(wide_text, on_nonexistent="drop").withColumn(
-        "source_key", F.format_string("%04d-%02d", "year", "month"))
+        "source_key", F.format_string("daa_market.%04d-%02d", "year", "month"))
     write_long_table(long, path)
     name = register_table(spark, path, "energy_market_test", "prices_" + path.rsplit("-", 1)[-1])
     assert spark.table(name).count() == long.count()
     local = read_range(spark.table(name), "1998-03-01", "1998-04-01", by="local")
     plan = local._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan or "partitionfilters" in plan.lower()
+    filters = plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert "year" in filters and "month" in filters and "1998" in filters and "199803" in filters
     got = local.collect()
     assert got and all(r.timestamp.year == 1998 and r.timestamp.month == 3 for r in got)
     utc = read_range(spark.table(name), "1998-03-31 22:00:00", "1998-04-01 02:00:00", by="utc").collect()
@@ -166,10 +175,10 @@ def test_schema_evolution(spark, wide_text):
 
     path = scratch_path(spark, "t-evolve")
     long = to_long(wide_text, on_nonexistent="drop").withColumn(
-        "source_key", F.format_string("%04d-%02d", "year", "month"))
+        "source_key", F.format_string("daa_market.%04d-%02d", "year", "month"))
     write_long_table(long.filter("month <= 6"), path)
     write_long_table(long.filter("month > 6").withColumn("note", F.lit("v2")), path)
-    merged = read_long_table(spark, path)
+    merged = read_long_table(spark, path, merge_schema=True)
     assert "note" in merged.columns and merged.count() == long.count()
     assert merged.filter("month <= 6 AND note IS NOT NULL").count() == 0
 
@@ -190,7 +199,7 @@ def test_same_key_rewrite_replaces_rows_with_modified_after(spark, wide_text):
     ingest(spark, root, table, IngestOptions(), modified_after=after)
     out = spark.read.parquet(table)
     assert out.filter("price = -3.0").count() == 0
-    assert out.select("source_key").distinct().collect()[0][0] == "1996-05"
+    assert out.select("source_key").distinct().collect()[0][0] == "daa_market.1996-05"
 
 
 def test_range_sql_equals_range_read(spark, wide_text):
@@ -199,7 +208,7 @@ def test_range_sql_equals_range_read(spark, wide_text):
 
     path = scratch_path(spark, "t-rangesql")
     long = to_long(wide_text, on_nonexistent="drop").withColumn(
-        "source_key", F.format_string("%04d-%02d", "year", "month"))
+        "source_key", F.format_string("daa_market.%04d-%02d", "year", "month"))
     write_long_table(long, path)
     name = register_table(spark, path, "energy_market_test", "r_" + path.rsplit("-", 1)[-1])
     for by, lo, hi in [("local", "1996-10-26 00:00:00", "1996-10-28 00:00:00"),
@@ -216,6 +225,6 @@ def test_ingest_job_entry_point(spark, wide_text):
     table = scratch_path(spark, "t-cli-table")
     quarantine = scratch_path(spark, "t-cli-q")
     write_wide_csv(wide_text, root)
-    main(["--source", root, "--target", table, "--quarantine", quarantine])
+    main(["--source", root, "--target", table, "--quarantine", quarantine, "--on-nonexistent", "quarantine"])
     assert spark.read.parquet(table).count() > 0
     assert spark.read.parquet(quarantine).count() >= 1

@@ -1,5 +1,5 @@
 """Plan-shape guards: everything stays JVM-side, aggregates combine map-side
-before their shuffle, the file list is broadcast only under its bound, and
+before their shuffle, inputs are scanned once, and
 range reads prune partitions and push the time filter into the scan."""
 
 import re
@@ -11,8 +11,8 @@ from pricetide.operators.quality import utc_hour_gaps
 from pricetide.plans.query import read_range
 from pricetide.plans.sink import write_long_table
 from pricetide.session import scratch_path
-from pricetide.sources.csv_wide import read_wide_csv, write_wide_csv
-from pricetide.sources.file_keys import latest_versions, with_file_key
+from pricetide.sources.csv_wide import landing_lines, write_wide_csv
+from pricetide.sources.file_keys import list_files
 from pricetide.sources.lineitem import read_table, wide_prices, wide_prices_typed
 from tests.conftest import SF_SMALL
 
@@ -43,11 +43,16 @@ def test_gap_check_combines_duplicates_map_side(spark):
     assert "partial_count" in plan
 
 
-def test_file_list_is_broadcast_under_its_bound(spark):
+def test_landing_lines_derive_the_frame_once(spark):
+    plan = _plan(landing_lines(wide_prices(read_table(spark, SF_SMALL, "lineitem"))))
+    assert plan.split("Initial Plan")[0].count("FileScan parquet") == 1
+
+
+def test_listing_opens_no_file(spark):
     root = scratch_path(spark, "t-plan-landing")
     write_wide_csv(wide_prices(read_table(spark, SF_SMALL, "lineitem")), root)
-    plan = _plan(latest_versions(with_file_key(read_wide_csv(spark, root))))
-    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    plan = _plan(list_files(spark, root))
+    assert "ReadSchema: struct<path:string,modificationTime:timestamp>" in plan
 
 
 def test_range_read_prunes_and_pushes(spark):
