@@ -284,7 +284,7 @@ def q_toxicity(spark, sf_dir):
     from pricetide.llm.common import read
 
     scored = score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), learnable())
-    return scored.select("doc_id", (id_bucket("doc_id", 3) == 1).alias("held_out"), "score",
+    return scored.select("doc_id", F.coalesce(id_bucket("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
