@@ -158,9 +158,11 @@ def test_catalog_range_reads_prune_partitions(spark, wide_text):
     name = register_table(spark, path, "energy_market_test", "prices_" + path.rsplit("-", 1)[-1])
     assert spark.table(name).count() == long.count()
     local = read_range(spark.table(name), "1998-03-01", "1998-04-01", by="local")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     plan = local._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     filters = plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
-    assert "year" in filters and "month" in filters and "1998" in filters and "199803" in filters
+    assert "month" in filters and ">= 1998)" in filters and "<= 1998)" in filters and ">= 199803)" in filters
     got = local.collect()
     assert got and all(r.timestamp.year == 1998 and r.timestamp.month == 3 for r in got)
     utc = read_range(spark.table(name), "1998-03-31 22:00:00", "1998-04-01 02:00:00", by="utc").collect()
