@@ -4,8 +4,8 @@ Vectors are dealt by a hash of their id into shards of about ``SHARD_ROWS``.
 Every shard builds a tree: a node keeps a vantage vector and the median
 distance mu of its vectors to it, the nearer half on the inside, the others
 outside; a leaf keeps up to ``LEAF_ROWS`` vectors. The shard's trees are written
-once and searched by blocks of at most ``QUERY_BLOCK`` queries, which alone are
-broadcast. A query at distance d from the vantage vector, with tau the distance
+once and searched by blocks of about ``QUERY_BLOCK`` queries, one after the
+other; a block is all that is broadcast. A query at distance d from the vantage vector, with tau the distance
 of its k-th best so far, skips the other side of mu if
 
     |d - mu| * factor > tau
@@ -154,7 +154,7 @@ def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS, leaf_rows: int
 
 
 def query_blocks(queries: DataFrame, block: int = QUERY_BLOCK):
-    """(dim, ids, matrix) of at most about ``block`` queries at a time."""
+    """(dim, ids, matrix) of about ``block`` queries at a time."""
     blocks = max(1, -(-queries.count() // block))
     dealt = stored(queries.withColumn("dim", F.size("v"))
                           .withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")), "queries")
@@ -173,6 +173,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float =
     asked = queries.filter(F.col("id").isNotNull() & usable("v")).distinct()
     index = stored(build_index(ok, shard_rows), "vp-trees")
     found = None
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = spark.conf.get(key, "10000")
     for dim, ids, matrix in query_blocks(asked):
         block = spark.sparkContext.broadcast((ids, matrix))
 
@@ -189,13 +191,14 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float =
                     yield pa.record_batch([pa.array(np.repeat(query_ids, hit.sum(axis=1))), pa.array(got[hit])],
                                           names=["query_id", "vec_id"])
 
-        part = index.filter(F.col("dim") == dim).mapInArrow(search, "query_id long, vec_id long")
+        spark.conf.set(key, "16")  # a row is a whole shard
+        part = stored(index.filter(F.col("dim") == dim).mapInArrow(search, "query_id long, vec_id long"),
+                      "shard-neighbours")
+        spark.conf.set(key, rows)
+        block.destroy()  # one block of queries is on the executors at a time
         found = part if found is None else found.union(part)
     if found is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")  # a row is a whole shard
-    found = stored(found, "shard-neighbours")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     a, b = (f.select(F.col("id").alias(i), F.col("v").alias(v)) for f, i, v in
             ((asked, "query_id", "qv"), (ok.distinct(), "vec_id", "v")))
     apart = F.zip_with("qv", "v", lambda x, y: (x.cast("double") - y.cast("double")))
