@@ -123,7 +123,7 @@ def write_archives(typed: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
         out, name, at = None, None, 0
         try:
             for batch in batches:
-                rows = batch.to_pydict()
+                rows = batch.drop_columns(["html"]).to_pydict()
                 html = batch.column(batch.schema.get_field_index("html")).cast(pa.binary())
                 archives, offsets, lengths = [], [], []
                 for i in range(batch.num_rows):
