@@ -59,7 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not sc.master.startswith("local"):
+    # local-cluster has executors of its own, so it counts as a cluster.
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     sc.setCheckpointDir(fallback or os.path.join("/tmp", "pricetide-checkpoints"))
     return sc.getCheckpointDir().rstrip("/")
