@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ SMOOTHING = 0.1       # added to every piece's count
 UNKNOWN = 1e-9        # probability of a character that no piece covers
 WORD_CACHE = 200_000
 COUNT_WORDS = 200_000  # distinct words counted before they are segmented
+BASE = 0x9E3779B97F4A7C15  # of the pieces' hash
 WHOLE = 32            # longer words are scored one by one, rescaled as they go
 LETTERS = re.compile(r"[^\W\d_]+")
 START = "▁"      # marks a word's first piece
@@ -89,21 +91,19 @@ def piece_counts(texts: DataFrame, blob: bytes) -> DataFrame:
 
 
 class PieceModel:
-    """Piece probabilities (pieces + unknown + nothing) x languages."""
+    """Piece probabilities (pieces + unknown) x languages."""
 
     def __init__(self, pieces: dict[str, int], probability: np.ndarray, prior: np.ndarray):
         self.pieces, self.p, self.prior = pieces, probability, prior
-        self.unknown, self.nothing = len(probability) - 2, len(probability) - 1
+        self.unknown = len(probability) - 1
         self.longest = max(map(len, pieces), default=1)
-
-    def _ids(self, word: str) -> list[int]:
-        """Piece ending at each character, of each length: the shorter first."""
-        get, nothing = self.pieces.get, self.nothing
-        out = []
-        for i in range(1, len(word) + 1):
-            out.append(get(word[i - 1:i], self.unknown))
-            out.extend([get(word[i - k:i], nothing) for k in range(2, min(i, self.longest) + 1)])
-        return out
+        # Pieces by a 64-bit polynomial hash of their characters.
+        self.power = np.array([pow(BASE, k, 1 << 64) for k in range(self.longest + 1)], np.uint64)
+        names = list(pieces)
+        keys = np.array([sum(ord(c) * pow(BASE, len(x) - 1 - j, 1 << 64) for j, c in enumerate(x)) % (1 << 64)
+                         for x in names], np.uint64)
+        order = np.argsort(keys)
+        self.keys, self.rows = keys[order], np.array([pieces[x] for x in names], np.int64)[order]
 
     def _long(self, word: str) -> np.ndarray:
         scale = np.zeros(self.p.shape[1])
@@ -119,6 +119,27 @@ class PieceModel:
             past = [x / f for x in past]
         return scale
 
+    def _forward(self, words: list[str], n: int) -> np.ndarray:
+        """Probabilities of words of ``n`` characters: at every end, pieces of
+        each length are looked up for all words at once."""
+        codes = np.array(words, dtype=f"<U{n}").view(np.uint32).reshape(len(words), n).astype(np.uint64)
+        hashes = np.zeros((n + 1, len(words)), np.uint64)
+        f = [np.ones((len(words), self.p.shape[1]))]
+        for i in range(1, n + 1):
+            hashes[i] = hashes[i - 1] * np.uint64(BASE) + codes[:, i - 1]
+            total = np.zeros_like(f[0])
+            for k in range(1, min(i, self.longest) + 1):
+                own = hashes[i] - hashes[i - k] * self.power[k]
+                at = np.minimum(np.searchsorted(self.keys, own), len(self.keys) - 1)
+                known = self.keys[at] == own
+                if k == 1:
+                    total += f[i - 1] * self.p[np.where(known, self.rows[at], self.unknown)]
+                elif known.any():
+                    hit = np.flatnonzero(known)
+                    total[hit] += f[i - k][hit] * self.p[self.rows[at[hit]]]
+            f.append(total)
+        return f[n]
+
     def score(self, words: list[str]) -> np.ndarray:
         """Log probability of each word, summed over its segmentations."""
         out = np.empty((len(words), self.p.shape[1]))
@@ -130,16 +151,7 @@ class PieceModel:
                 for i in rows:
                     out[i] = self._long(START + words[i])
                 continue
-            ids = np.array([self._ids(START + words[i]) for i in rows])
-            f = [np.ones((len(rows), self.p.shape[1]))]
-            at = 0
-            for i in range(1, n + 1):
-                total = 0.0
-                for k in range(1, min(i, self.longest) + 1):
-                    total = total + f[i - k] * self.p[ids[:, at]]
-                    at += 1
-                f.append(total)
-            out[rows] = np.log(f[n])
+            out[rows] = np.log(self._forward([START + words[i] for i in rows], n))
         return out
 
 
@@ -158,7 +170,7 @@ def learn(texts: DataFrame, vocabulary: str = VOCABULARY):
         if piece < size:
             counts[piece, column[lang]] = n
     p = (counts + SMOOTHING) / (counts.sum(axis=0) + SMOOTHING * size) if langs else counts
-    p = np.vstack([p, np.full(len(langs), UNKNOWN), np.zeros(len(langs))])
+    p = np.vstack([p, np.full(len(langs), UNKNOWN)])
     prior = np.log(np.array([docs[lang] for lang in langs], float) / max(1, sum(docs.values()))) if langs else np.zeros(0)
     return langs, pieces, p, prior
 
@@ -183,16 +195,17 @@ def predict(docs: DataFrame, model, keep: list[str | Column]) -> DataFrame:
             if fresh:
                 row.update(zip(fresh, range(len(row), len(row) + len(fresh))))
                 scores = np.vstack([scores, m.score(fresh)])
-            names, sure = [], []
-            for words in texts:
-                if not words:
-                    names.append("und")
-                    sure.append(0.0)
-                    continue
-                total = prior + scores[np.fromiter(map(row.__getitem__, words), np.int64, len(words))].sum(axis=0)
-                best = int(total.argmax())
-                names.append(langs[best])
-                sure.append(float(1 / np.exp(total - total[best]).sum()))
+            sizes = np.array([len(words) for words in texts])
+            some = np.flatnonzero(sizes)
+            flat = np.fromiter(map(row.__getitem__, chain.from_iterable(texts)), np.int64, int(sizes.sum()))
+            starts = (np.cumsum(sizes) - sizes)[some]
+            names, sure = ["und"] * len(texts), [0.0] * len(texts)
+            if len(some):
+                totals = prior + np.add.reduceat(scores[flat], starts, axis=0)
+                for i, total in zip(some.tolist(), totals):
+                    best = int(total.argmax())
+                    names[i] = langs[best]
+                    sure[i] = float(1 / np.exp(total - total[best]).sum())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(sure, pa.float64())],
                 names=[*batch.schema.names[:-1], "lang_pred", "score"])

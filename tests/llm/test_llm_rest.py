@@ -251,7 +251,7 @@ def test_neighbours_of_odd_vectors(spark):
 
 def test_forward_sums_every_segmentation():
     pieces = {"▁": 0, "▁a": 1, "a": 2, "b": 3, "ab": 4, "ba": 5, "aba": 6, "▁ab": 7}
-    p = np.array([[0.1 + 0.01 * i, 0.2 - 0.01 * i] for i in range(8)] + [[1e-9, 1e-9], [0.0, 0.0]])
+    p = np.array([[0.1 + 0.01 * i, 0.2 - 0.01 * i] for i in range(8)] + [[1e-9, 1e-9]])
     model = langid.PieceModel(pieces, p, np.zeros(2))
 
     def total(word, col):
