@@ -209,11 +209,20 @@ def fit_extremes(clean: DataFrame) -> tuple[float, float]:
     return lam, math.log((found.found + 1) / found.tokens) + lam * MIN_SEGMENT
 
 
+def _level(log_k: float) -> Column:
+    """ln(K n) of a text of n tokens."""
+    return F.log(F.greatest("n_tokens", F.lit(1))) + F.lit(log_k)
+
+
 def evidence(lam: float, log_k: float) -> Column:
     """Sum of lambda S - ln(K n) over the significant segments."""
-    level = F.log(F.greatest("n_tokens", F.lit(1))) + F.lit(log_k)
     return F.aggregate("segments", F.lit(0.0),
-                       lambda acc, s: acc + F.greatest(F.lit(0.0), s["score"] * lam - level))
+                       lambda acc, s: acc + F.greatest(F.lit(0.0), s["score"] * lam - _level(log_k)))
+
+
+def significant(lam: float, log_k: float) -> Column:
+    """The segments that a clean text of that length is unlikely to hold."""
+    return F.filter("segments", lambda s: s["score"] * lam > _level(log_k))
 
 
 def fit_logistic(labelled: DataFrame) -> tuple[float, float]:
@@ -245,8 +254,9 @@ def fit_logistic(labelled: DataFrame) -> tuple[float, float]:
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> DataFrame:
-    """(rid, doc_id, n_tokens, segments, evidence, score) for every row of
-    ``docs`` (doc_id, text): ``rid`` numbers the rows of ``docs`` as read.
+    """(rid, doc_id, n_tokens, segments, passages, evidence, score) for every
+    row of ``docs`` (doc_id, text): ``rid`` numbers the rows as read,
+    ``passages`` are the significant segments.
 
     ``learn`` limits the labelled documents (a condition on doc_id) that train
     the model; the last quarter of them, by a hash of the id, only calibrates.
@@ -263,16 +273,16 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = No
     table = stored(segments(docs, odds, [F.monotonically_increasing_id().alias("rid"), "doc_id"]), "segments")
     held = table.join(marks.filter(calibrates), "doc_id")
     lam, log_k = fit_extremes(held.filter("toxic = 0"))
-    table = table.withColumn("evidence", evidence(lam, log_k))
+    table = table.withColumn("passages", significant(lam, log_k)).withColumn("evidence", evidence(lam, log_k))
     if not odds.trained:
         return table.withColumn("score", F.lit(0.0))
     slope, offset = fit_logistic(held.withColumn("evidence", evidence(lam, log_k)))
     return table.withColumn("score", 1 / (1 + F.exp(-(F.log1p("evidence") * slope + offset))))
 
 
-def toxic_passages(scored: DataFrame, lam: float = 1.0) -> DataFrame:
-    """(doc_id, start, end, score): every kept segment, in tokens."""
-    return scored.select("doc_id", F.inline("segments"))
+def toxic_passages(scored: DataFrame) -> DataFrame:
+    """(rid, doc_id, start, end, score): every significant passage, in tokens."""
+    return scored.select("rid", "doc_id", F.inline("passages"))
 
 
 def learnable() -> Column:

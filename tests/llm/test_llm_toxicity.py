@@ -55,6 +55,8 @@ def test_odd_rows_are_scored(spark):
     got = [(r.doc_id, r.score) for r in found.collect()]
     assert len(got) == len(docs) and all(0 <= s <= 1 for _, s in got)
     score = dict(got)
+    passages = T.toxic_passages(found).filter("doc_id = 7").collect()
+    assert passages and all(0 <= p.start < p.end and p.score > 0 for p in passages)
     assert min(s for i, s in got if i is not None and i < 200 and i % 2) > 0.7
     assert max(s for i, s in got if i is not None and i < 200 and not i % 2) < 0.7
     assert score[900] == score[901] < 0.7 and score[903] > 0.7
