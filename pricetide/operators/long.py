@@ -26,6 +26,9 @@ from pricetide.operators.reshape import lineage_columns, slot_columns, snake_cas
 from pricetide.schema import DAY_COLUMN, DEFAULT_TIMEZONE, LONG_COLUMNS, NULL_MARKERS
 
 _SLOT_NAME = re.compile(r"^hour_[0-9]+[a-z]?$")
+# One pattern instead of a list test: a long IN list breaks code generation
+# of this projection.
+_NULL_PATTERN = "^(" + "|".join(re.escape(m) for m in NULL_MARKERS) + ")$"
 _POLICIES = ("raise", "drop", "quarantine")
 
 # Reasons a long row is rejected.
@@ -122,7 +125,7 @@ def annotate_long(wide: DataFrame, timezone: str = DEFAULT_TIMEZONE,
     if text_slots:
         # Cells arrive as text, so each bad number is caught per cell.
         cell_text = F.trim(F.col("_slot.v"))
-        cell_text = F.when(~cell_text.isin(NULL_MARKERS), cell_text)
+        cell_text = F.when(~cell_text.rlike(_NULL_PATTERN), cell_text)
         price = cell_text.try_cast("double")
         filled = cell_text.isNotNull() & ~(price.isNotNull() & F.isnan(price))
         bad_price = cell_text.isNotNull() & price.isNull()

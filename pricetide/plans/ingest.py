@@ -90,7 +90,7 @@ def _whole_lines(wide: DataFrame, policy: str) -> DataFrame:
 def rejects(wide: DataFrame, options: IngestOptions) -> DataFrame:
     """What the policies quarantine, with the original day and cell text:
     every rejected cell, and malformed or unkeyed lines."""
-    columns = ["source_key", "file_path", "delivery_day", "delivery_day_text", "hour_name", "cell_text", "price",
+    columns = ["source_key", "file_path", "delivery_day", "delivery_day_text", "hour_name", "cell_text",
                "timestamp", "reject_reason"]
     cells = rejected_rows(annotate_long(_whole_lines(wide, "quarantine"), options.timezone, options.on_ambiguous))
     kept = F.when(F.col("reject_reason") == "nonexistent_local_time", F.lit(options.on_nonexistent)).otherwise(
@@ -106,7 +106,7 @@ def rejects(wide: DataFrame, options: IngestOptions) -> DataFrame:
         F.coalesce("source_key", F.lit(UNKEYED)).alias("source_key"), "file_path",
         F.lit(None).cast("date").alias("delivery_day"), F.col(DAY_HEADER).alias("delivery_day_text"),
         F.lit(None).cast("string").alias("hour_name"), line.alias("cell_text"),
-        F.lit(None).cast("double").alias("price"), F.lit(None).cast("timestamp_ntz").alias("timestamp"),
+        F.lit(None).cast("timestamp_ntz").alias("timestamp"),
         reason.alias("reject_reason"))
     return out.unionByName(whole)
 
@@ -123,7 +123,7 @@ def ingest_rows(wide: DataFrame, keys: list[str], target: str, options: IngestOp
     held on executor disks between them."""
     if options.quarantines:
         # The folder of files without a key is replaced like a key's.
-        replace_keys(rejects(wide, options), options.quarantine_path, [*keys, UNKEYED], _write_quarantine)
+        replace_keys(rejects(wide, options), options.quarantine_path, [*keys, UNKEYED], _write_quarantine, levels=0)
     annotated = annotate_long(_whole_lines(wide, options.on_invalid), options.timezone, options.on_ambiguous)
     long = finish_long(annotated, options.timezone, options.on_nonexistent, options.on_invalid,
                        keep_columns=["source_key"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 # only its own folders.
 PARTITION_COLUMNS = ("source_key", "year", "month")
 PARTITIONS_PER_STATEMENT = 200
+KEYS_PER_LISTING = 500
 
 
 def _partitions(df: DataFrame) -> list[str]:
@@ -44,38 +46,42 @@ def _hadoop(spark: SparkSession, path: str):
     return jvm, folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _escaped(spark: SparkSession, key: str) -> str:
-    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(key)
+def _key_pattern(spark: SparkSession, key: str) -> str:
+    """A key's folder name as a glob that matches only it."""
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", key):
+        key = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(key)
+    return re.sub(r"([{}\[\],*?\\])", r"\\\1", key)
 
 
-def key_leaves(spark: SparkSession, path: str, keys: list[str]) -> dict[str, set[str]]:
+def key_leaves(spark: SparkSession, path: str, keys: list[str], levels: int = 2) -> dict[str, set[str]]:
     """Leaf folder (below ``path``, such as ``source_key=k/year=2024/month=5``)
-    -> names of its files, for the folders of ``keys`` only."""
+    -> names of its files, for the folders of ``keys`` only, which have
+    ``levels`` levels of folders below them."""
     jvm, root, store = _hadoop(spark, path)
     leaves: dict[str, set[str]] = {}
-    for key in keys:
-        top = jvm.org.apache.hadoop.fs.Path(root, f"source_key={_escaped(spark, key)}")
-        if not store.exists(top):
-            continue
-        prefix = store.getFileStatus(root).getPath().toString().rstrip("/") + "/"
-        files = store.listFiles(top, True)
-        while files.hasNext():
-            found = files.next().getPath()
-            leaf = found.getParent().toString().removeprefix(prefix)
-            leaves.setdefault(leaf, set()).add(found.getName())
+    if not store.exists(root):
+        return leaves
+    prefix = store.getFileStatus(root).getPath().toString().rstrip("/") + "/"
+    for i in range(0, len(keys), KEYS_PER_LISTING):
+        names = ",".join(_key_pattern(spark, k) for k in keys[i:i + KEYS_PER_LISTING])
+        below = jvm.org.apache.hadoop.fs.Path(root, f"source_key={{{names}}}" + "/*" * (levels + 1))
+        for found in jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(store.globStatus(below)):
+            leaf, name = found.toString().removeprefix(prefix).rsplit("/", 1)
+            leaves.setdefault(leaf, set()).add(name)
     return leaves
 
 
-def replace_keys(df: DataFrame, path: str, keys: list[str], write=write_long_table) -> tuple[list[str], list[str]]:
+def replace_keys(df: DataFrame, path: str, keys: list[str], write=write_long_table,
+                 levels: int = 2) -> tuple[list[str], list[str]]:
     """Write ``df`` so that afterwards the table holds exactly its rows for
     ``keys``: a leaf of these keys that the write did not touch still has a
     file from before, and is removed - also when no row is left at all.
     Returns (leaves there now, leaves removed). A run that dies in between is
     mended by running it again."""
     spark = df.sparkSession
-    before = key_leaves(spark, path, keys)
+    before = key_leaves(spark, path, keys, levels)
     write(df, path)
-    after = key_leaves(spark, path, keys)
+    after = key_leaves(spark, path, keys, levels)
     stale = sorted(leaf for leaf, files in after.items() if files & before.get(leaf, set()))
     jvm, root, store = _hadoop(spark, path)
     for leaf in stale:
