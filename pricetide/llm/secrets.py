@@ -1,9 +1,12 @@
 """Secret scans: candidates by pattern, false positives removed by a forest.
 
-*Candidates* are words (split at white space, outer punctuation removed) whose
-value - what follows a last `=` or `:` - has at least ``MIN_LENGTH`` characters
-and a digit, or is assigned to a name such as password or token and has at
-least ``MIN_ASSIGNED``. Only texts that hold such a run are split.
+*Candidates* are parts of words (texts split at white space): the word itself
+without outer punctuation; every run of ``RUN`` characters in it; every value
+that follows a name and `=`, `:`, `:=` or `=>` at any place of it, up to a closing
+quote or the next name; issued key formats inside longer runs; passwords of
+URLs. A part counts if it has at least ``MIN_LENGTH`` ``RUN`` characters and a
+digit, or if it is assigned to a name such as password or token and has at least
+``MIN_ASSIGNED``. Only texts that hold such a part are split.
 
 *Features*, all SQL expressions on the few candidates: length, shares of
 character classes, of hexadecimal and of distinct characters; the shares of
@@ -55,6 +58,14 @@ EXAMPLE = r"(?i)(example|sample|dummy|test|placeholder|fake)"
 RUN = r"[A-Za-z0-9+/_.=@~-]"
 HOLDS_CANDIDATE = (rf"(?<!{RUN})(?=[A-Za-z+/_.=@~-]*[0-9]){RUN}{{{MIN_LENGTH},}}"
                    rf"|{SECRET_NAME}[\"']?\s*[:=]+\s*[\"']?\S{{{MIN_ASSIGNED},}}")
+# A name, its separator and, looked ahead so that values may nest, its value.
+NAMED = (r"([A-Za-z][A-Za-z0-9_.-]{0,40})[\"']?[:=]+>?"
+         r"(?=\"([^\"]+)|'([^']+)|((?:(?![&;,?][\"']?[A-Za-z][A-Za-z0-9_.-]{0,40}[\"']?[:=])[^\"'])"
+         r"(?:(?![&;,?][\"']?[A-Za-z][A-Za-z0-9_.-]{0,40}[\"']?[:=]).)*))")
+KEY_INSIDE = (r"(?<![A-Za-z0-9])(A(?:KIA|SIA)[A-Z0-9]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{30,}"
+              r"|sk[-_][A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}"
+              r"|eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}[A-Za-z0-9_.-]*)")
+URL_PASSWORD = rf"://[^/?#:@]*:([^/]{{{MIN_ASSIGNED},}})@"
 CLASSES = {"v": "aeiou", "c": "bcdfghjklmnpqrstvwxyz", "U": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "9": "0123456789"}
 
 
@@ -71,19 +82,37 @@ def candidates(docs: DataFrame) -> DataFrame:
                  'after', coalesce(get(w, i + 1), ''))),
                s -> length(s.word) >= {MIN_ASSIGNED})""")
     found = texts.select("rid", "doc_id", "path", F.inline(hit))
-    bare = F.regexp_replace("word", r"^[^A-Za-z0-9]+|[^A-Za-z0-9+/=]+$", "")
-    found = (found.withColumn("bare", bare)
-                  .withColumn("name", F.regexp_extract("bare", r"^([A-Za-z][A-Za-z0-9_.-]{1,40})[\"']?[:=]+[\"']?(.+)$", 1))
-                  .withColumn("value", F.when(F.col("name") != "", F.regexp_extract(
-                      "bare", r"^([A-Za-z][A-Za-z0-9_.-]{1,40})[\"']?[:=]+[\"']?(.+)$", 2)).otherwise(F.col("bare"))))
-    assigned = (F.col("name").rlike(SECRET_NAME)
-                | (F.col("before").rlike(r"^([:=]+|:=|=>)$") & F.col("two").rlike(SECRET_NAME))
-                | F.col("before").rlike(SECRET_NAME + r"[\"']?[:=]+$"))
-    return (found.withColumn("assigned", assigned)
-                 .filter(((F.length("value") >= MIN_LENGTH) & F.col("value").rlike("[0-9]")
-                          & F.col("value").rlike(rf"^{RUN}+$"))
-                         | (F.col("assigned") & (F.length("value") >= MIN_ASSIGNED)))
-                 .select("rid", "doc_id", "path", "at", "value", "name", "before", "two", "after", "assigned"))
+    found = (found.withColumn("bare", F.regexp_replace("word", r"^[^A-Za-z0-9]+|[^A-Za-z0-9+/=]+$", ""))
+                  .withColumn("told", F.col("before").rlike(SECRET_NAME + r"[\"']?[:=]+$")
+                              | (F.col("before").rlike(r"^([:=]+|:=|=>)$") & F.col("two").rlike(SECRET_NAME))))
+
+    def every(pattern: str, group: int) -> Column:
+        return F.regexp_extract_all("bare", F.lit(pattern), F.lit(group))
+
+    def part(value: Column, name: Column, sure: bool) -> Column:
+        return F.struct(F.regexp_replace(value, r"[^A-Za-z0-9+/=]+$", "").alias("value"), name.alias("name"),
+                        F.lit(sure).alias("sure"))
+
+    none = F.lit("")
+    named = F.transform(F.arrays_zip(*(every(NAMED, g).alias(f"g{g}") for g in range(1, 5))),
+                        lambda x: part(F.concat(x["g2"], x["g3"], x["g4"]), x["g1"], False))
+    whole = F.when(F.col("bare").rlike(r"^[A-Za-z][A-Za-z0-9_.-]{0,40}[\"']?[:=]+>?[^:=]"), F.array().cast(
+        "array<struct<value:string,name:string,sure:boolean>>")).otherwise(F.array(part(F.col("bare"), none, False)))
+    runs = F.filter(F.transform(every(rf"{RUN}{{{MIN_LENGTH},}}", 0), lambda x: part(x, none, False)),
+                    lambda x: ~x["value"].rlike("^[A-Za-z][A-Za-z0-9_.-]{0,40}=+[^=]"))
+    keys = F.transform(every(KEY_INSIDE, 1), lambda x: part(x, none, False))
+    passwords = F.transform(every(URL_PASSWORD, 1), lambda x: part(x, none, True))
+    parts = found.withColumn("part", F.explode(F.concat(whole, named, runs, keys, passwords))).select(
+        "rid", "doc_id", "path", "at", "before", "two", "after", "part.value", "part.name",
+        (F.col("part.sure") | F.col("told") | F.col("part.name").rlike(SECRET_NAME)).alias("assigned"))
+    kept = parts.filter(((F.length("value") >= MIN_LENGTH) & F.col("value").rlike("[0-9]")
+                         & F.col("value").rlike(rf"^{RUN}+$"))
+                        | (F.col("assigned") & (F.length("value") >= MIN_ASSIGNED)))
+    # One finding per word and value, the assigned and named form first.
+    best = F.max(F.struct("assigned", "name")).alias("best")
+    others = ["doc_id", "path", "before", "two", "after"]
+    return (kept.groupBy("rid", "at", "value").agg(best, *(F.first(c).alias(c) for c in others))
+                .select("rid", "doc_id", "path", "at", "value", "best.name", "before", "two", "after", "best.assigned"))
 
 
 def dictionary(spark: SparkSession, path: str = DICTIONARY) -> DataFrame:
@@ -97,11 +126,11 @@ def dictionary(spark: SparkSession, path: str = DICTIONARY) -> DataFrame:
 
 def with_features(found: DataFrame, words: DataFrame) -> tuple[DataFrame, list[str]]:
     """``found`` with feature columns, and their names."""
-    runs = found.select("rid", "at", F.explode(F.array_distinct(F.regexp_extract_all(
+    runs = found.select("rid", "at", "value", F.explode(F.array_distinct(F.regexp_extract_all(
         F.lower("value"), F.lit("[a-z]{3,}"), F.lit(0)))).alias("word"))
-    covered = (runs.join(F.broadcast(words), "word").groupBy("rid", "at")
+    covered = (runs.join(F.broadcast(words), "word").groupBy("rid", "at", "value")
                    .agg(F.sum(F.length("word")).alias("covered")))
-    out = found.join(covered, ["rid", "at"], "left")
+    out = found.join(covered, ["rid", "at", "value"], "left")
     n = F.length("value").cast("double")
     matching = "".join(CLASSES.values())
     shape = F.translate("value", matching, "".join(k * len(v) for k, v in CLASSES.items()))
@@ -153,7 +182,7 @@ def bounded(labelled: DataFrame, most: int) -> DataFrame:
 
 def scan_secrets(docs: DataFrame, labels: DataFrame | None = None, dictionary_path: str = DICTIONARY) -> DataFrame:
     """(rid, doc_id, path, at, value, rule, score, is_secret) per candidate:
-    ``at`` is the word's number, ``score`` the forest's probability.
+    ``at`` is the word's number (a word may hold several values), ``score`` the forest's probability.
 
     ``docs`` has doc_id, path and text; ``labels`` (value, label 0/1), where
     given, are the labelled findings to train on.
