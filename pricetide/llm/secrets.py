@@ -56,8 +56,6 @@ KEY_FORMAT = (r"^(A(KIA|SIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{30,}|sk[-_][A-Za-
               r"|eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}.*)$")
 EXAMPLE = r"(?i)(example|sample|dummy|test|placeholder|fake)"
 RUN = r"[A-Za-z0-9+/_.=@~-]"
-HOLDS_CANDIDATE = (rf"(?<!{RUN})(?=[A-Za-z+/_.=@~-]*[0-9]){RUN}{{{MIN_LENGTH},}}"
-                   rf"|{SECRET_NAME}[\"']?\s*[:=]+\s*[\"']?\S{{{MIN_ASSIGNED},}}")
 # A name, its separator and, looked ahead so that values may nest, its value.
 NAMED = (r"([A-Za-z][A-Za-z0-9_.-]{0,40})[\"']?[:=]+>?"
          r"(?=\"([^\"]+)|'([^']+)|((?:(?![&;,?][\"']?[A-Za-z][A-Za-z0-9_.-]{0,40}[\"']?[:=])[^\"'])"
@@ -66,15 +64,28 @@ KEY_INSIDE = (r"(?<![A-Za-z0-9])(A(?:KIA|SIA)[A-Z0-9]{16}(?![A-Za-z0-9])|gh[pous
               r"|sk[-_][A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}"
               r"|eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}[A-Za-z0-9_.-]*)")
 URL_PASSWORD = rf"://[^/?#:@]*:([^/]{{{MIN_ASSIGNED},}})@"
+# Texts without a match of these hold no candidate: whatever `candidates` takes
+# is a run with a digit, follows a secret's name, or is a URL's password.
+HOLDS_RUN = rf"(?<!{RUN})(?=[A-Za-z+/_.=@~-]*[0-9]){RUN}{{{MIN_LENGTH},}}"
+HOLDS_NAMED = rf"{SECRET_NAME}[A-Za-z0-9_.-]{{0,41}}[\"']?[:=]"
+LONE_SEPARATOR = r"(?:^|[\x00-\x20])[:=]+>?[\x00-\x20]"
 CLASSES = {"v": "aeiou", "c": "bcdfghjklmnpqrstvwxyz", "U": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "9": "0123456789"}
 
 
+def holds_candidate() -> Column:
+    """Whether ``text`` may hold a candidate: true for every text that
+    `candidates` finds one in; null for null."""
+    text = F.col("text")
+    return (text.rlike(HOLDS_RUN) | text.rlike(HOLDS_NAMED) | text.rlike(URL_PASSWORD)
+            | (text.rlike(LONE_SEPARATOR) & text.rlike(SECRET_NAME)))
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """(rid, doc_id, path, at, value, name, before, after, assigned) of every
     candidate; ``docs`` has doc_id, path and text."""
     texts = (docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id",
                          F.coalesce(F.col("path").cast("string"), F.lit("")).alias("path"), "text")
-                 .filter(F.col("text").rlike(HOLDS_CANDIDATE))
+                 .filter(holds_candidate())
                  .withColumn("w", F.split("text", r"[\x00-\x20]+")))
     hit = F.expr(f"""
         filter(transform(w, (x, i) -> named_struct('at', i, 'word', x,
@@ -83,7 +94,7 @@ def candidates(docs: DataFrame) -> DataFrame:
                s -> length(s.word) >= {MIN_ASSIGNED})""")
     found = texts.select("rid", "doc_id", "path", F.inline(hit))
     found = (found.withColumn("bare", F.regexp_replace("word", r"^[^A-Za-z0-9]+|[^A-Za-z0-9+/=]+$", ""))
-                  .withColumn("told", F.col("before").rlike(SECRET_NAME + r"[\"']?[:=]+$")
+                  .withColumn("told", F.col("before").rlike(SECRET_NAME + r"[A-Za-z0-9_.-]{0,41}[\"']?[:=]+>?$")
                               | (F.col("before").rlike(r"^([:=]+|:=|=>)$") & F.col("two").rlike(SECRET_NAME))))
 
     def every(pattern: str, group: int) -> Column:
@@ -218,7 +229,7 @@ def mask_secrets(docs: DataFrame, dictionary_path: str = DICTIONARY) -> DataFram
     secrets = (scan_secrets(docs.withColumn("path", F.col("source")), dictionary_path=dictionary_path)
                .filter("is_secret = 1").groupBy(F.col("doc_id").alias("__of"))
                .agg(F.array_sort(F.collect_set("value"), lambda a, b: F.length(b) - F.length(a)).alias("__secrets")))
-    holds = F.coalesce(F.col("text").rlike(HOLDS_CANDIDATE), F.lit(False))
+    holds = F.coalesce(holds_candidate(), F.lit(False))
     masked = F.aggregate("__secrets", F.col("text"), lambda text, s: F.replace(text, s, F.lit(MASK)))
     some = docs.filter(holds).join(secrets, F.col("doc_id").eqNullSafe(F.col("__of")), "left")
     some = some.withColumn("text", F.when(F.col("__secrets").isNull(), F.col("text")).otherwise(masked))

@@ -323,3 +323,17 @@ def test_secrets_inside_words_are_candidates(spark):
     assert secrets.scan_secrets(docs).groupBy("rid", "at", "value").count().filter("count > 1").count() == 0
     masked = secrets.mask_secrets(docs.withColumnRenamed("path", "source")).filter("doc_id in (0, 1, 3)").collect()
     assert all(key not in r.text and token not in r.text for r in masked)
+
+
+def test_the_text_filter_loses_no_candidate(spark, monkeypatch):
+    texts = ["secret_value: letmein99x", "DB_PASSWORD_PROD=correct-horse-battery", "my.token.name => abcdefghij",
+             "the password) := longenough", '"api_key": "abcdefgh"', "token=> longenough", "pwd=short", "=> no secret",
+             "postgres://u:correcthorse@h", "a run of abc123def456g here", "nothing at all", "", None]
+    docs = spark.createDataFrame([(i, "p", t) for i, t in enumerate(texts)], "doc_id long, path string, text string")
+
+    def found():
+        return sorted((r.doc_id, r.at, r.value, r.name, r.assigned) for r in secrets.candidates(docs).collect())
+
+    some = found()
+    monkeypatch.setattr(secrets, "holds_candidate", lambda: F.lit(True))
+    assert some == found() and {0, 1, 2, 3, 4, 5, 8, 9} <= {r[0] for r in some}
