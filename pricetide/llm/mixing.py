@@ -7,8 +7,10 @@ ceil((j + 1) / w); earliest deadline first meets every deadline when weights
 add to one, so after any number t of slots a source has had its w t blocks to
 within less than one block.
 
-Weights are whole shares p of a cycle of Q slots (p / Q is the target), so one
-cycle's schedule, worked out from the list of sources alone, serves all cycles.
+Weights are exact fractions p / Q, never rounded. Where Q is small (weights that
+are multiples of a thousandth, thirds), one cycle's schedule, worked out from the
+list of sources alone, serves all cycles; otherwise (the default weights) the
+schedule has one row per block of the phase.
 When a source has given its last block, a new *phase* begins in which the other
 sources share the slots by their weights: every document is placed exactly
 once. Documents are ranked within their source by counts per hash bucket and a
@@ -25,58 +27,57 @@ positive weight, so that nothing is dropped.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Mapping
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_DOCS = 32
-RESOLUTION = 1000      # slots of a cycle: weights in thousandths
+RESOLUTION = 1000      # slots of a cycle, where weights are whole shares of it
 ALPHA = 0.7            # default target weights: size ** ALPHA
 BUCKET_ROWS = 50_000   # rows of one ranking bucket, about
 MIN_BUCKETS, MAX_BUCKETS = 64, 65_536
 BROADCAST_ROWS = 1_000_000
 
 
-def whole_shares(weights: Mapping, resolution: int) -> dict:
-    """Shares p >= 1 that add to Q, nearest to ``weights``: floors first, then
-    one more for the largest remainders."""
-    q = max(resolution, 4 * len(weights))
-    total = sum(weights.values())
-    spare = q - len(weights)
-    exact = {s: spare * w / total for s, w in weights.items()}
-    shares = {s: 1 + int(x) for s, x in exact.items()}
-    short = q - sum(shares.values())
-    for s in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], str(s)))[:short]:
-        shares[s] += 1
-    return shares
+def whole(weights: Mapping) -> dict:
+    """Whole numbers in the exact proportion of ``weights``: floats count as the
+    shortest decimal that reads back as them, so 0.3 is three tenths."""
+    exact = {s: Fraction(repr(float(w))) if isinstance(w, float) else Fraction(w) for s, w in weights.items()}
+    scale = math.lcm(*(w.denominator for w in exact.values()))
+    return {s: int(w * scale) for s, w in exact.items()}
 
 
 def integer_shares(weights: Mapping, resolution: int) -> dict:
-    """``weights`` as they are where they are whole shares of the cycle (such
-    as multiples of a thousandth), else the nearest ones."""
-    total = sum(weights.values())
-    q = max(resolution, 4 * len(weights))
-    exact = {s: w / total * q for s, w in weights.items()}
-    if all(abs(x - round(x)) < 1e-9 and round(x) >= 1 for x in exact.values()):
-        return {s: round(x) for s, x in exact.items()}
-    return whole_shares(weights, resolution)
-
-
-def cycle(shares: Mapping) -> list:
-    """The source of each slot of one cycle: earliest deadline first among the
-    released blocks; ties go to the source's name."""
+    """Whole shares in the exact proportion of ``weights``: of a cycle of
+    ``resolution`` slots (four a source at least) where it holds them, else of
+    the smallest cycle that does."""
+    shares = weights if all(type(w) is int for w in weights.values()) else whole(weights)
+    common = math.gcd(*shares.values())
+    shares = {s: p // common for s, p in shares.items()}
+    times, rest = divmod(max(resolution, 4 * len(shares)), sum(shares.values()))
+    return shares if rest else {s: p * times for s, p in shares.items()}
+
+
+def cycle(shares: Mapping, left: Mapping) -> list:
+    """The source of each slot of one cycle, or of its slots until a source has
+    given the blocks it has ``left``: earliest deadline first among the released
+    blocks; ties go to the source's name."""
     q = sum(shares.values())
     waiting = [(0, str(s), s, 0) for s in shares]
     heapq.heapify(waiting)
     ready: list = []
     out = []
-    for slot in range(q):
-        while waiting and waiting[0][0] <= slot:
+    while len(out) < q:
+        while waiting and waiting[0][0] <= len(out):
             _, name, s, j = heapq.heappop(waiting)
             heapq.heappush(ready, (-(-(j + 1) * q // shares[s]), name, s, j))
         _, name, s, j = heapq.heappop(ready)
         out.append(s)
+        if j + 1 == left[s]:
+            break
         if j + 1 < shares[s]:
             heapq.heappush(waiting, ((j + 1) * q // shares[s], name, s, j + 1))
     return out
@@ -87,15 +88,17 @@ def phases(blocks: Mapping, weights: Mapping, resolution: int = RESOLUTION) -> t
     [(source, phase, k, place of the cycle's k-th block)])."""
     left = {s: n for s, n in blocks.items() if n > 0}
     done = dict.fromkeys(left, 0)
+    weights = whole({s: weights[s] for s in left})
     spans, places, slot, phase = [], [], 0, 0
     while left:
         shares = integer_shares({s: weights[s] for s in left}, resolution)
         q = sum(shares.values())
         at: dict = {s: [] for s in left}
-        for place, s in enumerate(cycle(shares)):
+        order = cycle(shares, left)
+        for place, s in enumerate(order):
             at[s].append(place)
         # The phase ends with the last block of the first source to run out.
-        end = min((n - 1) // shares[s] * q + at[s][(n - 1) % shares[s]] for s, n in left.items()) + 1
+        end = len(order) if len(order) < q else min((n - 1) // shares[s] * q + at[s][(n - 1) % shares[s]] for s, n in left.items()) + 1
         for s in sorted(left, key=str):
             took = end // q * shares[s] + sum(p < end % q for p in at[s])
             if took:
@@ -144,6 +147,9 @@ def mix(docs: DataFrame, weights: Mapping | None = None, block_docs: int = BLOCK
                    .withColumn("__index", F.col("__rank") + F.col("__before"))
                    .withColumn("mix_block", F.floor(F.col("__index") / block_docs).cast("long"))
                    .drop("__of", "__b", "__before", "__rank", "__key", "__bucket"))
+    # Shares that no source uses up are beyond a long: their cycle isn't repeated.
+    spans = [(s, phase, first, took, min(share, took), q if share < took else 0, slot)
+             for s, phase, first, took, share, q, slot in spans]
     span = spark.createDataFrame(spans, "__s string, __phase int, __first long, __took long, __share long, __q long, "
                                         "__slot long")
     offset = spark.createDataFrame(places, "__s2 string, __phase2 int, __k long, __place long")

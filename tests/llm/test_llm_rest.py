@@ -337,3 +337,24 @@ def test_the_text_filter_loses_no_candidate(spark, monkeypatch):
     some = found()
     monkeypatch.setattr(secrets, "holds_candidate", lambda: F.lit(True))
     assert some == found() and {0, 1, 2, 3, 4, 5, 8, 9} <= {r[0] for r in some}
+
+
+@pytest.mark.parametrize("weights", [
+    {"a": 1 / 3, **{str(i): 2 / 24 for i in range(8)}}, {"hot": 80_000.0 ** 0.7, **{str(i): 40.5 ** 0.7 for i in range(33)}},
+    {"x": 1, "y": 2}])
+def test_prefixes_keep_the_weights_asked_for(weights):
+    total = math.fsum(weights.values())
+    blocks = {s: math.ceil(w / total * 6000) for s, w in weights.items()}
+    spans, places = mixing.phases(blocks, weights, 1000)
+    order, length = {}, sum(x[3] for x in spans if x[1] == 0)
+    at = collections.defaultdict(list)
+    for s, phase, k, place in places:
+        at[s, phase].append(place)
+    for s, phase, first, took, share, q, start in spans:
+        if phase == 0:
+            order.update({j // share * q + at[s, phase][j % share]: s for j in range(took)})
+    assert sorted(order) == list(range(length)) and length > 5000
+    placed = collections.Counter()
+    for t in range(length):
+        placed[order[t]] += 1
+        assert all(abs(placed[s] - w / total * (t + 1)) < 1 + 1e-6 for s, w in weights.items())
