@@ -3,9 +3,9 @@
 1. *Token log-odds with Dirichlet priors.* A token's toxic share is smoothed
    along a chain of priors: all tokens -> words with its first 3 letters ->
    first 4 -> first 6 -> the word itself. Counts are documents (a word counts
-   once per document), held in hashed tables of ``2 ** HASH_BITS`` slots, so the
-   model that is broadcast has a fixed size whatever the corpus. A token's
-   score is its log-odds against the background less ``DRIFT``, so that clean
+   once per document), one entry for every word and prefix under a 64-bit key, so
+   no two share a count; the model that is broadcast takes 16 bytes an entry and
+   grows with the vocabulary. A token's score is its log-odds against the background less ``DRIFT``, so that clean
    text scores negative on average.
 2. *Maximum-scoring segments.* One linear scan finds all maximal segments of a
    whole text (each disjoint, none extendable); runs of negative tokens are
@@ -28,9 +28,10 @@ Repeated rows are scored alike, one result each.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
-import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -40,12 +41,11 @@ from pyspark.sql import types as T
 
 from pricetide.llm.common import id_bucket, small_text_batches, stored
 
-HASH_BITS = 19
 PREFIXES = (3, 4, 6)
 PRIOR = 6.0          # pseudo-documents that each prior is worth
 DRIFT = 0.7          # subtracted from every token's log-odds
 MIN_SEGMENT = 1.0    # segments below carry no evidence and are not kept
-WORD_CACHE = 400_000  # words whose slots or score a task remembers at once
+WORD_CACHE = 400_000  # words whose counts or score a task remembers at once
 THRESHOLD = 0.7
 WORD = re.compile(r"\w+")
 SEGMENTS = T.StructType([
@@ -55,76 +55,79 @@ SEGMENTS = T.StructType([
         T.StructField("score", T.DoubleType())])))])
 
 
-def _slots(word: str) -> tuple[int, ...]:
-    """Slots of the word's prefixes, then of the word itself."""
-    mask = (1 << HASH_BITS) - 1
-    return (*(zlib.crc32(f"{k}{word[:k]}".encode("utf-8", "replace")) & mask for k in PREFIXES),
-            zlib.crc32(word.encode("utf-8", "replace")) & mask)
+def _key(entry: str) -> int:
+    return int.from_bytes(hashlib.blake2b(entry.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
+def _keys(word: str) -> tuple[int, ...]:
+    """Keys of the word's prefixes (a blank, which no word holds, tells them
+    from words), then of the word itself."""
+    return (*(_key(f"{k} {word[:k]}") for k in PREFIXES), _key(word))
 
 
 def token_counts(labelled: DataFrame) -> DataFrame:
-    """(text, toxic) -> (slot, toxic_docs, clean_docs); slot -1 counts the
-    distinct words themselves. Counted in each task before the shuffle."""
+    """(text, toxic) -> (entry, toxic_docs, clean_docs); the null entry counts
+    the distinct words themselves. Counted in each task before the shuffle."""
 
     def count(batches):
-        n = 1 << HASH_BITS
-        totals = np.zeros((2, n + 1), np.int64)
-        seen: dict[str, tuple[int, ...]] = {}
+        sides = Counter(), Counter()
+
+        def counted():
+            entries: dict[int | None, list[int]] = {None: [0, 0]}
+            for side, words in enumerate(sides):
+                for w, n in words.items():
+                    for key in (*_keys(w), None):
+                        entries.setdefault(key, [0, 0])[side] += n
+                words.clear()
+            keys = list(entries)
+            for at in range(0, len(keys), 50_000):
+                part = keys[at:at + 50_000]
+                yield pa.record_batch([pa.array(part, pa.int64()), pa.array([entries[k][1] for k in part], pa.int64()),
+                                       pa.array([entries[k][0] for k in part], pa.int64())],
+                                      names=["entry", "toxic_docs", "clean_docs"])
+
         for batch in batches:
             for text, toxic in zip(batch.column(0), batch.column(1)):
-                words = set(WORD.findall((text.as_py() or "").lower()))
-                if len(seen) > WORD_CACHE:
-                    seen.clear()
-                slots = []
-                for w in words:
-                    s = seen.get(w)
-                    if s is None:
-                        s = seen[w] = _slots(w)
-                    slots.append(s)
-                if slots:
-                    side = totals[1 if toxic.as_py() else 0]
-                    np.add.at(side, np.asarray(slots, np.int64).ravel(), 1)
-                    side[n] += len(words)
-        used = np.flatnonzero(totals.any(axis=0))
-        for part in np.array_split(used, max(1, len(used) // 50_000)):
-            yield pa.record_batch([pa.array(np.where(part == n, -1, part)), pa.array(totals[1][part]),
-                                   pa.array(totals[0][part])], names=["slot", "toxic_docs", "clean_docs"])
-
-    return (labelled.select("text", "toxic").mapInArrow(count, "slot long, toxic_docs long, clean_docs long")
-            .groupBy("slot").agg(F.sum("toxic_docs").alias("toxic_docs"), F.sum("clean_docs").alias("clean_docs")))
+                sides[1 if toxic.as_py() else 0].update(set(WORD.findall((text.as_py() or "").lower())))
+            if len(sides[0]) + len(sides[1]) > WORD_CACHE // 2:
+                yield from counted()
+        yield from counted()
+
+    return (labelled.select("text", "toxic").mapInArrow(count, "entry long, toxic_docs long, clean_docs long")
+            .groupBy("entry").agg(F.sum("toxic_docs").alias("toxic_docs"), F.sum("clean_docs").alias("clean_docs")))
 
 
 class TokenOdds:
-    """Scores of words under the counted model (fixed size: two hashed tables)."""
+    """Scores of words under the counted model: sorted keys, toxic and clean
+    documents of each."""
 
-    def __init__(self, toxic: np.ndarray, clean: np.ndarray, words: tuple[float, float]):
-        self.toxic, self.clean, self.words = toxic, clean, words
+    def __init__(self, keys: np.ndarray, toxic: np.ndarray, clean: np.ndarray, words: tuple[float, float]):
+        self.keys, self.toxic, self.clean, self.words = keys, toxic, clean, words
         self.base = (words[0] + 0.5) / (sum(words) + 1.0)
         self.trained = min(words) > 0
 
     @classmethod
     def counted(cls, counts: DataFrame) -> "TokenOdds":
-        # At most 2 ** HASH_BITS + 1 narrow rows.
-        rows = counts.select(F.col("slot").cast("int"), F.col("toxic_docs").cast("float"),
-                             F.col("clean_docs").cast("float")).toArrow()
-        slot, *sides = (rows.column(i).to_numpy() for i in range(3))
-        out, words = [], []
-        for side in sides:
-            table = np.zeros(1 << HASH_BITS, np.float32)
-            table[slot[slot >= 0]] = side[slot >= 0]
-            out.append(table)
-            words.append(float(side[slot < 0].sum()))
-        return cls(*out, tuple(words))
-
-    def score(self, word: str) -> float:
-        if not self.trained:
-            return -DRIFT
-        share = self.base
-        for slot in _slots(word):
-            t, c = float(self.toxic[slot]), float(self.clean[slot])
+        # One narrow row per word and prefix.
+        total = counts.filter("entry is null").first()
+        rows = counts.filter("entry is not null").select(
+            "entry", F.col("toxic_docs").cast("float"), F.col("clean_docs").cast("float")).toArrow()
+        keys, toxic, clean = (rows.column(i).to_numpy() for i in range(3))
+        order = np.argsort(keys)
+        words = (float(total.toxic_docs), float(total.clean_docs)) if total else (0.0, 0.0)
+        return cls(keys[order], toxic[order], clean[order], words)
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        if not self.trained or not words:
+            return np.full(len(words), -DRIFT)
+        share = np.full(len(words), self.base)
+        for keys in np.array([_keys(w) for w in words], np.int64).T:
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            known = self.keys[at] == keys
+            t, c = (np.where(known, side[at], 0.0).astype(np.float64) for side in (self.toxic, self.clean))
             share = (t + PRIOR * share) / (t + c + PRIOR)
-        share = min(max(share, 1e-9), 1 - 1e-9)
-        return math.log(share / (1 - share)) - math.log(self.base / (1 - self.base)) - DRIFT
+        share = np.clip(share, 1e-9, 1 - 1e-9)
+        return np.log(share / (1 - share)) - math.log(self.base / (1 - self.base)) - DRIFT
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -166,7 +169,7 @@ def segments(docs: DataFrame, odds: TokenOdds, keep: list[Column | str]) -> Data
     """``keep`` columns, ``n_tokens`` and ``segments`` (start and end token,
     score) of each row's whole ``text``."""
     small_text_batches(docs.sparkSession)
-    model = docs.sparkSession.sparkContext.broadcast((odds.toxic, odds.clean, odds.words))
+    model = docs.sparkSession.sparkContext.broadcast((odds.keys, odds.toxic, odds.clean, odds.words))
     kept = docs.select(*keep, F.col("text").alias("__text"))
 
     def scan(batches):
@@ -178,8 +181,8 @@ def segments(docs: DataFrame, odds: TokenOdds, keep: list[Column | str]) -> Data
                 words = WORD.findall((text.as_py() or "").lower())
                 if len(known) > WORD_CACHE:
                     known.clear()
-                for w in set(words).difference(known):
-                    known[w] = m.score(w)
+                new = list(set(words).difference(known))
+                known.update(zip(new, m.scores(new).tolist()))
                 scores = np.fromiter(map(known.__getitem__, words), np.float64, len(words))
                 times: dict[str, int] = {}
                 for i in np.flatnonzero(scores > 0).tolist():
@@ -269,7 +272,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = No
     calibrates = (F.xxhash64("doc_id") % 4) == 0
     training = (docs.select("doc_id", "text").filter(learn & ~calibrates)
                     .join(marks.hint("merge"), "doc_id").select("text", "toxic"))
-    odds = TokenOdds.counted(token_counts(training))
+    odds = TokenOdds.counted(stored(token_counts(training), "token-counts"))
     table = stored(segments(docs, odds, [F.monotonically_increasing_id().alias("rid"), "doc_id"]), "segments")
     held = table.join(marks.filter(calibrates), "doc_id")
     lam, log_k = fit_extremes(held.filter("toxic = 0"))

@@ -78,3 +78,16 @@ def test_held_out_accuracy(spark, scored):
 def test_every_document_is_scored_once(spark, scored):
     assert scored.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
     assert scored.filter("score is null or score < 0 or score > 1").count() == 0
+
+
+def test_every_word_has_counts_of_its_own(spark):
+    # A million rare clean words would fill any fixed table of half a million slots.
+    clean = [(" ".join(f"{j * 7919 % 900_007:x}q{i:x}z{j:x}" for j in range(5000)), 0) for i in range(60)]
+    toxic = [(f"vile{i} words", 1) for i in range(40)]
+    frame = spark.createDataFrame(clean + toxic + [(None, 1), ("", 0)], "text string, toxic int").repartition(4)
+    odds = T.TokenOdds.counted(T.token_counts(frame))
+    assert odds.words == (80.0, 300_000.0)
+    at = dict(zip(odds.keys.tolist(), zip(odds.toxic.tolist(), odds.clean.tolist())))
+    words = {w for text, _ in clean + toxic for w in text.split()}
+    assert all(at[T._key(w)] == ((40, 0) if w == "words" else (1, 0) if w.startswith("vile") else (0, 1)) for w in words)
+    assert at[T._key("4 vile")] == (40, 0) and T._key("vile") not in at
