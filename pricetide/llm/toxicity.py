@@ -9,8 +9,10 @@
    text scores negative on average.
 2. *Maximum-scoring segments.* One linear scan finds all maximal segments of a
    whole text (each disjoint, none extendable); runs of negative tokens are
-   folded first.
-   The k-th time that a text uses a word, its positive score counts 1/k.
+   folded first. The scan runs on the tokens' scores as they are. A found
+   segment's score is then damped by its own repeats: by the share that its
+   positive scores keep if a word's k-th use within the segment counts 1/k.
+   Nothing outside a segment bears on it.
 3. *Extreme-value calibration.* The largest segment of a clean text of n tokens
    follows P(S <= x) = exp(-K n e^(-lambda x)); K and lambda are fitted on clean
    labelled documents. A segment is significant by lambda S - ln(K n) > 0; the
@@ -165,6 +167,18 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(int(a), int(b), after - before) for a, b, before, after, _ in found]
 
 
+def damped(words: list[str], scores: np.ndarray, segment: tuple[int, int, float]) -> float:
+    """The score of ``segment`` less its repeats."""
+    start, end, score = segment
+    times: dict[str, int] = {}
+    full = once = 0.0
+    for i in (start + np.flatnonzero(scores[start:end] > 0)).tolist():
+        times[words[i]] = k = times.get(words[i], 0) + 1
+        full += scores[i]
+        once += scores[i] / k
+    return score * once / full
+
+
 def segments(docs: DataFrame, odds: TokenOdds, keep: list[Column | str]) -> DataFrame:
     """``keep`` columns, ``n_tokens`` and ``segments`` (start and end token,
     score) of each row's whole ``text``."""
@@ -184,13 +198,10 @@ def segments(docs: DataFrame, odds: TokenOdds, keep: list[Column | str]) -> Data
                 new = list(set(words).difference(known))
                 known.update(zip(new, m.scores(new).tolist()))
                 scores = np.fromiter(map(known.__getitem__, words), np.float64, len(words))
-                times: dict[str, int] = {}
-                for i in np.flatnonzero(scores > 0).tolist():
-                    times[words[i]] = k = times.get(words[i], 0) + 1
-                    scores[i] /= k
                 counts.append(len(words))
-                spans.append([{"start": a, "end": b, "score": s}
-                              for a, b, s in maximal_segments(scores) if s >= MIN_SEGMENT])
+                found = [(a, b, damped(words, scores, (a, b, s)))
+                         for a, b, s in maximal_segments(scores) if s >= MIN_SEGMENT]
+                spans.append([{"start": a, "end": b, "score": s} for a, b, s in found if s >= MIN_SEGMENT])
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(counts, pa.int64()), pa.array(spans, kind)],

@@ -91,3 +91,16 @@ def test_every_word_has_counts_of_its_own(spark):
     words = {w for text, _ in clean + toxic for w in text.split()}
     assert all(at[T._key(w)] == ((40, 0) if w == "words" else (1, 0) if w.startswith("vile") else (0, 1)) for w in words)
     assert at[T._key("4 vile")] == (40, 0) and T._key("vile") not in at
+
+
+def test_a_passage_counts_the_same_after_an_earlier_one(spark):
+    train = [(i, "you are scum and vile " * 3 if i % 2 else "a kind and calm text of some words " * 3) for i in range(200)]
+    passage, calm = "you are scum and vile", "a kind and calm text of some words " * 40
+    docs = train + [(500, calm + passage), (501, (calm + passage + " ") * 6), (502, passage * 1)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(200)], "doc_id long, quality int, toxic int")
+    found = T.score_toxicity(spark.createDataFrame(docs, "doc_id long, text string"), labels)
+    got = {r.doc_id: r.segments for r in found.filter("doc_id >= 500").collect()}
+    assert [len(got[i]) for i in (500, 501, 502)] == [1, 6, 1]
+    assert np.allclose([s.score for s in got[501]], got[500][0].score)
+    words = ["x", "y", "x"]
+    assert T.damped(words, np.array([2.0, -1.0, 2.0]), (0, 3, 3.0)) == pytest.approx(3.0 * 3 / 4)
