@@ -4,7 +4,9 @@ A rule (host, path, verdict) fits its host and all subdomains where the path
 starts with the rule's; the longest rule wins, allow before block among equals.
 
 A URL that no rule fits takes the decision of its aliases: URLs are nodes, tied
-by redirects (a given table, and `meta refresh` pages) and canonical links, and
+by redirects (a given table, and every `meta refresh` of a page) and all its
+canonical links, their character references (numeric ones, amp, lt, gt, quot,
+apos) decoded once, and
 the connected components of that graph are the aliases. A component with a
 blocked URL is blocked, unless an allow rule fits one of its URLs: explicit
 allow has precedence. A URL without a decided alias is allowed. Decisions are
@@ -42,6 +44,10 @@ CANONICAL = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*?\bhref\s*=
 REFRESH = (r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*?\bcontent\s*=\s*"
            r"[\"']?[^\"'>]*?url\s*=\s*[\"']?([^\"'\s>]+)")
 
+NAMED_REFERENCES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
+# A reference, text without one, or a lone ampersand.
+REFERENCE = (r"(?s)&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|(?:amp|lt|gt|quot)(?:;|(?![A-Za-z0-9=]))|apos;)|[^&]+|&")
+
 
 def url_host(url: str | Column) -> Column:
     return ascii_lower(F.coalesce(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), F.lit("")))
@@ -71,11 +77,31 @@ def absolute(link: Column, base: Column) -> Column:
              .otherwise(F.concat(F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/"))), link)))
 
 
+def decoded(link: Column) -> Column:
+    """``link`` with its numeric character references and those of `& < > " '`
+    decoded, in one pass; other references stay as written."""
+    tokens = F.regexp_extract_all(link, F.lit(REFERENCE), F.lit(0))
+
+    def plain(token: Column) -> Column:
+        hexadecimal = F.regexp_extract(token, "^&#[xX]([0-9a-fA-F]+);?$", 1)
+        decimal = F.regexp_extract(token, "^&#([0-9]+);?$", 1)
+        code = F.when(hexadecimal != "", F.conv(hexadecimal, 16, 10)).when(decimal != "", decimal).try_cast("bigint")
+        sound = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        named = F.lit(None).cast("string")
+        for name, char in NAMED_REFERENCES.items():
+            named = F.when(token.rlike(f"^&{name};?$"), char).otherwise(named)
+        return (F.when(sound, F.decode(F.unhex(F.lpad(F.hex(F.when(sound, code)), 8, "0")), "UTF-32"))
+                 .when(token.rlike("^&#[0-9xX]"), "\ufffd").otherwise(F.coalesce(named, token)))
+
+    return F.when(link.contains("&"), F.array_join(F.transform(tokens, plain), "")).otherwise(link)
+
+
 def alias_links(pages: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
     """(a, b) nodes tied by canonical links, refreshes and ``redirects`` (src, dst)."""
     found = pages.filter(F.col("url").contains("://")).select(
-        "url", F.explode(F.array(F.regexp_extract("html", CANONICAL, 1),
-                                 F.regexp_extract("html", REFRESH, 1))).alias("link"))
+        "url", F.explode(F.array_distinct(F.concat(*(
+            F.regexp_extract_all("html", F.lit(p), F.lit(1)) for p in (CANONICAL, REFRESH))))).alias("link"))
+    found = found.withColumn("link", decoded(F.col("link")))
     links = found.filter("link != ''").select(url_node("url").alias("a"),
                                               url_node(absolute(F.col("link"), F.col("url"))).alias("b"))
     if redirects is not None:

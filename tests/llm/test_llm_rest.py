@@ -358,3 +358,21 @@ def test_prefixes_keep_the_weights_asked_for(weights):
     for t in range(length):
         placed[order[t]] += 1
         assert all(abs(placed[s] - w / total * (t + 1)) < 1 + 1e-6 for s, w in weights.items())
+
+
+def test_every_link_of_a_page_counts_and_is_decoded(spark):
+    two = '<link rel="canonical" href="http://k.org/1"><link rel=canonical href="http://k.org/2">'
+    pages = [(1, "http://n.net/es/", two + "<meta http-equiv=refresh content='0;url=http://k.org/3'>"
+              "<meta http-equiv=refresh content='9;url=http://k.org/4?a=1&#38;b=2'>"),
+             *[(1 + i, f"http://k.org/{i}", "") for i in (1, 2, 3)], (5, "http://k.org/4?a=1&b=2", ""),
+             (6, "http://h.org/a?x=1&y=2&z=ž", ""),
+             (7, "http://n.net/fr/", '<link rel=canonical href="http://h.org/a?x=1&amp;y=2&#x26;z=&#382;">'),
+             (8, "http://h.org/?q=&amp;", ""), (9, "http://n.net/es/2", "<link rel=canonical href='http://h.org/?q=&amp;amp;'>"),
+             (10, "http://h.org/?q=&", "")]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = urlfilter.filter_urls(frame, urlfilter.rule_frame(spark, urlfilter.RULES)).collect()
+    assert {r.page_id: r.verdict for r in got} == {i: "allow" if i == 10 else "block" for i in range(1, 11)}
+    raw = ["&#0;&#xD800;&#x110000;&#99999999999999999999;", "a&ampb=1&copy;&lt;&#x1F600;", "&", "plain"]
+    links = spark.createDataFrame([(i, x) for i, x in enumerate(raw)], "i int, x string")
+    assert [r[0] for r in links.orderBy("i").select(urlfilter.decoded(F.col("x"))).collect()] == [
+        "�" * 4, "a&ampb=1&copy;<\U0001F600", "&", "plain"]
