@@ -247,10 +247,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark window (by doc_id;
-    rows without an id stay)."""
-    bad = contamination(docs, benchmark, window).filter("contaminated").select(F.col("doc_id").alias("__bad"))
-    return docs.join(bad.distinct(), F.col("doc_id") == F.col("__bad"), "left_anti")
+    """``docs`` without the documents that hold a benchmark window. Every row
+    goes by its own text (matched by its SHA-256), whatever its doc_id: null, or
+    one that other rows share; rows without a text stay."""
+    of = F.sha2(F.col("text"), 256)
+    texts = docs.select(of.alias("doc_id"), "text")
+    bad = contamination(texts, benchmark, window).filter("contaminated").select(F.col("doc_id").alias("__bad"))
+    return docs.join(bad.distinct(), of == F.col("__bad"), "left_anti")
 
 
 def q_decontamination(spark, sf_dir):

@@ -267,16 +267,10 @@ def fit_logistic(labelled: DataFrame) -> tuple[float, float]:
     return float(max(w[0], 0.05)), float(w[1])
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> DataFrame:
-    """(rid, doc_id, n_tokens, segments, passages, evidence, score) for every
-    row of ``docs`` (doc_id, text): ``rid`` numbers the rows as read,
-    ``passages`` are the significant segments.
-
-    ``learn`` limits the labelled documents (a condition on doc_id) that train
-    the model; the last quarter of them, by a hash of the id, only calibrates.
-    """
-    spark = docs.sparkSession
-    small_text_batches(spark)
+def _counted(docs: DataFrame, labels: DataFrame, learn: Column | None) -> tuple[TokenOdds, DataFrame, Column]:
+    """The counted model, (doc_id, toxic) of the calibrating documents, and the
+    condition on doc_id that they meet."""
+    small_text_batches(docs.sparkSession)
     learn = F.lit(True) if learn is None else learn
     marks = (labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).filter(learn)
                    .groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic")))
@@ -284,8 +278,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = No
     training = (docs.select("doc_id", "text").filter(learn & ~calibrates)
                     .join(marks.hint("merge"), "doc_id").select("text", "toxic"))
     odds = TokenOdds.counted(stored(token_counts(training), "token-counts"))
-    table = stored(segments(docs, odds, [F.monotonically_increasing_id().alias("rid"), "doc_id"]), "segments")
-    held = table.join(marks.filter(calibrates), "doc_id")
+    return odds, marks.filter(calibrates), learn & calibrates
+
+
+def _judged(table: DataFrame, held: DataFrame, odds: TokenOdds) -> DataFrame:
+    """``table`` (with n_tokens and segments) plus passages, evidence and score,
+    calibrated on ``held`` (the same with toxic)."""
     lam, log_k = fit_extremes(held.filter("toxic = 0"))
     table = table.withColumn("passages", significant(lam, log_k)).withColumn("evidence", evidence(lam, log_k))
     if not odds.trained:
@@ -294,6 +292,19 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = No
     return table.withColumn("score", 1 / (1 + F.exp(-(F.log1p("evidence") * slope + offset))))
 
 
+def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> DataFrame:
+    """(rid, doc_id, n_tokens, segments, passages, evidence, score) for every
+    row of ``docs`` (doc_id, text): ``rid`` numbers the rows as read,
+    ``passages`` are the significant segments.
+
+    ``learn`` limits the labelled documents (a condition on doc_id) that train
+    the model; the last quarter of them, by a hash of the id, only calibrates.
+    """
+    odds, marks, _ = _counted(docs, labels, learn)
+    table = stored(segments(docs, odds, [F.monotonically_increasing_id().alias("rid"), "doc_id"]), "segments")
+    return _judged(table, table.join(marks, "doc_id"), odds)
+
+
 def toxic_passages(scored: DataFrame) -> DataFrame:
     """(rid, doc_id, start, end, score): every significant passage, in tokens."""
     return scored.select("rid", "doc_id", F.inline("passages"))
@@ -313,7 +324,10 @@ def q_toxicity(spark, sf_dir):
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows scored toxic; all columns as they were."""
-    scored = score_toxicity(docs, labels, learnable())
-    bad = scored.filter(F.col("score") >= THRESHOLD).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, F.col("doc_id") == F.col("__bad"), "left_anti")
+    """``docs`` without the rows scored toxic; all columns as they were. Every
+    row goes by its own text's score, whatever its doc_id: null, or one that
+    other rows share."""
+    odds, marks, calibrates = _counted(docs, labels, learnable())
+    held = stored(segments(docs.filter(calibrates), odds, ["doc_id"]), "calibration").join(marks, "doc_id")
+    rows = segments(docs, odds, [F.struct(*docs.columns).alias("row")])
+    return _judged(rows, held, odds).filter(F.col("score") < THRESHOLD).select("row.*")

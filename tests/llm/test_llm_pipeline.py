@@ -54,3 +54,18 @@ def test_empty_documents(spark):
     for name, stage in P.STAGES:
         docs = stored(stage(spark, docs, SF_SMALL), f"empty-{name}")
     assert docs.count() == 0
+
+
+def test_rows_go_by_their_own_text(spark):
+    rows = [(i, "you are scum and vile " * 3 if i % 2 else "a kind and calm text of some words " * 3)
+            for i in range(200)]
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    rows += [(None, "you are scum and vile " * 3), (7, "a kind text"), (None, "a calm text"), (None, None),
+             (None, f"see {item} there"), (900, f"see {item} there"), (900, "a clean text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(200) if i != 7], "doc_id long, quality int, toxic int")
+    calm = [(r.doc_id, r.text) for r in toxicity.reject_toxic(docs, labels).collect()]
+    assert sorted(calm, key=str) == sorted((r for r in rows if "scum" not in (r[1] or "")), key=str)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    clean = [(r.doc_id, r.text) for r in decontam.drop_contaminated(docs, bench).collect()]
+    assert sorted(clean, key=str) == sorted((r for r in rows if item not in (r[1] or "")), key=str)
