@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,10 +25,27 @@ def small_text_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(TEXT_BATCH_ROWS))
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Arrow batches of at most ``rows`` rows for the jobs run inside; the
+    session's own setting is put back afterwards, also after a failure."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def stored(df: DataFrame, purpose: str, batch_rows: int | None = None) -> DataFrame:
     """``df`` written to a new folder of the shared checkpoint folder and read
-    back: later jobs neither recompute it nor depend on an executor's disk."""
-    return materialize(df, df.sparkSession, purpose)
+    back: later jobs neither recompute it nor depend on an executor's disk.
+    ``batch_rows`` bounds the Arrow batches of this job alone."""
+    if batch_rows is None:
+        return materialize(df, df.sparkSession, purpose)
+    with arrow_rows(df.sparkSession, batch_rows):
+        return materialize(df, df.sparkSession, purpose)
 
 
 def ascii_lower(text: Column) -> Column:

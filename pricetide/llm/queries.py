@@ -9,6 +9,7 @@ from pricetide.llm.langid import q_language
 from pricetide.llm.mixing import q_mixing
 from pricetide.llm.secrets import q_secrets
 from pricetide.llm.simhash import q_simhash
+from pricetide.llm.tokenids import q_token_ids
 from pricetide.llm.toxicity import q_toxicity
 from pricetide.llm.urlfilter import Q_URLS_SQL, q_urls
 from pricetide.llm.warc import Q_WARC_SQL, q_warc
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_chat": q_chat,
     "op9_secrets": q_secrets,
     "op10_urls": q_urls,
+    "op12_token_ids": q_token_ids,
 }
 
 ORACLE: dict[str, str] = {
