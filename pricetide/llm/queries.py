@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pricetide.llm.ann import Q_NEIGHBOURS_SQL, q_neighbours
 from pricetide.llm.chat import q_chat
+from pricetide.llm.collocations import Q_COLLOCATIONS_SQL, q_collocations
 from pricetide.llm.decontam import Q_DECONTAMINATION_SQL, q_decontamination
 from pricetide.llm.langid import q_language
 from pricetide.llm.mixing import q_mixing
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_chat": q_chat,
     "op9_secrets": q_secrets,
     "op10_urls": q_urls,
+    "op11_collocations": q_collocations,
     "op12_token_ids": q_token_ids,
 }
 
@@ -33,4 +35,5 @@ ORACLE: dict[str, str] = {
     "op4_warc": Q_WARC_SQL,
     "op5_neighbours": Q_NEIGHBOURS_SQL,
     "op10_urls": Q_URLS_SQL,
+    "op11_collocations": Q_COLLOCATIONS_SQL,
 }
