@@ -8,6 +8,7 @@ from pricetide.llm.collocations import Q_COLLOCATIONS_SQL, q_collocations
 from pricetide.llm.decontam import Q_DECONTAMINATION_SQL, q_decontamination
 from pricetide.llm.langid import q_language
 from pricetide.llm.mixing import q_mixing
+from pricetide.llm.ranking import Q_RANKED_SEARCH_SQL, q_ranked_search
 from pricetide.llm.secrets import q_secrets
 from pricetide.llm.simhash import q_simhash
 from pricetide.llm.tokenids import q_token_ids
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_urls": q_urls,
     "op11_collocations": q_collocations,
     "op12_token_ids": q_token_ids,
+    "op13_ranked_search": q_ranked_search,
 }
 
 ORACLE: dict[str, str] = {
@@ -36,4 +38,5 @@ ORACLE: dict[str, str] = {
     "op5_neighbours": Q_NEIGHBOURS_SQL,
     "op10_urls": Q_URLS_SQL,
     "op11_collocations": Q_COLLOCATIONS_SQL,
+    "op13_ranked_search": Q_RANKED_SEARCH_SQL,
 }
