@@ -18,7 +18,6 @@ from pricetide.functions.tz import (
     is_ambiguous,
     is_nonexistent,
     local_to_utc_naive,
-    one_hour,
     utc_offset_hours,
     zone_label,
 )
@@ -115,11 +114,12 @@ def annotate_long(wide: DataFrame, timezone: str = DEFAULT_TIMEZONE,
         *day_cols, *[c for c in lineage if c != "_day_text"], *values,
         day_start.alias("_day_start"), u0.alias("_u0"),
         F.coalesce((u1 - u0) == F.expr("INTERVAL '24' HOUR"), F.lit(False)).alias("_regular"),
+        (u1 - u0 - F.expr("INTERVAL '24' HOUR")).alias("_change"),
         offset0.alias("_offset0"), zone_label(timezone, offset0).alias("_label0"),
         # Slots 1..24 lie on the delivery day: local year / month are the day's.
         F.year(day).alias("year"), F.month(day).alias("month"),
     )
-    ids = [DAY_COLUMN, *lineage, "_day_start", "_u0", "_regular", "_offset0", "_label0", "year", "month"]
+    ids = [DAY_COLUMN, *lineage, "_day_start", "_u0", "_regular", "_change", "_offset0", "_label0", "year", "month"]
     long = per_day.unpivot(ids, slots, "hour_name", "_slot")
 
     if text_slots:
@@ -148,7 +148,7 @@ def annotate_long(wide: DataFrame, timezone: str = DEFAULT_TIMEZONE,
     nonexistent = F.when(regular, F.lit(False)).otherwise(
         F.coalesce(is_nonexistent(local, timezone, u), F.lit(False)))
     ambiguous = F.when(regular, F.lit(False)).otherwise(
-        F.coalesce(is_ambiguous(local, timezone, u), F.lit(False)))
+        F.coalesce(is_ambiguous(local, timezone, u, F.col("_change")), F.lit(False)))
     long = long.select("*", local.alias("timestamp"), nonexistent.alias("is_nonexistent"),
                        ambiguous.alias("is_ambiguous"))
 
@@ -158,7 +158,7 @@ def annotate_long(wide: DataFrame, timezone: str = DEFAULT_TIMEZONE,
         take_second = take_second | unresolved
     u = local_to_utc_naive("timestamp", timezone)
     utc = (F.when(regular, F.col("_u0") + step)
-            .when(F.col("is_ambiguous") & take_second, u + one_hour())
+            .when(F.col("is_ambiguous") & take_second, u + F.col("_change"))
             .otherwise(u))
     offset = F.when(regular, F.col("_offset0")).otherwise(utc_offset_hours(F.col("timestamp"), utc))
     label = F.when(regular, F.col("_label0")).otherwise(zone_label(timezone, offset))

@@ -34,19 +34,18 @@ def day_spine(wide: DataFrame) -> DataFrame:
     days missing from the data show up. Its size is the date span, not the
     data volume."""
     df = typed_wide(wide)
-    bounds = df.agg(F.min(DAY_COLUMN).alias("_lo"), F.max(DAY_COLUMN).alias("_hi"))
-    return bounds.select(F.explode(F.sequence("_lo", "_hi")).alias(DAY_COLUMN))
+    return calendar_days(df.agg(F.min(DAY_COLUMN).alias("first"), F.max(DAY_COLUMN).alias("last")))
 
 
 def dst_calendar(days: DataFrame, timezone: str = DEFAULT_TIMEZONE) -> DataFrame:
     """Per day: ``hours_in_day`` (23 / 24 / 25) and ``day_kind``.
 
-    Derived from the zone rules, valid for any zone and year (Berlin's summer
-    time ended in September before 1996)."""
+    Derived from the zone rules of each year (Berlin's summer time ended in
+    September before 1996); a day of any other length is ``irregular``."""
     hours = hours_in_day(DAY_COLUMN, timezone)
     return (days.select(DAY_COLUMN).distinct()
                 .withColumn("hours_in_day", hours)
-                .withColumn("day_kind", day_kind(F.col("hours_in_day"))))
+                .withColumn("day_kind", day_kind(DAY_COLUMN, timezone)))
 
 
 def slot_pattern_violations(wide: DataFrame, timezone: str = DEFAULT_TIMEZONE) -> DataFrame:
@@ -56,7 +55,7 @@ def slot_pattern_violations(wide: DataFrame, timezone: str = DEFAULT_TIMEZONE) -
     df = typed_wide(wide)
     a_set = F.col("hour_3a").isNotNull() & ~F.isnan("hour_3a")
     b_set = F.col("hour_3b").isNotNull() & ~F.isnan("hour_3b")
-    kind = day_kind(hours_in_day(DAY_COLUMN, timezone))
+    kind = day_kind(DAY_COLUMN, timezone)
     checked = df.select(DAY_COLUMN, kind.alias("day_kind"),
                         a_set.alias("hour_3a_set"), b_set.alias("hour_3b_set"))
     violation = _violation(F.col("day_kind"), F.col("hour_3a_set"), F.col("hour_3b_set"))
@@ -92,16 +91,28 @@ def _hour_counts(long: DataFrame) -> DataFrame:
                 .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+def _last_hours(hour_counts: DataFrame) -> DataFrame:
+    """Per day with an hour: the last hour of the last day before it that has
+    one. Days are windowed within their year; what a year's first day takes over
+    is carried from the years before it, a table of one row a year, so no window
+    runs over all days."""
+    days = hour_counts.groupBy(DAY_COLUMN).agg(F.max("timestamp_utc").alias("_last"))
+    days = days.withColumn("_year", F.year(DAY_COLUMN))
+    years = days.groupBy("_year").agg(F.max(F.struct(DAY_COLUMN, "_last")).alias("_end"))
+    before = Window.orderBy("_year")  # one row per calendar year
+    carried = years.select("_year", F.lag("_end").over(before)["_last"].alias("_carried"))
+    w = Window.partitionBy("_year").orderBy(DAY_COLUMN)
+    return (days.withColumn("_before", F.lag("_last").over(w)).join(carried, "_year")
+                .select(DAY_COLUMN, F.coalesce("_before", "_carried").alias("_last")))
+
+
 def _with_steps(hour_counts: DataFrame) -> DataFrame:
     """Every UTC hour with the one before it: within the day by a window of at
-    most 25 hours, across midnight by joining the day before's last hour, a
-    table of one row per day. So the check runs over the whole frame without a
-    window over all of it."""
+    most 25 hours, across midnight and any missing days by the last hour of the
+    last day that has one, a table of one row per day."""
     w = Window.partitionBy(DAY_COLUMN).orderBy("timestamp_utc")
-    last = hour_counts.groupBy(DAY_COLUMN).agg(F.max("timestamp_utc").alias("_last")).select(
-        F.date_add(DAY_COLUMN, 1).alias(DAY_COLUMN), "_last")
     prev = F.coalesce(F.lag("timestamp_utc").over(w), F.col("_last"))
-    return (hour_counts.join(last, DAY_COLUMN, "left")
+    return (hour_counts.join(_last_hours(hour_counts), DAY_COLUMN, "left")
                        .withColumn("prev_timestamp_utc", prev).drop("_last")
                        .withColumn("step_seconds",
                                    (F.col("timestamp_utc") - F.col("prev_timestamp_utc"))
@@ -110,9 +121,8 @@ def _with_steps(hour_counts: DataFrame) -> DataFrame:
 
 def utc_hour_gaps(long: DataFrame) -> DataFrame:
     """UTC hours that do not follow the previous one by exactly one hour (W1),
-    also across midnight: ``n_rows > 1`` is a duplicate hour, ``step_seconds``
-    above 3600 a gap. The first hour after a day without any hour has no
-    previous hour; that day itself is missing (A2, X3)."""
+    also across midnight and missing days: ``n_rows > 1`` is a duplicate hour,
+    ``step_seconds`` above 3600 a gap, however many days it spans."""
     steps = _with_steps(_hour_counts(long))
     bad = (F.col("prev_timestamp_utc").isNotNull() & (F.col("step_seconds") != EXPECTED_STEP_SECONDS)) | (
         F.col("n_rows") > 1)
@@ -126,13 +136,36 @@ def completeness_status(n_hours: Column, expected: Column) -> Column:
              .otherwise("complete"))
 
 
-def day_completeness(long: DataFrame, timezone: str = DEFAULT_TIMEZONE) -> DataFrame:
-    """Rows per local day against the day's length in hours (A2)."""
+def calendar_days(bounds: DataFrame) -> DataFrame:
+    """Every calendar day from ``first`` to ``last`` of a one-row frame, exploded
+    year by year, so that tasks share a long span."""
+    years = bounds.select("first", "last", F.explode(F.sequence(F.year("first"), F.year("last"))).alias("_year"))
+    start = F.greatest("first", F.make_date("_year", F.lit(1), F.lit(1)))
+    end = F.least("last", F.make_date("_year", F.lit(12), F.lit(31)))
+    return years.select(F.explode(F.sequence(start, end)).alias(DAY_COLUMN))
+
+
+def day_completeness(long: DataFrame, timezone: str = DEFAULT_TIMEZONE, first: str | None = None,
+                     last: str | None = None) -> DataFrame:
+    """Rows per local day against the day's length in hours (A2), one row for
+    every calendar day between the table's first and last (or the dates
+    given): a day without any row is ``missing``. Rows without a time make one
+    row with a null day."""
     per_day = (long.groupBy(F.col("timestamp").cast("date").alias(DAY_COLUMN))
                    .agg(F.count(F.lit(1)).alias("n_hours")))
+    bounds = per_day.agg(F.min(DAY_COLUMN).alias("first"), F.max(DAY_COLUMN).alias("last"))
+    if first is not None:
+        bounds = bounds.withColumn("first", F.lit(first).cast("date"))
+    if last is not None:
+        bounds = bounds.withColumn("last", F.lit(last).cast("date"))
+    days = calendar_days(bounds.filter("first <= last"))
+    known = per_day.filter(F.col(DAY_COLUMN).isNotNull())
+    found = days.join(known, DAY_COLUMN, "left").select(DAY_COLUMN, F.coalesce("n_hours", F.lit(0)).alias("n_hours"))
+    found = found.unionByName(per_day.filter(F.col(DAY_COLUMN).isNull()))
     expected = hours_in_day(DAY_COLUMN, timezone)
-    return (per_day.withColumn("expected_hours", expected)
-                   .withColumn("status", completeness_status(F.col("n_hours"), F.col("expected_hours"))))
+    return (found.withColumn("expected_hours", expected)
+                 .withColumn("status", F.when(F.col(DAY_COLUMN).isNotNull(), completeness_status(
+                     F.col("n_hours"), F.col("expected_hours"))).otherwise("no_time")))
 
 
 def quality_report(wide: DataFrame, long: DataFrame, timezone: str = DEFAULT_TIMEZONE) -> DataFrame:
@@ -150,12 +183,11 @@ def quality_report(wide: DataFrame, long: DataFrame, timezone: str = DEFAULT_TIM
     wide_n = typed_wide(wide)
     a_set = F.col("hour_3a").isNotNull() & ~F.isnan("hour_3a")
     b_set = F.col("hour_3b").isNotNull() & ~F.isnan("hour_3b")
-    kind = day_kind(hours_in_day(DAY_COLUMN, timezone))
+    kind = day_kind(DAY_COLUMN, timezone)
     per_day = (wide_n.select(DAY_COLUMN, _violation(kind, a_set, b_set).alias("violation"))
                      .groupBy(DAY_COLUMN)
                      .agg(F.count(F.lit(1)).alias("n_wide_rows"), F.min("violation").alias("violation")))
-    bounds = per_day.agg(F.min(DAY_COLUMN).alias("_lo"), F.max(DAY_COLUMN).alias("_hi"))
-    spine = bounds.select(F.explode(F.sequence("_lo", "_hi")).alias(DAY_COLUMN))
+    spine = calendar_days(per_day.agg(F.min(DAY_COLUMN).alias("first"), F.max(DAY_COLUMN).alias("last")))
     calendar = dst_calendar(spine, timezone)
     steps = _with_steps(_hour_counts(long))
     long_days = (steps.groupBy(DAY_COLUMN)

@@ -98,9 +98,7 @@ _VIOLATIONS = (
 _STEPS = (
     "hc AS (SELECT CAST(" + _q("timestamp") + " AS DATE) AS delivery_day, timestamp_utc, "
     "count(*) AS n_rows FROM long GROUP BY 1, 2),\n"
-    "dl AS (SELECT delivery_day + 1 AS next_day, max(timestamp_utc) AS last_utc FROM hc GROUP BY delivery_day),\n"
-    "st AS (SELECT hc.*, coalesce(lag(timestamp_utc) OVER (PARTITION BY delivery_day ORDER BY timestamp_utc), "
-    "last_utc) AS prev_timestamp_utc FROM hc LEFT JOIN dl ON delivery_day = next_day),\n"
+    "st AS (SELECT *, lag(timestamp_utc) OVER (ORDER BY delivery_day, timestamp_utc) AS prev_timestamp_utc FROM hc),\n"
     "steps AS (SELECT *, CAST(epoch(timestamp_utc) - epoch(prev_timestamp_utc) AS BIGINT) AS step_seconds "
     "FROM st)"
 )
@@ -176,9 +174,12 @@ ORACLE: dict[str, str] = {
     "THEN price IS NULL OR isnan(price) END), true) AS dst_slots_all_null FROM unp GROUP BY delivery_day",
     "day_completeness": _FULL_LONG
     + ", per_day AS (SELECT CAST(" + _q("timestamp") + " AS DATE) AS delivery_day, count(*) AS n_hours "
-    "FROM long GROUP BY 1)\n"
+    "FROM long GROUP BY 1),\n"
+    "days AS (SELECT CAST(unnest(generate_series(CAST(min(delivery_day) AS TIMESTAMP), "
+    "CAST(max(delivery_day) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS delivery_day FROM per_day),\n"
+    "counted AS (SELECT delivery_day, coalesce(n_hours, 0) AS n_hours FROM days LEFT JOIN per_day USING (delivery_day))\n"
     f"SELECT delivery_day, n_hours, {_hours_in_day('delivery_day')} AS expected_hours, "
-    + _completeness_status("n_hours", _hours_in_day("delivery_day")) + " AS status FROM per_day",
+    + _completeness_status("n_hours", _hours_in_day("delivery_day")) + " AS status FROM counted",
     "utc_hour_gaps": _with(*_LONG_CHAIN, _STEPS)
     + "SELECT delivery_day, timestamp_utc, prev_timestamp_utc, step_seconds, n_rows FROM steps "
     "WHERE (prev_timestamp_utc IS NOT NULL AND step_seconds <> 3600) OR n_rows > 1",
@@ -213,9 +214,16 @@ ORACLE: dict[str, str] = {
     "schema_evolution_read": _FULL_LONG
     + "SELECT " + _q("timestamp") + ", timestamp_utc, price, timezone, "
     f"CASE WHEN month > {OVERWRITE_LAST_MONTH} THEN CAST(date_diff('hour', timestamp_utc, "
-    + _q("timestamp") + ") AS INTEGER) END AS utc_offset, year, month FROM long",
+    + _q("timestamp") + ") AS INTEGER) END AS utc_offset, CAST(hour(" + _q("timestamp")
+    + f") + CASE WHEN month > {OVERWRITE_LAST_MONTH} THEN 0.5 ELSE 0 END AS DOUBLE) AS hour_mid, "
+    f"CASE WHEN month <= {OVERWRITE_LAST_MONTH} THEN 'first half' END AS origin, year, month FROM long",
     "latest_file_version": _with(_CELLS, _WIDE)
     + f"SELECT {_WIDE_SELECT}, {_source_key('delivery_day')} AS source_key FROM wide",
     "incremental_modified_after": _FULL_LONG + f"SELECT {_LONG6} FROM long",
+    # Skipped hours of a month's last day are missing where only version 1 exists.
+    "quarantine_ledger": _with(*_LONG_CHAIN[:8], _last_day_of_month())
+    + f"SELECT {_source_key('delivery_day')} AS source_key, delivery_day, hour_name, price, ts AS "
+    + _q("timestamp") + ", 'nonexistent_local_time' AS reject_reason FROM resolved JOIN lastday USING (delivery_day) "
+    f"WHERE is_nonexistent AND NOT (delivery_day = last_day AND month(delivery_day) > {OVERWRITE_LAST_MONTH})",
     "stream_available_now": _FULL_LONG + f"SELECT {_LONG6} FROM long",
 }

@@ -71,3 +71,48 @@ def test_matches_zoneinfo(spark, session_tz, zone, repeated_slot):
     got = {tuple(r) for r in to_long(wide, timezone=zone).select(
         "timestamp", "timestamp_utc", "price", "timezone").collect()}
     assert got == expected
+
+
+@pytest.mark.parametrize("zone,repeated,day", [
+    ("Antarctica/Troll", (2, 3), dt.date(2024, 10, 27)),      # two hours back: 01:00 and 02:00 repeat
+    ("Antarctica/Troll", (), dt.date(2024, 3, 31)),           # two hours forward
+    ("Australia/Lord_Howe", (), dt.date(2024, 4, 7)),         # half an hour back: no whole hour repeats
+    ("Australia/Lord_Howe", (), dt.date(2024, 10, 6)),        # half an hour forward
+    ("Atlantic/Azores", (1,), dt.date(2024, 10, 27)),         # 00:00 repeats: the day's first midnight counts
+])
+def test_changes_of_other_sizes(spark, session_tz, zone, repeated, day):
+    """Every hour of the days around a change, repeated hours by their suffix."""
+    tz, rows, expected = ZoneInfo(zone), [], set()
+    slots = [f"hour_{i}" for i in range(1, 25)] + [f"hour_{i}b" for i in (1, 2, 3)]
+    for n in (-1, 0, 1):
+        date, values = day + dt.timedelta(days=n), {}
+        for h in range(24):
+            local = dt.datetime(date.year, date.month, date.day, h)
+            if not _exists(local, tz):
+                continue
+            for fold, slot in ((0, f"hour_{h + 1}"), (1, f"hour_{h + 1}b")):
+                if fold and not _ambiguous(local, tz):
+                    continue
+                assert not fold or (h + 1 in repeated and n == 0)
+                values[slot] = float(100 * n + h + fold / 2)
+                expected.add((local, _utc_of(local, tz, fold), values[slot]))
+        rows.append((date, *[values.get(s) for s in slots]))
+    wide = spark.createDataFrame(rows, ", ".join(["delivery_day date", *[f"{s} double" for s in slots]]))
+    got = to_long(wide, timezone=zone, on_ambiguous="second").select("timestamp", "timestamp_utc", "price")
+    without_suffix = {(a, b, c) for a, b, c in expected if c % 1 == 0 and not _ambiguous(a, tz)}
+    assert {tuple(r) for r in got.collect()} >= without_suffix
+    got = {tuple(r) for r in to_long(wide, timezone=zone).select("timestamp", "timestamp_utc", "price").collect()}
+    assert got == expected
+    if repeated:
+        with pytest.raises(Exception, match="unresolved_ambiguous_time"):
+            to_long(wide, timezone=zone, on_ambiguous="raise").collect()
+
+
+def test_kinds_of_days(spark):
+    from pricetide.operators.quality import dst_calendar
+
+    days = spark.sql("SELECT explode(array(DATE'2024-04-07', DATE'2024-10-06', DATE'2024-05-01')) AS delivery_day")
+    kinds = [r.day_kind for r in dst_calendar(days, "Australia/Lord_Howe").orderBy("delivery_day").collect()]
+    assert kinds == ["irregular", "normal", "irregular"]
+    troll = dst_calendar(spark.sql("SELECT DATE'2024-10-27' AS delivery_day"), "Antarctica/Troll").first()
+    assert (troll.day_kind, troll.hours_in_day) == ("irregular", 26)
