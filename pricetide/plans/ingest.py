@@ -1,4 +1,10 @@
-"""File -> table job (X2): list, key, latest version, transform, write.
+"""File -> table job (X2): list, key, latest version, transform, write, commit.
+
+Files are taken in rounds of at most ``round_units`` units (keys, or files without
+a key). A round writes its rejects and its rows to a run's own folders and
+then commits them together (:mod:`pricetide.plans.versions`), so a job that ends
+between rounds goes on from there, and one that dies inside a round has changed
+nothing that a reader sees.
 
 Run as a job: ``spark-submit --py-files pricetide.zip ingest_job.py --source <files> --target <table folder>``
 (locally ``python -m pricetide.plans.ingest ...``).
@@ -19,13 +25,15 @@ from pricetide.operators.long import (
     finish_long,
     rejected_rows,
 )
-from pricetide.plans.sink import register_table, replace_keys
-from pricetide.plans.versions import not_older, read_versions, write_versions
+from pricetide.plans.keyed_table import checked, run_folder, sync_catalog, write_run
+from pricetide.plans.versions import SCHEMA, commit, new_run, not_older, read_versions
 from pricetide.schema import DAY_HEADER, DEFAULT_TIMEZONE, WIDE_TEXT_SCHEMA
+from pricetide.session import materialize
 from pricetide.sources.csv_wide import MALFORMED_COLUMN, read_wide_csv
 from pricetide.sources.file_keys import UNKEYED, latest_files, list_files, with_file_key
 
 POLICIES = ("raise", "drop", "quarantine")
+ROUND_UNITS = 1000
 
 
 @dataclass
@@ -42,6 +50,7 @@ class IngestOptions:
     quarantine_path: str | None = None
     database: str | None = None
     table: str | None = None
+    round_units: int = ROUND_UNITS
 
     def __post_init__(self) -> None:
         for policy in (self.on_nonexistent, self.on_invalid):
@@ -89,13 +98,15 @@ def _whole_lines(wide: DataFrame, policy: str) -> DataFrame:
 
 def rejects(wide: DataFrame, options: IngestOptions) -> DataFrame:
     """What the policies quarantine, with the original day and cell text:
-    every rejected cell, and malformed or unkeyed lines."""
-    columns = ["source_key", "file_path", "delivery_day", "delivery_day_text", "hour_name", "cell_text",
+    every rejected cell, and malformed or unkeyed lines. ``unit`` is the key, or
+    the path of a file without one, whose next version replaces the row."""
+    columns = ["unit", "source_key", "file_path", "delivery_day", "delivery_day_text", "hour_name", "cell_text",
                "timestamp", "reject_reason"]
+    unit = F.coalesce("source_key", "file_path").alias("unit")
     cells = rejected_rows(annotate_long(_whole_lines(wide, "quarantine"), options.timezone, options.on_ambiguous))
     kept = F.when(F.col("reject_reason") == "nonexistent_local_time", F.lit(options.on_nonexistent)).otherwise(
         F.lit(options.on_invalid)) == "quarantine"
-    out = cells.filter(kept).select(columns)
+    out = cells.filter(kept).select("*", unit).select(columns)
     if options.on_invalid != "quarantine":
         return out
     lines = wide.filter(F.col(MALFORMED_COLUMN).isNotNull() | F.col("source_key").isNull())
@@ -103,7 +114,7 @@ def rejects(wide: DataFrame, options: IngestOptions) -> DataFrame:
                                                                   for c in WIDE_TEXT_SCHEMA.names]))
     reason = F.when(F.col(MALFORMED_COLUMN).isNotNull(), REJECT_MALFORMED).otherwise(REJECT_UNKEYED)
     whole = lines.select(
-        F.coalesce("source_key", F.lit(UNKEYED)).alias("source_key"), "file_path",
+        unit, F.coalesce("source_key", F.lit(UNKEYED)).alias("source_key"), "file_path",
         F.lit(None).cast("date").alias("delivery_day"), F.col(DAY_HEADER).alias("delivery_day_text"),
         F.lit(None).cast("string").alias("hour_name"), line.alias("cell_text"),
         F.lit(None).cast("timestamp_ntz").alias("timestamp"),
@@ -111,46 +122,56 @@ def rejects(wide: DataFrame, options: IngestOptions) -> DataFrame:
     return out.unionByName(whole)
 
 
-def _write_quarantine(df: DataFrame, path: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("source_key").parquet(path))
-
-
-def ingest_rows(wide: DataFrame, keys: list[str], target: str, options: IngestOptions) -> tuple[list, list]:
-    """Transform keyed wide rows and replace exactly ``keys`` in the quarantine
-    (first, so a failure loses nothing) and in the table at ``target``. The
-    transform is narrow, so both writes derive it from the files; nothing is
-    held on executor disks between them."""
-    if options.quarantines:
-        # The folder of files without a key is replaced like a key's.
-        replace_keys(rejects(wide, options), options.quarantine_path, [*keys, UNKEYED], _write_quarantine, levels=0)
+def ingest_rows(wide: DataFrame, units: DataFrame, target: str, options: IngestOptions, run: str) -> None:
+    """Transform keyed wide rows, write them and their rejects to the folders of
+    ``run`` and commit: from then on they are the whole content of ``units``
+    (unit, source_key, file_path, file_modification_time). The transform is
+    narrow, so both writes derive it from the files; nothing is held on
+    executor disks between them."""
+    spark = wide.sparkSession
     annotated = annotate_long(_whole_lines(wide, options.on_invalid), options.timezone, options.on_ambiguous)
     long = finish_long(annotated, options.timezone, options.on_nonexistent, options.on_invalid,
                        keep_columns=["source_key"])
-    leaves, removed = replace_keys(long, target, keys)
+    long = checked(long, options.database, options.table)
+    if options.quarantines:
+        rejects(wide, options).write.parquet(run_folder(options.quarantine_path, run))
+    write_run(long, target, run)
+    commit(spark, target, units.select("unit", "source_key", "file_path", "file_modification_time",
+                                       F.lit(run).alias("run")))
     if options.database and options.table:
-        register_table(wide.sparkSession, target, options.database, options.table, schema=long.schema,
-                       leaves=leaves, removed=removed)
-    return leaves, removed
+        sync_catalog(spark, target, options.database, options.table, long.schema)
+
+
+def _rounds(winners: DataFrame, most: int):
+    """Lists of at most ``most`` rows; the driver holds one at a time, give or
+    take the unevenness of a hash."""
+    first = winners.limit(most + 1).collect()
+    if len(first) <= most:
+        if first:
+            yield first
+        return
+    stored = materialize(winners, winners.sparkSession, "files-to-read")
+    parts = -(-stored.count() // most)
+    for part in range(parts):
+        rows = stored.filter(F.pmod(F.xxhash64("unit"), F.lit(parts)) == part).collect()
+        for i in range(0, len(rows), most):
+            yield rows[i:i + most]
 
 
 def ingest_listing(spark: SparkSession, files: DataFrame, target: str, options: IngestOptions,
                    new_only: bool) -> int:
-    """Ingest the newest file per key of a listing, unless a later one is on
-    record for the key (``new_only``: or the same one). Returns the number of
+    """Ingest the newest file per unit of a listing, unless a later one is on
+    record for it (``new_only``: or the same one). Returns the number of
     files read. Batch and stream both end here."""
-    latest = latest_files(files)
-    winners = not_older(latest, read_versions(spark, target), equal=not new_only)
-    rows = winners.select("source_key", "file_path", "file_modification_time").collect()
-    if not rows:
-        return 0
-    keys = sorted({r.source_key for r in rows if r.source_key is not None})
-    ingest_rows(read_files(spark, sorted(r.file_path for r in rows)), keys, target, options)
-    if keys:
-        write_versions(spark, target, spark.createDataFrame([r for r in rows if r.source_key is not None],
-                                                            "source_key string, file_path string, "
-                                                            "file_modification_time timestamp"))
-    return len(rows)
+    winners = not_older(latest_files(files), read_versions(spark, target), equal=not new_only).select(
+        "unit", "source_key", "file_path", "file_modification_time")
+    units = SCHEMA.rsplit(",", 1)[0]
+    read = 0
+    for rows in _rounds(winners, options.round_units):
+        ingest_rows(read_files(spark, sorted(r.file_path for r in rows)), spark.createDataFrame(rows, units), target,
+                    options, new_run())
+        read += len(rows)
+    return read
 
 
 def ingest(spark: SparkSession, source: str | list[str], target: str,
@@ -179,12 +200,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--on-invalid", default="raise", choices=POLICIES)
     parser.add_argument("--database")
     parser.add_argument("--table")
+    parser.add_argument("--round-units", type=int, default=ROUND_UNITS, help="keys or unkeyed files per commit")
     args = parser.parse_args(argv)
     from pricetide.session import build_session
 
     options = IngestOptions(timezone=args.timezone, on_nonexistent=args.on_nonexistent,
                             on_invalid=args.on_invalid, quarantine_path=args.quarantine,
-                            database=args.database, table=args.table)
+                            database=args.database, table=args.table, round_units=args.round_units)
     spark = build_session(app_name="pricetide-ingest")
     ingest(spark, args.source, args.target, options, modified_after=args.modified_after, new_only=args.new_only)
 

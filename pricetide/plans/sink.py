@@ -1,9 +1,15 @@
-"""Long table sink, whole-key replacement, catalog, schema change."""
+"""Long table sink, catalog and schema change.
+
+A folder written by :func:`write_long_table` holds its partitions directly. Keys
+that are replaced as a whole live in the versioned table of
+:mod:`pricetide.plans.keyed_table`, which is built on the functions here.
+"""
 
 from __future__ import annotations
 
-import re
-from urllib.parse import unquote
+import json
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -11,8 +17,13 @@ from pyspark.sql import types as T
 # The file key first: one key's leaves lie together, so replacing it lists
 # only its own folders.
 PARTITION_COLUMNS = ("source_key", "year", "month")
-PARTITIONS_PER_STATEMENT = 200
-KEYS_PER_LISTING = 500
+SCHEMA_LOG = "pricetide.schema_log"
+# Digits of the largest value of the whole-number types.
+INTEGER_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
+class SchemaChangeError(ValueError):
+    """A column's new type does not fit the table, nor the table's the new."""
 
 
 def _partitions(df: DataFrame) -> list[str]:
@@ -24,7 +35,6 @@ def write_long_table(long: DataFrame, path: str, mode: str = "overwrite") -> lis
     ``source_key`` and the local ``year`` and ``month`` (S4).
 
     ``overwrite`` is dynamic: the leaves present in ``long`` are replaced.
-    :func:`replace_keys` also removes a key's other leaves.
 
     The ``rebalance`` hint shuffles by the partition columns so each task
     writes few files; AQE splits a month that holds a large share of the rows
@@ -46,50 +56,102 @@ def _hadoop(spark: SparkSession, path: str):
     return jvm, folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _key_pattern(spark: SparkSession, key: str) -> str:
-    """A key's folder name as a glob that matches only it."""
-    if not re.fullmatch(r"[A-Za-z0-9._-]+", key):
-        key = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(key)
-    return re.sub(r"([{}\[\],*?\\])", r"\\\1", key)
-
-
-def key_leaves(spark: SparkSession, path: str, keys: list[str], levels: int = 2) -> dict[str, set[str]]:
-    """Leaf folder (below ``path``, such as ``source_key=k/year=2024/month=5``)
-    -> names of its files, for the folders of ``keys`` only, which have
-    ``levels`` levels of folders below them."""
-    jvm, root, store = _hadoop(spark, path)
-    leaves: dict[str, set[str]] = {}
-    if not store.exists(root):
-        return leaves
-    prefix = store.getFileStatus(root).getPath().toString().rstrip("/") + "/"
-    for i in range(0, len(keys), KEYS_PER_LISTING):
-        names = ",".join(_key_pattern(spark, k) for k in keys[i:i + KEYS_PER_LISTING])
-        below = jvm.org.apache.hadoop.fs.Path(root, f"source_key={{{names}}}" + "/*" * (levels + 1))
-        for found in jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(store.globStatus(below)):
-            leaf, name = found.toString().removeprefix(prefix).rsplit("/", 1)
-            leaves.setdefault(leaf, set()).add(name)
-    return leaves
-
-
-def replace_keys(df: DataFrame, path: str, keys: list[str], write=write_long_table,
-                 levels: int = 2) -> tuple[list[str], list[str]]:
-    """Write ``df`` so that afterwards the table holds exactly its rows for
-    ``keys``: a leaf of these keys that the write did not touch still has a
-    file from before, and is removed - also when no row is left at all.
-    Returns (leaves there now, leaves removed). A run that dies in between is
-    mended by running it again."""
+# -- schema change ------------------------------------------------------------
+
+def widened(old: T.DataType, new: T.DataType) -> T.DataType | None:
+    """The type that holds every value of both and that files of either are
+    read as; None where there is none. Whole numbers widen to larger ones, to
+    decimals that hold their digits and, up to 32 bits, to doubles; floats to
+    doubles; decimals to those of more digits before and after the point;
+    dates to times without zone."""
+    if old == new:
+        return old
+    for a, b in ((old, new), (new, old)):
+        name, other = a.simpleString(), b.simpleString()
+        if name in INTEGER_DIGITS:
+            if INTEGER_DIGITS.get(other, 0) > INTEGER_DIGITS[name]:
+                return b
+            if isinstance(b, T.DoubleType) and name != "bigint":
+                return b
+            if isinstance(b, T.DecimalType) and b.precision - b.scale >= INTEGER_DIGITS[name]:
+                return b
+        if isinstance(a, T.FloatType) and isinstance(b, T.DoubleType):
+            return b
+        if isinstance(a, T.DateType) and isinstance(b, T.TimestampNTZType):
+            return b
+        if (isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType) and b.scale >= a.scale
+                and b.precision - b.scale >= a.precision - a.scale):
+            return b
+    return None
+
+
+@dataclass
+class SchemaChange:
+    """What a frame's columns change in a table: ``schema`` is the table's
+    afterwards (columns the frame lacks stay and read as null)."""
+
+    schema: T.StructType
+    added: dict[str, str] = field(default_factory=dict)
+    widened: dict[str, list[str]] = field(default_factory=dict)
+    removed: list[str] = field(default_factory=list)
+
+
+def compare_schema(table: T.StructType, frame: T.StructType) -> SchemaChange:
+    """The change from a table's columns to a frame's; raises
+    :class:`SchemaChangeError` where a column's types have no common one."""
+    new = {f.name: f for f in frame.fields}
+    change = SchemaChange(T.StructType([]))
+    for f in table.fields:
+        kind = f.dataType
+        if f.name in new:
+            kind = widened(f.dataType, new[f.name].dataType)
+            if kind is None:
+                raise SchemaChangeError(f"column {f.name}: the table has {f.dataType.simpleString()}, the new rows "
+                                        f"{new[f.name].dataType.simpleString()}; neither holds the other")
+            if kind != f.dataType:
+                change.widened[f.name] = [f.dataType.simpleString(), kind.simpleString()]
+        elif f.name not in PARTITION_COLUMNS:
+            change.removed.append(f.name)
+        change.schema.add(f.name, kind, True)
+    known = {f.name for f in table.fields}
+    for f in frame.fields:
+        if f.name not in known:
+            change.added[f.name] = f.dataType.simpleString()
+            change.schema.add(f.name, f.dataType, True)
+    return change
+
+
+def conform(df: DataFrame, database: str, table: str) -> DataFrame:
+    """``df`` in the types that the table will have once ``df`` is added: call
+    it before anything is written. A column of a narrower type than the
+    table's is cast; one that doesn't fit is refused here."""
     spark = df.sparkSession
-    before = key_leaves(spark, path, keys, levels)
-    write(df, path)
-    after = key_leaves(spark, path, keys, levels)
-    stale = sorted(leaf for leaf, files in after.items() if files & before.get(leaf, set()))
-    jvm, root, store = _hadoop(spark, path)
-    for leaf in stale:
-        store.delete(jvm.org.apache.hadoop.fs.Path(root, leaf), True)
-    # A leaf that was overwritten away entirely is gone as well.
-    removed = sorted(set(before) - (set(after) - set(stale)))
-    return sorted(set(after) - set(stale)), removed
+    if not spark.catalog.tableExists(f"{database}.{table}"):
+        return df
+    change = compare_schema(spark.table(f"`{database}`.`{table}`").schema, df.schema)
+    return df.select(*[df[f.name].cast(change.schema[f.name].dataType).alias(f.name)
+                       if change.schema[f.name].dataType != f.dataType else df[f.name] for f in df.schema.fields])
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def table_property(spark: SparkSession, name: str, key: str) -> str | None:
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(f"key = '{key}'").collect()
+    return found[0].value if found else None
+
+
+def set_table_property(spark: SparkSession, name: str, key: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{key}' = '{_quoted(value)}')")
+
 
+def schema_log(spark: SparkSession, database: str, table: str) -> list[dict]:
+    """Every change of the table's columns so far: added, widened, removed."""
+    return json.loads(table_property(spark, f"`{database}`.`{table}`", SCHEMA_LOG) or "[]")
+
+
+# -- catalog ------------------------------------------------------------------
 
 def _columns_sql(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields
@@ -100,49 +162,65 @@ def table_ddl(database: str, table: str, path: str, schema: T.StructType) -> str
     return (f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ({_columns_sql(schema)}, "
             "`source_key` STRING, `year` INT, `month` INT) "
             "USING parquet PARTITIONED BY (`source_key`, `year`, `month`) "
-            f"LOCATION '{path}'")
+            f"LOCATION '{_quoted(path)}'")
 
 
-def _partition_spec(leaf: str) -> str:
-    values = dict(part.split("=", 1) for part in leaf.split("/"))
-    key = unquote(values["source_key"]).replace("'", "\\'")
-    return f"PARTITION (`source_key`='{key}', `year`={int(values['year'])}, `month`={int(values['month'])})"
+def define_table(spark: SparkSession, path: str, database: str, table: str, schema: T.StructType,
+                 fill: Callable[[str], None]) -> bool:
+    """Create the table, or bring its columns up to date with ``schema`` in
+    place (S6): new columns are added; a column that rows no longer have stays
+    and reads as null; both are logged in the table's properties. A wider type
+    needs a new definition: it is created beside the old, ``fill(name)`` adds its
+    partitions, and it takes the table's name. Returns whether the table is
+    new."""
+    name = f"`{database}`.`{table}`"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    if not spark.catalog.tableExists(f"{database}.{table}"):
+        spark.sql(table_ddl(database, table, path, schema))
+        fill(name)
+        return True
+    change = compare_schema(spark.table(name).schema, schema)
+    log = schema_log(spark, database, table)
+    gone = [c for c in change.removed if c not in _logged_as_removed(log)]
+    back = [f.name for f in schema.fields if f.name in _logged_as_removed(log)]
+    if change.widened:
+        beside = f"{table}__next"
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{beside}`")
+        spark.sql(table_ddl(database, beside, path, change.schema))
+        set_table_property(spark, f"`{database}`.`{beside}`", SCHEMA_LOG, json.dumps(log))
+        fill(f"`{database}`.`{beside}`")
+        # Only definitions change hands: the table is external, its files stay.
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}__last`")
+        spark.sql(f"ALTER TABLE {name} RENAME TO `{database}`.`{table}__last`")
+        spark.sql(f"ALTER TABLE `{database}`.`{beside}` RENAME TO {name}")
+        spark.sql(f"DROP TABLE `{database}`.`{table}__last`")
+    elif change.added:
+        new = T.StructType([change.schema[c] for c in change.added])
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_columns_sql(new)})")
+    if change.added or change.widened or gone or back:
+        log.append({"added": change.added, "widened": change.widened, "removed": gone, "returned": back})
+        set_table_property(spark, name, SCHEMA_LOG, json.dumps(log))
+    return False
 
 
-def _alter(spark: SparkSession, name: str, verb: str, leaves: list[str], between: str) -> None:
-    for i in range(0, len(leaves), PARTITIONS_PER_STATEMENT):
-        specs = [_partition_spec(leaf) for leaf in leaves[i:i + PARTITIONS_PER_STATEMENT]]
-        spark.sql(f"ALTER TABLE {name} {verb} {between.join(specs)}")
+def _logged_as_removed(log: list[dict]) -> set[str]:
+    gone: set[str] = set()
+    for entry in log:
+        gone = (gone | set(entry["removed"])) - set(entry.get("returned", []))
+    return gone
 
 
 def register_table(spark: SparkSession, path: str, database: str = "energy_market",
-                   table: str = "day_ahead_prices", schema: T.StructType | None = None,
-                   leaves: list[str] | None = None, removed: list[str] | None = None) -> str:
-    """Make the written folder a catalog table, or bring the table up to date
-    (S5, S6): columns of ``schema`` that the table lacks are added in place
-    (older files read them as null); of an existing table only the partitions
-    ``leaves`` are added and ``removed`` dropped, so a run touches what it
-    wrote. Without ``leaves`` - and when the table is new - the folder is
-    listed once (``MSCK REPAIR``)."""
+                   table: str = "day_ahead_prices", schema: T.StructType | None = None) -> str:
+    """Make a folder of :func:`write_long_table` a catalog table, or bring the
+    table up to date (S5, S6): columns by :func:`define_table`, partitions by
+    listing the folder."""
     from pricetide.schema import LONG_SCHEMA
 
-    schema = schema or LONG_SCHEMA
     name = f"`{database}`.`{table}`"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    exists = spark.catalog.tableExists(f"{database}.{table}")
-    if not exists:
-        spark.sql(table_ddl(database, table, path, schema))
-    known = {f.name for f in spark.table(name).schema.fields}
-    new = T.StructType([f for f in schema.fields if f.name not in known])
-    if new.fields:
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_columns_sql(new)})")
-    if leaves is None or not exists:
+    if not define_table(spark, path, database, table, schema or LONG_SCHEMA,
+                        lambda n: spark.sql(f"MSCK REPAIR TABLE {n}")):
         spark.sql(f"MSCK REPAIR TABLE {name}")
-    else:
-        if removed:
-            _alter(spark, name, "DROP IF EXISTS", removed, ", ")
-        if leaves:
-            _alter(spark, name, "ADD IF NOT EXISTS", leaves, " ")
     spark.sql(f"REFRESH TABLE {name}")
     return f"{database}.{table}"
 

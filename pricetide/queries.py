@@ -12,7 +12,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pricetide.functions.slots import parse_delivery_day
 from pricetide.operators.long import annotate_long, long_with_nulls, to_long, with_zone_columns
@@ -35,7 +34,8 @@ from pricetide.operators.reshape import (
 )
 from pricetide.plans.ingest import IngestOptions, ingest, read_latest
 from pricetide.plans.query import monthly_summary, range_sql, read_range
-from pricetide.plans.sink import register_table, replace_keys, write_long_table
+from pricetide.plans.keyed_table import read_current, read_rejects, replace_keys, sync_catalog
+from pricetide.plans.sink import conform, register_table, write_long_table
 from pricetide.plans.versions import stored_watermark
 from pricetide.schema import (
     DAY_COLUMN,
@@ -43,7 +43,6 @@ from pricetide.schema import (
     DEFAULT_TIMEZONE,
     DEFAULT_TOP_FOLDER,
     LONG_COLUMNS,
-    LONG_SCHEMA,
     SLOT_COLUMNS,
     SLOT_HEADERS,
 )
@@ -64,7 +63,6 @@ UTC_RANGE = ("1998-03-28 22:00:00", "1998-10-26 00:00:00")
 OVERWRITE_LAST_MONTH = 6
 EMPTIED_MONTH = 2
 
-TABLE_SCHEMA = T.StructType(LONG_SCHEMA.fields + [T.StructField("source_key", T.StringType(), True)])
 
 
 # -- inputs -----------------------------------------------------------------
@@ -245,21 +243,25 @@ def q_quality_report(spark, sf_dir):
 
 # -- sinks, catalog, incremental ------------------------------------------
 
-def _read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(TABLE_SCHEMA).parquet(path)
-
-
 def q_parquet_partition_overwrite(spark, sf_dir):
+    """Two versions of the month keys, each committed as a whole; read by the
+    catalog, whose partitions are switched from the first to the second."""
     path = scratch_path(spark, "long-table")
+    table = "t_" + path.rsplit("-", 1)[-1]
     partial, complete = _partial_and_complete(spark, sf_dir)
+
+    def keys(df):
+        return sorted(r.source_key for r in df.select("source_key").distinct().collect())  # one row per month file
+
     first = _with_source_key(to_long(partial, TZ, on_nonexistent="drop"))
-    write_long_table(first, path)
+    replace_keys(first, path, keys(first), "1")
+    sync_catalog(spark, path, "energy_market", table, first.schema)
     # Version 2 of the keys of these months: complete, but February is empty.
     rewritten = F.month(parse_delivery_day(DAY_HEADER)) <= OVERWRITE_LAST_MONTH
     second = _with_source_key(to_long(complete.filter(rewritten), TZ, on_nonexistent="drop"))
-    keys = second.select("source_key").distinct().collect()  # one row per month file
-    replace_keys(second.filter(F.col("month") != EMPTIED_MONTH), path, sorted(r.source_key for r in keys))
-    return _read_table(spark, path)
+    replace_keys(second.filter(F.col("month") != EMPTIED_MONTH), path, keys(second), "2")
+    name = sync_catalog(spark, path, "energy_market", table, second.schema)
+    return spark.table(name).select(*LONG_COLUMNS, "source_key")
 
 
 def _registered_long_table(spark: SparkSession, sf_dir: str) -> str:
@@ -281,18 +283,25 @@ def q_catalog_range_utc(spark, sf_dir):
 
 
 def q_schema_evolution_read(spark, sf_dir):
+    """Later files have a new column (utc_offset), a wider one (hour_mid: whole
+    hours, then half hours) and lack one (origin)."""
     path = scratch_path(spark, "evolving-table")
     name = "t_" + path.rsplit("-", 1)[-1]
     long = _with_source_key(_long(spark, sf_dir))
-    old = long.filter(F.col("month") <= OVERWRITE_LAST_MONTH)
+    hour = F.hour("timestamp")
+    old = (long.filter(F.col("month") <= OVERWRITE_LAST_MONTH)
+               .withColumn("hour_mid", hour).withColumn("origin", F.lit("first half")))
     new = (long.filter(F.col("month") > OVERWRITE_LAST_MONTH)
+               .withColumn("hour_mid", hour + F.lit(0.5))
                .withColumn("utc_offset",
                            (F.col("timestamp") - F.col("timestamp_utc")).cast("interval hour").cast("int")))
     write_long_table(old, path)
     register_table(spark, path, "energy_market", name, schema=old.schema)
+    new = conform(new, "energy_market", name)
     write_long_table(new, path)
     table = register_table(spark, path, "energy_market", name, schema=new.schema)
-    return spark.table(table).select("timestamp", "timestamp_utc", "price", "timezone", "utc_offset", "year", "month")
+    return spark.table(table).select("timestamp", "timestamp_utc", "price", "timezone", "utc_offset", "hour_mid",
+                                     "origin", "year", "month")
 
 
 def q_latest_file_version(spark, sf_dir):
@@ -317,20 +326,40 @@ def q_incremental_modified_after(spark, sf_dir):
     ingest(spark, root, table, options)
     write_wide_csv(complete, f"{root}/ingest=0002")
     ingest(spark, root, table, options, modified_after=stored_watermark(spark, table), new_only=True)
-    return _read_table(spark, table).select(*LONG_COLUMNS)
+    return read_current(spark, table).select(*LONG_COLUMNS)
+
+
+def q_quarantine_ledger(spark, sf_dir):
+    """The priced skipped hours after two versions of every month file: a
+    file's rejects are those of its current version."""
+    root = scratch_path(spark, "landing")
+    table = scratch_path(spark, "ingested")
+    options = _quarantining(spark)
+    partial, complete = _partial_and_complete(spark, sf_dir)
+    write_wide_csv(partial, f"{root}/ingest=0001")
+    ingest(spark, root, table, options)
+    # The second version exists of the first half of each year only.
+    rewritten = F.month(parse_delivery_day(DAY_HEADER)) <= OVERWRITE_LAST_MONTH
+    write_wide_csv(complete.filter(rewritten), f"{root}/ingest=0002")
+    ingest(spark, root, table, options, new_only=True)
+    return read_rejects(spark, table, options.quarantine_path).select(
+        "source_key", "delivery_day", "hour_name", F.col("cell_text").try_cast("double").alias("price"), "timestamp",
+        "reject_reason")
 
 
 def q_stream_available_now(spark, sf_dir):
+    """The second version of every month file overwrites the first under its
+    own path, between two triggers."""
     root = scratch_path(spark, "landing")
     table = scratch_path(spark, "streamed")
     checkpoint = scratch_path(spark, "stream-checkpoint")
     options = _quarantining(spark)
     partial, complete = _partial_and_complete(spark, sf_dir)
-    write_wide_csv(partial, f"{root}/ingest=0001")
+    write_wide_csv(partial, root)
     run_available_now(spark, root, table, checkpoint, options)
-    write_wide_csv(complete, f"{root}/ingest=0002")
+    write_wide_csv(complete, root)
     run_available_now(spark, root, table, checkpoint, options)
-    return _read_table(spark, table).select(*LONG_COLUMNS)
+    return read_current(spark, table).select(*LONG_COLUMNS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -363,5 +392,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_evolution_read": q_schema_evolution_read,
     "latest_file_version": q_latest_file_version,
     "incremental_modified_after": q_incremental_modified_after,
+    "quarantine_ledger": q_quarantine_ledger,
     "stream_available_now": q_stream_available_now,
 }

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricetide.functions.slots import parse_delivery_day
+from pricetide.sources.file_keys import plain_path
 from pricetide.schema import (
     COMMENT_CHAR,
     DAY_HEADER,
@@ -49,7 +50,7 @@ def csv_reader_options(modified_after: str | None = None) -> dict[str, str]:
 
 
 def with_file_lineage(df: DataFrame) -> DataFrame:
-    return df.select("*", F.col("_metadata.file_path").alias("file_path"),
+    return df.select("*", plain_path(F.col("_metadata.file_path")).alias("file_path"),
                      F.col("_metadata.file_modification_time").alias("file_modification_time"))
 
 

@@ -39,9 +39,16 @@ def with_file_key(df: DataFrame, path_column: str = "file_path") -> DataFrame:
                            "source_key": cols["source_key"]})
 
 
+def plain_path(path: Column) -> Column:
+    """A path of a scan's metadata as a listing gives it: not percent-encoded,
+    ``file:/`` before a local one."""
+    decoded = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    return F.regexp_replace(decoded, "^file:/+", "file:/")
+
+
 def listed(files: DataFrame) -> DataFrame:
     """A listing's rows as ``file_path``, ``file_modification_time``, key."""
-    return with_file_key(files.select(F.col("path").alias("file_path"),
+    return with_file_key(files.select(F.regexp_replace("path", "^file:/+", "file:/").alias("file_path"),
                                       F.col("modificationTime").alias("file_modification_time")))
 
 
@@ -61,8 +68,8 @@ def list_files(spark: SparkSession, path: str | list[str], modified_after: str |
 
 
 def latest_files(files: DataFrame) -> DataFrame:
-    """One row per key: the newest file, by time, then path. Files without a
-    key are ranked among themselves by path, so all of them stay."""
-    unit = F.coalesce("source_key", "file_path")
-    w = Window.partitionBy(unit).orderBy(F.col("file_modification_time").desc(), F.col("file_path").desc())
-    return files.distinct().withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
+    """One row per ``unit``, the key or the path of a file without one: the
+    newest file, by time, then path."""
+    files = files.distinct().withColumn("unit", F.coalesce("source_key", "file_path"))
+    w = Window.partitionBy("unit").orderBy(F.col("file_modification_time").desc(), F.col("file_path").desc())
+    return files.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")

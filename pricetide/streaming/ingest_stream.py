@@ -1,11 +1,11 @@
 """Structured Streaming pick-up of new and rewritten price files.
 
-The stream carries the *listing* of new files (path and time, no content);
-every micro-batch hands it to the batch job, so both read files, choose
-versions and treat bad lines in one way. A file source remembers the paths it
-has seen, so a file rewritten under the same path is not seen again: each
-version lands under a new path (``.../ingest=<ts>/daa_market/...``), or the
-batch job is used.
+The stream carries the *listing* of files (path and time, no content); every
+micro-batch hands it to the batch job, so both read files, choose versions,
+commit in rounds and treat bad lines in one way. The listing comes from
+:mod:`pricetide.streaming.listing_source`, which sees a file rewritten under its own
+path; with ``max_files_per_trigger`` it comes from Spark's file source instead, which
+bounds a batch but takes every path once.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pricetide.plans.ingest import IngestOptions, ingest_listing
 from pricetide.sources.file_keys import listed, listing_options
-
+from pricetide.streaming.listing_source import listing_stream
 
 # A hundred years; the columns of a file listing.
 MAX_FILE_AGE = "36500d"
@@ -23,7 +23,8 @@ LISTING_SCHEMA = "path string, modificationTime timestamp, length long, content
 
 
 def file_stream(spark: SparkSession, source: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream of (path, modificationTime) of new files; contents stay unread."""
+    """Stream of (path, modificationTime) of files under new paths; contents
+    stay unread."""
     # The source would ignore files older than a week before the newest: here
     # versions decide, so a file of another key may be of any age.
     opts = listing_options() | {"maxFileAge": MAX_FILE_AGE}
@@ -35,10 +36,10 @@ def file_stream(spark: SparkSession, source: str, max_files_per_trigger: int | N
 
 def start_ingest_stream(spark: SparkSession, source: str, target: str, checkpoint: str,
                         options: IngestOptions | None = None, available_now: bool = True,
-                        processing_time: str | None = None,
-                        max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Stream every new file under ``source`` into the long table at
-    ``target``. ``available_now`` processes what is there and stops (the
+                        processing_time: str | None = None, max_files_per_trigger: int | None = None,
+                        late_seconds: float | None = None) -> StreamingQuery:
+    """Stream every new or rewritten file under ``source`` into the versioned
+    table at ``target``. ``available_now`` processes what is there and stops (the
     per-event job of a scheduler); otherwise runs every ``processing_time``.
     A batch that is replayed after a failure meets its files on record or
     writes them again, to the same end."""
@@ -47,9 +48,9 @@ def start_ingest_stream(spark: SparkSession, source: str, target: str, checkpoin
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         ingest_listing(batch.sparkSession, listed(batch), target, options, new_only=True)
 
-    writer = (file_stream(spark, source, max_files_per_trigger)
-              .writeStream.foreachBatch(write_batch)
-              .option("checkpointLocation", checkpoint))
+    files = (file_stream(spark, source, max_files_per_trigger) if max_files_per_trigger
+             else listing_stream(spark, source, late_seconds))
+    writer = files.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

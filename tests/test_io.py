@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricetide.plans.ingest import IngestOptions, ingest, read_latest
+from pricetide.plans.keyed_table import read_current, read_rejects
 from pricetide.plans.query import read_range
 from pricetide.plans.sink import read_long_table, register_table, write_long_table
 from pricetide.schema import LONG_COLUMNS
@@ -34,7 +35,7 @@ def _quarantining(spark):
 
 
 def _table(spark, path):
-    return sorted(tuple(r) for r in spark.read.parquet(path).select(*LONG_COLUMNS).collect())
+    return sorted(tuple(r) for r in read_current(spark, path).select(*LONG_COLUMNS).collect())
 
 
 def test_landing_file_layout_and_scan(spark, wide_text):
@@ -96,7 +97,7 @@ def test_ingest_rerun_changes_nothing_and_quarantines(spark, wide_text):
     first = _table(spark, table)
     ingest(spark, root, table, opts)
     assert _table(spark, table) == first
-    q = spark.read.parquet(quarantine)
+    q = read_rejects(spark, table, quarantine)
     assert q.count() >= 1
     assert {r.reject_reason for r in q.select("reject_reason").distinct().collect()} == {"nonexistent_local_time"}
 
@@ -123,7 +124,7 @@ def test_stream_picks_up_new_versions_and_replay_is_idempotent(spark, wide_text)
     stale = wide_text.withColumn("Hour 1", F.lit(-5.0))
     write_wide_csv(stale, f"{root}/ingest=0001")
     run_available_now(spark, root, table, ckpt, options)
-    assert spark.read.parquet(table).filter("price = -5.0").count() > 0
+    assert read_current(spark, table).filter("price = -5.0").count() > 0
     write_wide_csv(wide_text, f"{root}/ingest=0002")
     run_available_now(spark, root, table, ckpt, options)
     after = _table(spark, table)
@@ -193,13 +194,13 @@ def test_same_key_rewrite_replaces_rows_with_modified_after(spark, wide_text):
     may = wide_text.filter(F.col("Delivery day").endswith("/05/1996"))
     write_wide_csv(may.withColumn("Hour 1", F.lit(-3.0)), root)
     ingest(spark, root, table, IngestOptions())
-    assert spark.read.parquet(table).filter("price = -3.0").count() > 0
+    assert read_current(spark, table).filter("price = -3.0").count() > 0
     seen = read_wide_csv(spark, root).agg(F.unix_micros(F.max("file_modification_time"))).first()[0]
     time.sleep(0.05)
     write_wide_csv(may, root)  # version 2 of the same month file
     after = (dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=seen)).isoformat(timespec="milliseconds")
     ingest(spark, root, table, IngestOptions(), modified_after=after)
-    out = spark.read.parquet(table)
+    out = read_current(spark, table)
     assert out.filter("price = -3.0").count() == 0
     assert out.select("source_key").distinct().collect()[0][0] == "daa_market.1996-05"
 
@@ -228,5 +229,5 @@ def test_ingest_job_entry_point(spark, wide_text):
     quarantine = scratch_path(spark, "t-cli-q")
     write_wide_csv(wide_text, root)
     main(["--source", root, "--target", table, "--quarantine", quarantine, "--on-nonexistent", "quarantine"])
-    assert spark.read.parquet(table).count() > 0
-    assert spark.read.parquet(quarantine).count() >= 1
+    assert read_current(spark, table).count() > 0
+    assert read_rejects(spark, table, quarantine).count() >= 1

@@ -6,10 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricetide.operators.long import to_long
-from pricetide.operators.quality import quality_report, utc_hour_gaps
+from pricetide.operators.quality import day_completeness, quality_report, utc_hour_gaps
 from pricetide.plans.ingest import IngestOptions, ingest, read_latest
+from pricetide.plans.keyed_table import read_current, read_rejects
 from pricetide.plans.query import monthly_summary
-from pricetide.plans.sink import key_leaves
 from pricetide.plans.versions import read_versions, stored_watermark
 from pricetide.schema import DAY_HEADER, SLOT_HEADERS
 from pricetide.session import scratch_path
@@ -40,7 +40,11 @@ def options(spark, **more):
 
 
 def rows(spark, table):
-    return spark.read.parquet(table)
+    return read_current(spark, table)
+
+
+def rejected(spark, table, opts):
+    return read_rejects(spark, table, opts.quarantine_path)
 
 
 BAD_LINES = [line("99/99/2024", 2.0), line("", 3.0), line("03/05/2024", 4.0).replace("4.0", "oops", 1),
@@ -57,15 +61,15 @@ def test_cells_in_equal_rows_written_and_quarantined(spark, tmp_path, how):
     else:
         run_available_now(spark, str(tmp_path), table, scratch_path(spark, "n-ckpt"), opts)
     written = rows(spark, table)
-    rejected = spark.read.parquet(opts.quarantine_path)
-    by_reason = {r.reject_reason: r["count"] for r in rejected.groupBy("reject_reason").count().collect()}
+    refused = rejected(spark, table, opts)
+    by_reason = {r.reject_reason: r["count"] for r in refused.groupBy("reject_reason").count().collect()}
     assert by_reason == {"bad_delivery_day": 48, "bad_price": 1, "malformed_line": 2}
     assert written.count() == 24 + 23 + 1
     assert written.filter("timestamp is null").count() == 0
     # What was there is there to repair from.
-    assert rejected.filter("delivery_day_text = '99/99/2024' and cell_text = '2.0'").count() == 24
-    assert rejected.filter("cell_text = 'oops' and delivery_day = DATE'2024-05-03'").count() == 1
-    assert rejected.filter("reject_reason = 'malformed_line' and cell_text like '%,7,8'").count() == 1
+    assert refused.filter("delivery_day_text = '99/99/2024' and cell_text = '2.0'").count() == 24
+    assert refused.filter("cell_text = 'oops' and delivery_day = DATE'2024-05-03'").count() == 1
+    assert refused.filter("reject_reason = 'malformed_line' and cell_text like '%,7,8'").count() == 1
 
 
 @pytest.mark.parametrize("bad", BAD_LINES[:5])
@@ -94,7 +98,7 @@ def test_unkeyed_files_and_top_folders_stay_apart(spark, tmp_path):
     ingest(spark, str(tmp_path / "two"), table, opts)
     assert rows(spark, table).groupBy("source_key").count().orderBy("source_key").collect() == [
         ("daa_market.2024-05", 24), ("intraday.2024-05", 24)]
-    stray = spark.read.parquet(opts.quarantine_path).collect()
+    stray = rejected(spark, table, opts).collect()
     assert [(r.source_key, r.reject_reason) for r in stray] == [("unkeyed", "unkeyed_file")]
     assert stray[0].cell_text == line("01/05/2024", 3.0)
 
@@ -108,18 +112,18 @@ def test_a_version_replaces_its_key_wholly(spark, tmp_path):
     put(tmp_path, "ingest=1/daa_market/2024/7/a.csv", line("01/07/2024", 7.0), when=1000)
     ingest(spark, str(tmp_path), table, opts)
     assert spark.table(name).count() == 72
-    assert spark.read.parquet(opts.quarantine_path).count() == 24
+    assert rejected(spark, table, opts).count() == 24
     # Version 2 lacks June and has no reject; the other key is not touched.
     put(tmp_path, "ingest=2/daa_market/2024/05/a.csv", line("31/05/2024", 2.0), when=2000)
     ingest(spark, str(tmp_path), table, opts)
     assert rows(spark, table).select("price").distinct().orderBy("price").collect() == [(2.0,), (7.0,)]
     assert spark.table(name).count() == rows(spark, table).count() == 48
-    assert not key_leaves(spark, opts.quarantine_path, ["daa_market.2024-05"], levels=0)
+    assert rejected(spark, table, opts).count() == 0
     # Version 3: every row is rejected.
     put(tmp_path, "ingest=3/daa_market/2024/05/a.csv", line("yy", 3.0), when=3000)
     assert ingest(spark, str(tmp_path), table, opts, new_only=True) == 1
     assert spark.table(name).select("price").distinct().collect() == [(7.0,)]
-    assert spark.read.parquet(opts.quarantine_path).count() == 24
+    assert rejected(spark, table, opts).count() == 24
 
 
 @pytest.mark.parametrize("how", ["batch", "stream"])
@@ -175,6 +179,26 @@ def test_steps_are_checked_across_midnight(spark):
     assert report["None"].status == "unreadable_day" and report["None"].n_wide_rows == 1
 
 
+def test_steps_and_days_across_missing_days(spark):
+    day = [10.0, 10.0, 10.0, None, *[10.0] * 21]
+    wide = make_wide(spark, [("29/12/2023", day), ("31/12/2023", day), ("01/03/2024", day), ("01/01/2026", day)])
+    long = to_long(wide)
+    gaps = {str(r.delivery_day): r.step_seconds for r in utc_hour_gaps(long).collect()}
+    assert gaps == {"2023-12-31": 90_000, "2024-03-01": 60 * 86_400 + 3600, "2026-01-01": 670 * 86_400 + 3600}
+    days = {str(r.delivery_day): r for r in day_completeness(long).collect()}
+    assert len(days) == 735
+    assert (days["2023-12-30"].status, days["2023-12-30"].n_hours) == ("missing", 0)
+    assert (days["2024-03-31"].status, days["2024-03-31"].expected_hours) == ("missing", 23)
+    assert {d for d, r in days.items() if r.status == "complete"} == {"2023-12-29", "2023-12-31", "2024-03-01",
+                                                                      "2026-01-01"}
+    wider = day_completeness(long, first="2023-12-01", last="2023-12-29").collect()
+    assert [r.status for r in sorted(wider, key=lambda r: r.delivery_day)] == ["missing"] * 28 + ["complete"]
+    nothing = long.filter("price < 0")
+    assert day_completeness(nothing).count() == utc_hour_gaps(nothing).count() == 0
+    timeless = long.limit(1).withColumn("timestamp", F.lit(None).cast("timestamp_ntz"))
+    assert [(r.delivery_day, r.n_hours, r.status) for r in day_completeness(timeless).collect()] == [(None, 1, "no_time")]
+
+
 def test_prices_are_summed_exactly(spark):
     wide = make_wide(spark, [("01/05/2024", [33.334, 33.334, 33.334, None, *[33.334] * 21])])
     got = monthly_summary(to_long(wide)).first()
