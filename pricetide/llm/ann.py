@@ -37,6 +37,7 @@ FACTOR = 1.0
 SHARD_ROWS = 8192
 LEAF_ROWS = 256
 QUERY_BLOCK = 4096
+SHARDS_A_BATCH = 16  # shards that a task holds at once
 
 
 def usable(vector: str | Column) -> Column:
@@ -76,19 +77,31 @@ def build_tree(x: np.ndarray, leaf: int) -> dict[str, np.ndarray]:
 
 
 def search_tree(x: np.ndarray, ids: np.ndarray, tree: dict, queries: np.ndarray, query_ids: np.ndarray,
-                k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
+                k: int, factor: float, best_id: np.ndarray | None = None,
+                best: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(ids, distances) of the ``k`` nearest found per query, nearest first,
-    missing ones as id -1 at infinity. Queries descend together; each visits
-    the side of mu that it lies on first."""
+    missing ones as id -1 at infinity. ``best_id`` and ``best`` are what other
+    trees gave. Queries descend together; each visits the side of mu that it
+    lies on first."""
     order, nodes = tree["order"], tree["nodes"]
-    best_id = np.full((len(queries), k), -1, np.int64)
-    best = np.full((len(queries), k), np.inf)
+    best_id = np.full((len(queries), k), -1, np.int64) if best_id is None else best_id.copy()
+    best = np.full((len(queries), k), np.inf) if best is None else best.copy()
+
+    repeats = len(np.unique(ids)) < len(ids)
 
     def offer(q: np.ndarray, rows: np.ndarray, d: np.ndarray) -> None:
         d = np.where(ids[rows][None, :] == query_ids[q][:, None], np.inf, d)
         all_d = np.concatenate([best[q], d], axis=1)
         all_id = np.concatenate([best_id[q], np.broadcast_to(ids[rows], d.shape)], axis=1)
-        rank = np.lexsort((all_id, all_d), axis=1)[:, :k]
+        rank = np.lexsort((all_id, all_d), axis=1)
+        if repeats:
+            # Of an id with several vectors the nearest counts.
+            for i, by in enumerate(rank):
+                _, first = np.unique(all_id[i, by], return_index=True)
+                again = np.setdiff1d(np.arange(len(by)), first)
+                all_d[i, by[again]] = np.inf
+            rank = np.lexsort((all_id, all_d), axis=1)
+        rank = rank[:, :k]
         best[q] = np.take_along_axis(all_d, rank, 1)
         best_id[q] = np.where(np.isinf(best[q]), -1, np.take_along_axis(all_id, rank, 1))
 
@@ -142,8 +155,12 @@ def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS, leaf_rows: int
         ids = batch.column("id").to_numpy()
         x = _matrix(x)
         # Rows that share an id and a vector count once.
-        _, keep = np.unique(np.concatenate([ids[:, None].astype(np.float64), x], axis=1), axis=0, return_index=True)
-        x, ids = x[keep], ids[keep]
+        # Whole numbers stay whole: as doubles, large ids would meet.
+        order = np.lexsort((*x.T, ids))
+        x, ids = x[order], ids[order]
+        fresh = np.ones(len(ids), bool)
+        fresh[1:] = (ids[1:] != ids[:-1]) | (x[1:] != x[:-1]).any(axis=1)
+        x, ids = x[fresh], ids[fresh]
         tree = build_tree(x, leaf_rows)
         return pa.table({"dim": [key[0].as_py()], "shard": [key[1].as_py()],
                          "ids": [ids.astype(np.int64).tobytes()], "data": [x.tobytes()],
@@ -173,28 +190,28 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float =
     asked = queries.filter(F.col("id").isNotNull() & usable("v")).distinct()
     index = stored(build_index(ok, shard_rows), "vp-trees")
     found = None
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    rows = spark.conf.get(key, "10000")
     for dim, ids, matrix in query_blocks(asked):
         block = spark.sparkContext.broadcast((ids, matrix))
 
         def search(batches, block=block):
             query_ids, q = block.value
+            # The best over all shards of the task: each shard begins with the
+            # distance that those before it have reached.
+            best_id, best = np.full((len(query_ids), k), -1, np.int64), np.full((len(query_ids), k), np.inf)
             for batch in batches:
                 for row in batch.to_pylist():
                     own = np.frombuffer(row["ids"], np.int64)
                     x = np.frombuffer(row["data"], np.float64).reshape(len(own), -1)
                     tree = {"order": np.frombuffer(row["tree_order"], np.int64),
                             "nodes": np.frombuffer(row["tree_nodes"], np.float64).reshape(-1, 5)}
-                    got, _ = search_tree(x, own, tree, q, query_ids, k, factor)
-                    hit = got >= 0
-                    yield pa.record_batch([pa.array(np.repeat(query_ids, hit.sum(axis=1))), pa.array(got[hit])],
-                                          names=["query_id", "vec_id"])
-
-        spark.conf.set(key, "16")  # a row is a whole shard
-        part = stored(index.filter(F.col("dim") == dim).mapInArrow(search, "query_id long, vec_id long"),
-                      "shard-neighbours")
-        spark.conf.set(key, rows)
+                    best_id, best = search_tree(x, own, tree, q, query_ids, k, factor, best_id, best)
+            hit = best_id >= 0
+            yield pa.record_batch([pa.array(np.repeat(query_ids, hit.sum(axis=1))), pa.array(best_id[hit]),
+                                   pa.array(best[hit])], names=["query_id", "vec_id", "d"])
+
+        # A row is a whole shard.
+        met = index.filter(F.col("dim") == dim).mapInArrow(search, "query_id long, vec_id long, d double")
+        part = stored(met.select("query_id", "vec_id"), "shard-neighbours", SHARDS_A_BATCH)
         block.destroy()  # one block of queries is on the executors at a time
         found = part if found is None else found.union(part)
     if found is None:

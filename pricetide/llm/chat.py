@@ -58,10 +58,11 @@ def escape_role(role: Column) -> Column:
 
 
 def unescape_role(role: Column) -> Column:
-    # \x00 never occurs in an escaped role's place: it stands for one backslash.
-    role = F.replace(unescape(role), F.lit("\\\\"), F.lit("\x00"))
-    role = F.replace(F.replace(role, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
-    return F.replace(role, F.lit("\x00"), F.lit("\\"))
+    # Escapes are read from the left: what stands between pairs of backslashes
+    # holds line marks only, and each pair is one backslash.
+    between = F.transform(F.split(unescape(role), r"\\\\"), lambda x: F.replace(
+        F.replace(x, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.array_join(between, "\\")
 
 
 def tokens(text: Column) -> Column:
@@ -97,7 +98,9 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
     # The last turns before this one, up to ``history`` tokens; each has at
     # least TURN_TOKENS, so the frame has at most history / TURN_TOKENS turns.
     back = Window.partitionBy("conv_id").orderBy("i").rowsBetween(-(history // TURN_TOKENS) - 1, -1)
-    sums = sums.withColumn("past", F.collect_list(F.when(~F.col("leads"), F.col("turn"))).over(back))
+    # A turn longer than ``history`` is never repeated, so its body stays out.
+    sums = sums.withColumn("past", F.collect_list(
+        F.when(~F.col("leads") & (F.col("own") <= history), F.col("turn"))).over(back))
     sums = sums.withColumn("last", F.max("i").over(Window.partitionBy("conv_id")))
     sums = sums.filter(~F.col("leads") | (F.col("last") == 1))  # a system turn alone is a window
     grouped = sums.groupBy("conv_id", "window").agg(

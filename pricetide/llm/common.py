@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricetide.session import materialize
 
-# Rows of whole texts in one Arrow batch: a batch of long documents must fit
-# in a Python worker beside its neighbours.
+# Rows of whole texts that a task works on at once: what is derived from long
+# documents must fit in a Python worker beside its neighbours.
 TEXT_BATCH_ROWS = 512
 
 
@@ -18,11 +20,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def small_text_batches(spark: SparkSession) -> None:
-    """Arrow batches of texts hold at most ``TEXT_BATCH_ROWS`` rows."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000")) > TEXT_BATCH_ROWS:
-        spark.conf.set(key, str(TEXT_BATCH_ROWS))
+def slices(batches: Iterable[pa.RecordBatch], rows: int = TEXT_BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches``, ``rows`` at most at a time: what a task derives from
+    whole texts at once stays bounded, whatever the session's batch size."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
 
 
 @contextmanager
@@ -48,6 +51,11 @@ def stored(df: DataFrame, purpose: str, batch_rows: int | None = None) -> DataFr
         return materialize(df, df.sparkSession, purpose)
 
 
+def text_key(text: Column, names: tuple[str, str]) -> list[Column]:
+    """Two columns that tell texts apart: 128 bits of XXH64 under two seeds."""
+    return [F.xxhash64(text).alias(names[0]), F.xxhash64(F.lit(1), text).alias(names[1])]
+
+
 def ascii_lower(text: Column) -> Column:
     """``text`` with A-Z (and nothing else) in lower case."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
@@ -34,10 +35,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricetide.llm.common import small_text_batches, stored
+from pricetide.llm.common import slices, stored
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
+SCAN_ROWS = 64  # texts whose words a task holds at once
 # Every byte that is no part of a word becomes a space, A-Z becomes a-z.
 WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -54,7 +56,7 @@ def term_frequencies(docs: DataFrame, terms: dict[bytes, int]) -> np.ndarray:
     def count(batches):
         vocabulary = known.value
         total = np.zeros(len(vocabulary) + 1, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).cast(pa.binary()):
                 found = words(text.as_py())
                 total += np.bincount(np.fromiter(map(vocabulary.get, found, repeat(len(vocabulary))),
@@ -69,16 +71,21 @@ def term_frequencies(docs: DataFrame, terms: dict[bytes, int]) -> np.ndarray:
     return out
 
 
-def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[list[tuple]]:
-    """The items (id as text, words) of each block, one bounded block at a time."""
+def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[int, Iterator[list[tuple]]]:
+    """The number of blocks, and the items (id as text, words) of each, one
+    bounded block at a time."""
     items = benchmark.filter("item_id is not null and text is not null").select(
         F.col("item_id").cast("string").alias("item_id"), "text").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
-    for b in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
-        yield [(r.item_id, w) for r in part.orderBy("item_id", "text").toLocalIterator()
-               if (w := words(r.text.encode()))]
+
+    def each():
+        for b in range(blocks):
+            part = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
+            yield [(r.item_id, w) for r in part.orderBy("item_id", "text").toLocalIterator()
+                   if (w := words(r.text.encode()))]
+
+    return blocks, each()
 
 
 def window_anchors(items: list[tuple], terms: dict[bytes, int], frequency: np.ndarray, window: int) -> list[tuple]:
@@ -95,6 +102,13 @@ def window_anchors(items: list[tuple], terms: dict[bytes, int], frequency: np.nd
     return sorted(out)
 
 
+def numbered(docs: DataFrame, blocks: int) -> DataFrame:
+    """(rid, doc_id, text). One block of items reads the documents once; where
+    there are more, numbers are written first, so all blocks see the same."""
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
+    return rows if blocks == 1 else stored(rows, "numbered")
+
+
 def positional_index(docs: DataFrame, terms: dict[bytes, int], anchors: list[tuple], slop: int = 0) -> DataFrame:
     """(rid, doc_id, n_words, postings): the lists of the documents that hold
     an anchor pair at its offset, give or take ``slop`` words."""
@@ -115,7 +129,7 @@ def positional_index(docs: DataFrame, terms: dict[bytes, int], anchors: list[tup
 
     def scan(batches):
         vocabulary, start, many, offsets, others = known.value
-        for batch in batches:
+        for batch in slices(batches, SCAN_ROWS):
             found, sizes = [], []
             for text in batch.column(2).cast(pa.binary()):
                 w = words(text.as_py())
@@ -143,7 +157,7 @@ def positional_index(docs: DataFrame, terms: dict[bytes, int], anchors: list[tup
                 [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(postings, lists)],
                 names=["rid", "doc_id", "n_words", "postings"])
 
-    kept = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
+    kept = docs.select("rid", "doc_id", "text")
     kind = kept.schema["doc_id"].dataType.simpleString()
     return kept.mapInArrow(scan, f"rid long, doc_id {kind}, n_words long, "
                                  "postings array<struct<term:int,positions:array<int>>>")
@@ -188,9 +202,10 @@ def exact_runs(index: DataFrame, items: list[tuple], terms: dict[bytes, int], an
 
 def exact_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """(documents: rid, doc_id, n_words), (spans: rid, item_id, first, last)."""
-    small_text_batches(docs.sparkSession)
     rows, spans = None, None
-    for items in benchmark_blocks(benchmark):
+    blocks, each = benchmark_blocks(benchmark)
+    docs = numbered(docs, blocks)
+    for items in each:
         terms = {w: i for i, w in enumerate(sorted({w for _, ws in items for w in ws}))}
         anchors = window_anchors(items, terms, term_frequencies(docs, terms), window) if terms else []
         index = stored(positional_index(docs, terms, anchors), "postings")
@@ -204,9 +219,10 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int, window:
     """(doc_id, item_id, first, at): windows (by their first word in the item)
     all of whose words occur within ``slop`` words of their place, counted from
     ``at``, the text position of the window's rarest word."""
-    small_text_batches(docs.sparkSession)
     spark, out = docs.sparkSession, None
-    for items in benchmark_blocks(benchmark):
+    blocks, each = benchmark_blocks(benchmark)
+    docs = numbered(docs, blocks)
+    for items in each:
         terms = {w: i for i, w in enumerate(sorted({w for _, ws in items for w in ws}))}
         frequency = term_frequencies(docs, terms)
         index = stored(positional_index(docs, terms, window_anchors(items, terms, frequency, window), slop),
@@ -222,12 +238,16 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int, window:
                 others += [(i, start, ids[p], p - q) for p in range(start, start + size) if p != q]
         seeds = at.join(_small(spark, rare, "item int, item_id string, first int, term int, wanted int"),
                         "term").select("rid", "item", "item_id", "first", "at", "wanted")
-        near = (seeds.join(_small(spark, others, "item int, first int, term int, off int"), ["item", "first"], "left")
-                     .join(at.withColumnRenamed("at", "there"), ["rid", "term"], "left"))
-        close = F.abs(F.col("there") - F.col("at") - F.col("off")) <= slop
-        met = (near.groupBy("rid", "item", "item_id", "first", "at", "wanted")
-                   .agg(F.count_distinct(F.when(close, F.col("off"))).alias("met")).filter("met = wanted")
-                   .join(index.select("rid", "doc_id"), "rid").select("doc_id", "item_id", "first", "at"))
+        # Every place at which a word may stand is looked up by itself, so a
+        # word that fills a text costs no more than any other.
+        places = F.explode(F.sequence(F.col("at") + F.col("off") - slop, F.col("at") + F.col("off") + slop))
+        near = (seeds.join(_small(spark, others, "item int, first int, term int, off int"), ["item", "first"])
+                     .withColumn("there", places)
+                     .join(at.withColumnRenamed("at", "there"), ["rid", "term", "there"]))
+        met = (near.groupBy("rid", "item", "first", "at").agg(F.count_distinct("off").alias("met")))
+        met = (seeds.join(met, ["rid", "item", "first", "at"], "left")
+                    .filter(F.coalesce("met", F.lit(0)) == F.col("wanted"))
+                    .join(index.select("rid", "doc_id"), "rid").select("doc_id", "item_id", "first", "at"))
         out = met if out is None else out.union(met)
     return out
 

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricetide.llm.common import id_bucket, small_text_batches
+from pricetide.llm.common import id_bucket, slices
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SMOOTHING = 0.1       # added to every piece's count
@@ -43,7 +43,7 @@ WORD_CACHE = 200_000
 COUNT_WORDS = 200_000  # distinct words counted before they are segmented
 BASE = 0x9E3779B97F4A7C15  # of the pieces' hash
 WHOLE = 32            # longer words are scored one by one, rescaled as they go
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = re.compile(r"[^\W\d_]+")  # also runs of other numbers, which letters_of leaves out
 START = "▁"      # marks a word's first piece
 
 
@@ -57,6 +57,12 @@ def load_model(path: str) -> tuple[bytes, dict[str, int]]:
     return blob, pieces
 
 
+def letters_of(text: str | None) -> list[str]:
+    """Lower-cased runs that hold a letter: other numbers (fractions, circled
+    digits) alone are none."""
+    return [run for run in LETTERS.findall((text or "").lower()) if run.isalpha() or any(map(str.isalpha, run))]
+
+
 def piece_counts(texts: DataFrame, blob: bytes) -> DataFrame:
     """(lang, text) -> (lang, piece, n) over whole texts."""
     shared = texts.sparkSession.sparkContext.broadcast(blob)
@@ -75,9 +81,9 @@ def piece_counts(texts: DataFrame, blob: bytes) -> DataFrame:
                         total[p] += n
             words.clear()
 
-        for batch in batches:
+        for batch in slices(batches):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words[lang].update(LETTERS.findall(text.as_py().lower()))
+                words[lang].update(letters_of(text.as_py()))
             if sum(map(len, words.values())) > COUNT_WORDS:
                 segment()
         segment()
@@ -157,7 +163,6 @@ class PieceModel:
 
 def learn(texts: DataFrame, vocabulary: str = VOCABULARY):
     """(languages, pieces, probabilities, log prior) from (lang, text) rows."""
-    small_text_batches(texts.sparkSession)
     texts = texts.filter("lang is not null and text is not null").select(F.col("lang").cast("string"), "text")
     blob, pieces = load_model(vocabulary)
     docs = {r.lang: r["count"] for r in texts.groupBy("lang").count().collect()}
@@ -177,7 +182,6 @@ def learn(texts: DataFrame, vocabulary: str = VOCABULARY):
 
 def predict(docs: DataFrame, model, keep: list[str | Column]) -> DataFrame:
     """``keep`` columns of ``docs`` plus ``lang_pred`` and ``score``."""
-    small_text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.select(*keep, F.col("text").alias("__text"))
 
@@ -186,8 +190,8 @@ def predict(docs: DataFrame, model, keep: list[str | Column]) -> DataFrame:
         m = PieceModel(pieces, p, prior)
         row: dict[str, int] = {}
         scores = np.zeros((0, len(langs)))
-        for batch in batches:
-            texts = [LETTERS.findall((t.as_py() or "").lower()) if langs else [] for t in
+        for batch in slices(batches):
+            texts = [letters_of(t.as_py()) if langs else [] for t in
                      batch.column(batch.num_columns - 1)]
             if len(row) > WORD_CACHE:
                 row, scores = {}, np.zeros((0, len(langs)))

@@ -39,7 +39,6 @@ RESOLUTION = 1000      # slots of a cycle, where weights are whole shares of it
 ALPHA = 0.7            # default target weights: size ** ALPHA
 BUCKET_ROWS = 50_000   # rows of one ranking bucket, about
 MIN_BUCKETS, MAX_BUCKETS = 64, 65_536
-BROADCAST_ROWS = 1_000_000
 
 
 def whole(weights: Mapping) -> dict:
@@ -153,8 +152,6 @@ def mix(docs: DataFrame, weights: Mapping | None = None, block_docs: int = BLOCK
     span = spark.createDataFrame(spans, "__s string, __phase int, __first long, __took long, __share long, __q long, "
                                         "__slot long")
     offset = spark.createDataFrame(places, "__s2 string, __phase2 int, __k long, __place long")
-    if len(places) <= BROADCAST_ROWS:
-        span, offset = F.broadcast(span), F.broadcast(offset)
     step = F.col("mix_block") - F.col("__first")
     slotted = (ranked.join(span, F.col("source").cast("string").eqNullSafe(F.col("__s")) & (step >= 0)
                            & (step < F.col("__took")))

@@ -56,36 +56,47 @@ KEY_FORMAT = (r"^(A(KIA|SIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{30,}|sk[-_][A-Za-
               r"|eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}.*)$")
 EXAMPLE = r"(?i)(example|sample|dummy|test|placeholder|fake)"
 RUN = r"[A-Za-z0-9+/_.=@~-]"
+# A name is tried once, from where its run of name characters begins.
+NAME_CHAR = r"[A-Za-z0-9_.-]"
+NAME = rf"(?<!{NAME_CHAR})[0-9_.-]*+([A-Za-z]{NAME_CHAR}*+)"
+NEXT = rf"[&;,?][\"']?[A-Za-z]{NAME_CHAR}*+[\"']?[:=]"
 # A name, its separator and, looked ahead so that values may nest, its value.
-NAMED = (r"([A-Za-z][A-Za-z0-9_.-]{0,40})[\"']?[:=]+>?"
-         r"(?=\"([^\"]+)|'([^']+)|((?:(?![&;,?][\"']?[A-Za-z][A-Za-z0-9_.-]{0,40}[\"']?[:=])[^\"'])"
-         r"(?:(?![&;,?][\"']?[A-Za-z][A-Za-z0-9_.-]{0,40}[\"']?[:=]).)*))")
+NAMED = (rf"{NAME}[\"']?[:=]+>?"
+         rf"(?=\"([^\"]+)|'([^']+)|((?:(?!{NEXT})[^\"'])(?:(?!{NEXT}).)*))")
 KEY_INSIDE = (r"(?<![A-Za-z0-9])(A(?:KIA|SIA)[A-Z0-9]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{30,}"
               r"|sk[-_][A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}"
               r"|eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}[A-Za-z0-9_.-]*)")
 URL_PASSWORD = rf"://[^/?#:@]*:([^/]{{{MIN_ASSIGNED},}})@"
 # Texts without a match of these hold no candidate: whatever `candidates` takes
-# is a run with a digit, follows a secret's name, or is a URL's password.
-HOLDS_RUN = rf"(?<!{RUN})(?=[A-Za-z+/_.=@~-]*[0-9]){RUN}{{{MIN_LENGTH},}}"
-HOLDS_NAMED = rf"{SECRET_NAME}[A-Za-z0-9_.-]{{0,41}}[\"']?[:=]"
+# is a run with a digit, follows a secret's name, or is a URL's password. A run
+# is looked for around its digits, a secret's name where a word of it stands.
+HOLDS_RUN = "[0-9](?:" + "|".join(
+    rf"(?<={RUN}{{{before + 1}}})(?={RUN}{{{MIN_LENGTH - 1 - before}}})" for before in range(MIN_LENGTH)) + ")"
+HOLDS_NAMED = rf"(?<!{NAME_CHAR})(?={NAME_CHAR}*+[\"']?[:=]){NAME_CHAR}*?{SECRET_NAME}"
+NAME_WORDS = ["pass", "pwd", "secret", "token", "key", "credential"]
 LONE_SEPARATOR = r"(?:^|[\x00-\x20])[:=]+>?[\x00-\x20]"
 CLASSES = {"v": "aeiou", "c": "bcdfghjklmnpqrstvwxyz", "U": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "9": "0123456789"}
 
 
 def holds_candidate() -> Column:
     """Whether ``text`` may hold a candidate: true for every text that
-    `candidates` finds one in; null for null."""
+    `candidates` finds one in; null for null. Plain searches come before the
+    patterns that need them."""
     text = F.col("text")
-    return (text.rlike(HOLDS_RUN) | text.rlike(HOLDS_NAMED) | text.rlike(URL_PASSWORD)
-            | (text.rlike(LONE_SEPARATOR) & text.rlike(SECRET_NAME)))
+    lowered = F.lower(text)
+    named = reduce(Column.__or__, [lowered.contains(w) for w in NAME_WORDS]) & (text.contains("=") | text.contains(":"))
+    return (text.rlike(HOLDS_RUN) | (text.contains("://") & text.contains("@") & text.rlike(URL_PASSWORD))
+            | (named & (text.rlike(HOLDS_NAMED) | (text.rlike(LONE_SEPARATOR) & text.rlike(SECRET_NAME)))))
 
 
-def candidates(docs: DataFrame) -> DataFrame:
+def candidates(docs: DataFrame, checked: bool = False) -> DataFrame:
     """(rid, doc_id, path, at, value, name, before, after, assigned) of every
-    candidate; ``docs`` has doc_id, path and text."""
+    candidate; ``docs`` has doc_id, path and text. ``checked``: `holds_candidate`
+    is known to be true of every text."""
+    if not checked:
+        docs = docs.filter(holds_candidate())
     texts = (docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id",
                          F.coalesce(F.col("path").cast("string"), F.lit("")).alias("path"), "text")
-                 .filter(holds_candidate())
                  .withColumn("w", F.split("text", r"[\x00-\x20]+")))
     hit = F.expr(f"""
         filter(transform(w, (x, i) -> named_struct('at', i, 'word', x,
@@ -94,7 +105,7 @@ def candidates(docs: DataFrame) -> DataFrame:
                s -> length(s.word) >= {MIN_ASSIGNED})""")
     found = texts.select("rid", "doc_id", "path", F.inline(hit))
     found = (found.withColumn("bare", F.regexp_replace("word", r"^[^A-Za-z0-9]+|[^A-Za-z0-9+/=]+$", ""))
-                  .withColumn("told", F.col("before").rlike(SECRET_NAME + r"[A-Za-z0-9_.-]{0,41}[\"']?[:=]+>?$")
+                  .withColumn("told", F.col("before").rlike(rf"(?<!{NAME_CHAR})(?={NAME_CHAR}*+[\"']?[:=]+>?$){NAME_CHAR}*?{SECRET_NAME}")
                               | (F.col("before").rlike(r"^([:=]+|:=|=>)$") & F.col("two").rlike(SECRET_NAME))))
 
     def every(pattern: str, group: int) -> Column:
@@ -107,10 +118,10 @@ def candidates(docs: DataFrame) -> DataFrame:
     none = F.lit("")
     named = F.transform(F.arrays_zip(*(every(NAMED, g).alias(f"g{g}") for g in range(1, 5))),
                         lambda x: part(F.concat(x["g2"], x["g3"], x["g4"]), x["g1"], False))
-    whole = F.when(F.col("bare").rlike(r"^[A-Za-z][A-Za-z0-9_.-]{0,40}[\"']?[:=]+>?[^:=]"), F.array().cast(
+    whole = F.when(F.col("bare").rlike(rf"^[A-Za-z]{NAME_CHAR}*+[\"']?[:=]+>?[^:=]"), F.array().cast(
         "array<struct<value:string,name:string,sure:boolean>>")).otherwise(F.array(part(F.col("bare"), none, False)))
     runs = F.filter(F.transform(every(rf"{RUN}{{{MIN_LENGTH},}}", 0), lambda x: part(x, none, False)),
-                    lambda x: ~x["value"].rlike("^[A-Za-z][A-Za-z0-9_.-]{0,40}=+[^=]"))
+                    lambda x: ~x["value"].rlike(rf"^[A-Za-z]{NAME_CHAR}*+=+[^=]"))
     keys = F.transform(every(KEY_INSIDE, 1), lambda x: part(x, none, False))
     passwords = F.transform(every(URL_PASSWORD, 1), lambda x: part(x, none, True))
     parts = found.withColumn("part", F.explode(F.concat(whole, named, runs, keys, passwords))).select(
@@ -191,14 +202,15 @@ def bounded(labelled: DataFrame, most: int) -> DataFrame:
     return reduce(DataFrame.union, each)
 
 
-def scan_secrets(docs: DataFrame, labels: DataFrame | None = None, dictionary_path: str = DICTIONARY) -> DataFrame:
+def scan_secrets(docs: DataFrame, labels: DataFrame | None = None, dictionary_path: str = DICTIONARY,
+                 checked: bool = False) -> DataFrame:
     """(rid, doc_id, path, at, value, rule, score, is_secret) per candidate:
     ``at`` is the word's number (a word may hold several values), ``score`` the forest's probability.
 
     ``docs`` has doc_id, path and text; ``labels`` (value, label 0/1), where
     given, are the labelled findings to train on.
     """
-    found = stored(candidates(docs), "secret-candidates")
+    found = stored(candidates(docs, checked), "secret-candidates")
     featured, names = with_features(found, dictionary(docs.sparkSession, dictionary_path))
     rule = (F.when(F.col("value").rlike(KEY_FORMAT), "key format").when(F.col("assigned"), "assigned")
              .otherwise("long mixed word"))
@@ -224,20 +236,25 @@ def scan_secrets(docs: DataFrame, labels: DataFrame | None = None, dictionary_pa
 
 def mask_secrets(docs: DataFrame, dictionary_path: str = DICTIONARY) -> DataFrame:
     """``docs`` with every found secret masked in its text, ``n_chars``, where
-    there is such a column, counted anew. No document is dropped; only texts
-    that hold a candidate are joined with the findings."""
-    secrets = (scan_secrets(docs.withColumn("path", F.col("source")), dictionary_path=dictionary_path)
+    there is such a column, counted anew. No document is dropped. Every row goes
+    by its own text, whatever its doc_id: a value that is found in a text is
+    masked in the rows of that very text and in no other. Texts are searched
+    for candidates once; only those that may hold one are joined with the
+    findings."""
+    held = stored(docs.withColumn("__holds", F.coalesce(holds_candidate(), F.lit(False))), "held")
+    some = held.filter("__holds").withColumn("__text", F.sha2("text", 256))
+    texts = some.select(F.col("__text").alias("doc_id"), F.col("source").alias("path"), "text")
+    secrets = (scan_secrets(texts, dictionary_path=dictionary_path, checked=True)
                .filter("is_secret = 1").groupBy(F.col("doc_id").alias("__of"))
                .agg(F.array_sort(F.collect_set("value"), lambda a, b: F.length(b) - F.length(a)).alias("__secrets")))
-    holds = F.coalesce(holds_candidate(), F.lit(False))
     masked = F.aggregate("__secrets", F.col("text"), lambda text, s: F.replace(text, s, F.lit(MASK)))
-    some = docs.filter(holds).join(secrets, F.col("doc_id").eqNullSafe(F.col("__of")), "left")
+    some = some.join(secrets, F.col("__text") == F.col("__of"), "left")
     some = some.withColumn("text", F.when(F.col("__secrets").isNull(), F.col("text")).otherwise(masked))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         some = some.withColumn("n_chars", F.when(F.col("__secrets").isNull(), F.col("n_chars"))
                                .otherwise(F.length("text").cast(kind)))
-    return docs.filter(~holds).unionByName(some.select(docs.columns))
+    return held.filter("not __holds").select(docs.columns).unionByName(some.select(docs.columns))
 
 
 def q_secrets(spark, sf_dir):

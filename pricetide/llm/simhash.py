@@ -34,10 +34,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricetide.llm.common import TEXT_BATCH_ROWS, stored
+from pricetide.llm.common import slices, stored, text_key
 from pricetide.llm.components import connected_components
 
 SHINGLE = 4
@@ -46,7 +46,6 @@ PLAN_SAMPLE = 2048
 CHUNK = 32_768        # index entries of one key that one task compares
 SMALL_PAIRS = 4_096   # groups up to this many pairs are compared all at once
 SPAN = 65_536         # shingles hashed at once
-KEY_BATCH_ROWS = 10_000
 
 
 def fingerprint(data: bytes, shingle: int) -> int:
@@ -66,19 +65,18 @@ def fingerprint(data: bytes, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, text_hash, fp) of every row of ``docs`` (doc_id, text)."""
+    """(doc_id, text_hash, text_hash2, fp) of every row of ``docs`` (doc_id, text)."""
 
     def scan(batches):
-        for batch in batches:
-            texts = batch.column(2).cast(pa.binary())
+        for batch in slices(batches):
+            texts = batch.column(3).cast(pa.binary())
             fps = [fingerprint(t.as_py() or b"", shingle) for t in texts]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fps, pa.int64())],
-                                             names=["doc_id", "text_hash", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(fps, pa.int64())],
+                                             names=["doc_id", "text_hash", "text_hash2", "fp"])
 
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))
-    kept = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    kept = docs.select("doc_id", *text_key(F.col("text"), ("text_hash", "text_hash2")), "text")
     kind = kept.schema["doc_id"].dataType.simpleString()
-    return kept.mapInArrow(scan, f"doc_id {kind}, text_hash long, fp long")
+    return kept.mapInArrow(scan, f"doc_id {kind}, text_hash long, text_hash2 long, fp long")
 
 
 # -- partitions and thresholds -----------------------------------------------
@@ -274,7 +272,6 @@ def _link_stream(max_bits: int):
 def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """``fps``: one row per distinct ``fp``. Links (a, b) of fingerprints that
     differ in at most ``max_bits`` bits, enough to connect all that do."""
-    spark = fps.sparkSession
     n = fps.count()
     sample = np.array([r.fp for r in fps.orderBy(F.xxhash64("fp")).limit(PLAN_SAMPLE).collect()], np.int64)
     plan = plan_partitions(sample, n, max_bits)
@@ -290,15 +287,15 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     index = entries[0]
     for more in entries[1:]:
         index = index.union(more)
-    # Keys with more index entries than one task compares: at most
-    # (entries / CHUNK) rows, so the join side stays small by construction.
+    # Keys with more index entries than one task compares: a row for every
+    # CHUNK entries at most. How it is joined is left to its measured size.
     hot = (index.groupBy("part", "key").count().filter(F.col("count") > CHUNK)
                 .select("part", "key", F.ceil(F.col("count") / CHUNK).cast("int").alias("tasks")))
-    hot_rows = hot.collect()
+    hot = stored(hot, "hot-keys")
+    hot_rows = hot.limit(1).collect()
     rows = index.select("part", "key", F.lit(0).alias("salt"), F.lit(0).alias("role"), "fp")
     others = [p.select("part", "key", F.lit(0).alias("salt"), F.lit(1).alias("role"), "fp") for p in probes]
     if hot_rows:
-        hot = F.broadcast(spark.createDataFrame(hot_rows, hot.schema))
         own = F.pmod(F.xxhash64("fp"), F.col("tasks")).cast("int")
         dealt = index.join(hot, ["part", "key"], "left")
         rows = dealt.select("part", "key", F.coalesce(own, F.lit(0)).alias("salt"), F.lit(0).alias("role"), "fp")
@@ -310,13 +307,12 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                       .select("part", "key", "salt", F.lit(1).alias("role"), "fp"))
     for more in others:
         rows = rows.union(more)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(KEY_BATCH_ROWS))
     return (rows.repartition("part", "key", "salt").sortWithinPartitions("part", "key", "salt", "role", "fp")
                 .mapInArrow(_link_stream(max_bits), "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """(fp, doc_id, text_hash, group, component_id) for every row of ``docs``:
+    """(fp, doc_id, text_hash, text_hash2, group, component_id) for every row of ``docs``:
     ``group`` names the component by a fingerprint, ``component_id`` by the
     smallest doc_id reachable over links of at most ``max_bits`` bits."""
     each = stored(fingerprints(docs, shingle), "fingerprints")
@@ -330,22 +326,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: the one with
-    the smallest doc_id. Rows that share that id count as one document, of
-    which the row with the smallest text hash stays; rows without an id stay
-    only where their group has no id at all."""
+    """``docs`` with one row of each near-duplicate group: that of the smallest
+    doc_id, of several such texts the one with the smallest hash. Every row
+    belongs to the group of its own text, whatever its doc_id: rows that share an
+    id but not a group are kept or dropped independently. A row without an id
+    stays only where no row of its group has one. Of rows alike in doc_id and
+    text any one stays."""
     found = near_duplicates(docs, shingle, max_bits)
-    stay = found.filter("doc_id = component_id").select(F.col("doc_id").alias("__stay")).distinct()
-    kept = docs.join(stay, F.col("doc_id") == F.col("__stay"), "left_semi")
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    kept = kept.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
-    unnamed = found.filter("component_id is null").groupBy("group").agg(F.min("text_hash").alias("__hash"))
-    one = Window.partitionBy("__text").orderBy("text")
-    nameless = (docs.filter("doc_id is null").withColumn("__text", F.xxhash64("text"))
-                    .join(unnamed.select("__hash"), F.col("__text") == F.col("__hash"), "left_semi")
-                    .withColumn("__rank", F.row_number().over(one)).filter("__rank = 1").drop("__rank", "__text"))
-    kept = kept.unionByName(nameless)
-    return kept
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "text_hash2")
+    stay = found.groupBy("group").agg(F.min(row).alias("s")).select(
+        F.col("s.doc_id").alias("__id"), F.col("s.text_hash").alias("__h1"), F.col("s.text_hash2").alias("__h2"))
+    keyed = docs.select("*", *text_key(F.col("text"), ("__t1", "__t2")))
+    kept = keyed.join(stay, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__t1") == F.col("__h1"))
+                      & (F.col("__t2") == F.col("__h2")), "left_semi")
+    # First of each in every task, before rows are shuffled: copies of a row
+    # meet as one row a task.
+    return kept.dropDuplicates(["doc_id", "__t1", "__t2"]).drop("__t1", "__t2")
 
 
 def q_simhash(spark, sf_dir):

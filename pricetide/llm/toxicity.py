@@ -4,8 +4,9 @@
    along a chain of priors: all tokens -> words with its first 3 letters ->
    first 4 -> first 6 -> the word itself. Counts are documents (a word counts
    once per document), one entry for every word and prefix under a 64-bit key, so
-   no two share a count; the model that is broadcast takes 16 bytes an entry and
-   grows with the vocabulary. A token's score is its log-odds against the background less ``DRIFT``, so that clean
+   no two share a count. At most ``TRAIN_DOCS`` labelled documents are counted, by
+   hash order, so the broadcast model (16 bytes an entry) holds the words of
+   that many texts and doesn't grow with the corpus. A token's score is its log-odds against the background less ``DRIFT``, so that clean
    text scores negative on average.
 2. *Maximum-scoring segments.* One linear scan finds all maximal segments of a
    whole text (each disjoint, none extendable); runs of negative tokens are
@@ -15,12 +16,14 @@
    Nothing outside a segment bears on it.
 3. *Extreme-value calibration.* The largest segment of a clean text of n tokens
    follows P(S <= x) = exp(-K n e^(-lambda x)); K and lambda are fitted on clean
-   labelled documents. A segment is significant by lambda S - ln(K n) > 0; the
-   sum over a document's segments is its evidence, turned into a probability
-   by a logistic curve fitted on labelled documents that no count has seen.
+   labelled documents, from their segments above ``FIT_ABOVE``, where the law
+   holds. A segment of any score is significant by lambda S > max(0, ln(K n));
+   what it exceeds that by, summed over a document's segments, is its
+   evidence, turned into a probability by a logistic curve fitted on labelled
+   documents that no count has seen.
 
 Labelled rows are split by a hash of the text's id: three quarters train the
-counts, one quarter fits the calibration. Texts, not labels or ids, are scored.
+counts, one quarter (``CALIBRATE_DOCS`` at most) fits the calibration. Texts, not labels or ids, are scored.
 
 Defined results: null or empty texts have no token and no evidence; a null
 label or a label without a document teaches nothing; a document with several
@@ -41,12 +44,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricetide.llm.common import id_bucket, small_text_batches, stored
+from pricetide.llm.common import id_bucket, slices, stored
 
 PREFIXES = (3, 4, 6)
 PRIOR = 6.0          # pseudo-documents that each prior is worth
 DRIFT = 0.7          # subtracted from every token's log-odds
-MIN_SEGMENT = 1.0    # segments below carry no evidence and are not kept
+FIT_ABOVE = 1.0      # the tail law is fitted on segments above
+TRAIN_DOCS = 16_384  # labelled documents that the counts are fitted on, at most
+CALIBRATE_DOCS = 8_192  # and the calibration
 WORD_CACHE = 400_000  # words whose counts or score a task remembers at once
 THRESHOLD = 0.7
 WORD = re.compile(r"\w+")
@@ -88,7 +93,7 @@ def token_counts(labelled: DataFrame) -> DataFrame:
                                        pa.array([entries[k][0] for k in part], pa.int64())],
                                       names=["entry", "toxic_docs", "clean_docs"])
 
-        for batch in batches:
+        for batch in slices(batches):
             for text, toxic in zip(batch.column(0), batch.column(1)):
                 sides[1 if toxic.as_py() else 0].update(set(WORD.findall((text.as_py() or "").lower())))
             if len(sides[0]) + len(sides[1]) > WORD_CACHE // 2:
@@ -179,17 +184,18 @@ def damped(words: list[str], scores: np.ndarray, segment: tuple[int, int, float]
     return score * once / full
 
 
-def segments(docs: DataFrame, odds: TokenOdds, keep: list[Column | str]) -> DataFrame:
+def segments(docs: DataFrame, odds: TokenOdds, keep: list[Column | str],
+             law: tuple[float, float] | None = None) -> DataFrame:
     """``keep`` columns, ``n_tokens`` and ``segments`` (start and end token,
-    score) of each row's whole ``text``."""
-    small_text_batches(docs.sparkSession)
+    score) of each row's whole ``text``: all of them, or under a ``law`` (lambda,
+    ln K) every significant one."""
     model = docs.sparkSession.sparkContext.broadcast((odds.keys, odds.toxic, odds.clean, odds.words))
     kept = docs.select(*keep, F.col("text").alias("__text"))
 
     def scan(batches):
         m = TokenOdds(*model.value)
         known: dict[str, float] = {}
-        for batch in batches:
+        for batch in slices(batches):
             counts, spans = [], []
             for text in batch.column(batch.num_columns - 1):
                 words = WORD.findall((text.as_py() or "").lower())
@@ -199,9 +205,10 @@ def segments(docs: DataFrame, odds: TokenOdds, keep: list[Column | str]) -> Data
                 known.update(zip(new, m.scores(new).tolist()))
                 scores = np.fromiter(map(known.__getitem__, words), np.float64, len(words))
                 counts.append(len(words))
-                found = [(a, b, damped(words, scores, (a, b, s)))
-                         for a, b, s in maximal_segments(scores) if s >= MIN_SEGMENT]
-                spans.append([{"start": a, "end": b, "score": s} for a, b, s in found if s >= MIN_SEGMENT])
+                least = 0.0 if law is None else max(0.0, law[1] + math.log(max(1, len(words)))) / law[0]
+                # Damping lowers a score, so what is below before it is below after it.
+                found = [(a, b, damped(words, scores, (a, b, s))) for a, b, s in maximal_segments(scores) if s > least]
+                spans.append([{"start": a, "end": b, "score": s} for a, b, s in found if s > least])
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(counts, pa.int64()), pa.array(spans, kind)],
@@ -213,32 +220,29 @@ def segments(docs: DataFrame, odds: TokenOdds, keep: list[Column | str]) -> Data
 
 def fit_extremes(clean: DataFrame) -> tuple[float, float]:
     """(lambda, ln K) from clean documents: segments above x come at a rate of
-    K n e^(-lambda x), so the excesses over ``MIN_SEGMENT`` are exponential."""
-    each = F.transform("segments", lambda s: s["score"] - MIN_SEGMENT)
-    found = clean.agg(F.sum("n_tokens").alias("tokens"), F.sum(F.size("segments")).alias("found"),
+    K n e^(-lambda x), so the excesses over ``FIT_ABOVE`` are exponential."""
+    tail = F.filter("segments", lambda s: s["score"] >= FIT_ABOVE)
+    each = F.transform(tail, lambda s: s["score"] - FIT_ABOVE)
+    found = clean.agg(F.sum("n_tokens").alias("tokens"), F.sum(F.size(tail)).alias("found"),
                       F.sum(F.aggregate(each, F.lit(0.0), lambda acc, x: acc + x)).alias("excess")).first()
     if not found.tokens:
         return 1.0, 0.0
     lam = min(max((found.found + 1) / ((found.excess or 0.0) + 1.0), 0.05), 5.0)
-    return lam, math.log((found.found + 1) / found.tokens) + lam * MIN_SEGMENT
+    return lam, math.log((found.found + 1) / found.tokens) + lam * FIT_ABOVE
 
 
 def _level(log_k: float) -> Column:
-    """ln(K n) of a text of n tokens."""
-    return F.log(F.greatest("n_tokens", F.lit(1))) + F.lit(log_k)
+    """ln(K n) of a text of n tokens, at least 0: in a text shorter than 1 / K
+    no segment is expected, which alone is evidence of nothing."""
+    return F.greatest(F.log(F.greatest("n_tokens", F.lit(1))) + F.lit(log_k), F.lit(0.0))
 
 
 def evidence(lam: float, log_k: float) -> Column:
-    """Sum of lambda S - ln(K n) over the significant segments."""
+    """What the significant segments exceed the level by, summed."""
     return F.aggregate("segments", F.lit(0.0),
                        lambda acc, s: acc + F.greatest(F.lit(0.0), s["score"] * lam - _level(log_k)))
 
 
-def significant(lam: float, log_k: float) -> Column:
-    """The segments that a clean text of that length is unlikely to hold."""
-    return F.filter("segments", lambda s: s["score"] * lam > _level(log_k))
-
-
 def fit_logistic(labelled: DataFrame) -> tuple[float, float]:
     """(slope, offset) of P(toxic) on ln(1 + evidence), by Newton steps with
     halving on a histogram of a few hundred values."""
@@ -267,42 +271,49 @@ def fit_logistic(labelled: DataFrame) -> tuple[float, float]:
     return float(max(w[0], 0.05)), float(w[1])
 
 
-def _counted(docs: DataFrame, labels: DataFrame, learn: Column | None) -> tuple[TokenOdds, DataFrame, Column]:
-    """The counted model, (doc_id, toxic) of the calibrating documents, and the
-    condition on doc_id that they meet."""
-    small_text_batches(docs.sparkSession)
-    learn = F.lit(True) if learn is None else learn
-    marks = (labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).filter(learn)
+class Judge:
+    """The fitted model: token odds, tail law and logistic curve."""
+
+    def __init__(self, odds: TokenOdds, law: tuple[float, float], curve: tuple[float, float]):
+        self.odds, self.law, self.curve = odds, law, curve
+
+    def scored(self, docs: DataFrame, keep: list[Column | str]) -> DataFrame:
+        """``keep`` columns, n_tokens, passages (the significant segments),
+        evidence and score of every row of ``docs``."""
+        out = segments(docs, self.odds, keep, self.law).withColumn("evidence", evidence(*self.law))
+        slope, offset = self.curve
+        score = 1 / (1 + F.exp(-(F.log1p("evidence") * slope + offset))) if self.odds.trained else F.lit(0.0)
+        return out.withColumnRenamed("segments", "passages").withColumn("score", score)
+
+
+def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> Judge:
+    """The model from the labelled rows of ``docs`` whose doc_id meets ``learn``.
+    The labelled ids that are used are at most ``TRAIN_DOCS`` and ``CALIBRATE_DOCS``,
+    so they are broadcast and no text is shuffled."""
+    marks = (labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
+                   .filter(F.lit(True) if learn is None else learn)
                    .groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic")))
     calibrates = (F.xxhash64("doc_id") % 4) == 0
-    training = (docs.select("doc_id", "text").filter(learn & ~calibrates)
-                    .join(marks.hint("merge"), "doc_id").select("text", "toxic"))
-    odds = TokenOdds.counted(stored(token_counts(training), "token-counts"))
-    return odds, marks.filter(calibrates), learn & calibrates
 
+    def texts(which: Column, most: int) -> DataFrame:
+        some = marks.filter(which).orderBy(F.xxhash64("doc_id", F.lit(0)), "doc_id").limit(most)
+        return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "toxic")
 
-def _judged(table: DataFrame, held: DataFrame, odds: TokenOdds) -> DataFrame:
-    """``table`` (with n_tokens and segments) plus passages, evidence and score,
-    calibrated on ``held`` (the same with toxic)."""
-    lam, log_k = fit_extremes(held.filter("toxic = 0"))
-    table = table.withColumn("passages", significant(lam, log_k)).withColumn("evidence", evidence(lam, log_k))
-    if not odds.trained:
-        return table.withColumn("score", F.lit(0.0))
-    slope, offset = fit_logistic(held.withColumn("evidence", evidence(lam, log_k)))
-    return table.withColumn("score", 1 / (1 + F.exp(-(F.log1p("evidence") * slope + offset))))
+    odds = TokenOdds.counted(stored(token_counts(texts(~calibrates, TRAIN_DOCS)), "token-counts"))
+    held = stored(segments(texts(calibrates, CALIBRATE_DOCS), odds, ["toxic"]), "calibration")
+    law = fit_extremes(held.filter("toxic = 0"))
+    return Judge(odds, law, fit_logistic(held.withColumn("evidence", evidence(*law))))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> DataFrame:
-    """(rid, doc_id, n_tokens, segments, passages, evidence, score) for every
-    row of ``docs`` (doc_id, text): ``rid`` numbers the rows as read,
-    ``passages`` are the significant segments.
+    """(rid, doc_id, n_tokens, passages, evidence, score) for every row of
+    ``docs`` (doc_id, text): ``rid`` numbers the rows as read, ``passages`` are the
+    significant segments.
 
-    ``learn`` limits the labelled documents (a condition on doc_id) that train
-    the model; the last quarter of them, by a hash of the id, only calibrates.
+    ``learn`` limits the labelled documents (a condition on doc_id) that the
+    model is fitted on.
     """
-    odds, marks, _ = _counted(docs, labels, learn)
-    table = stored(segments(docs, odds, [F.monotonically_increasing_id().alias("rid"), "doc_id"]), "segments")
-    return _judged(table, table.join(marks, "doc_id"), odds)
+    return fit(docs, labels, learn).scored(docs, [F.monotonically_increasing_id().alias("rid"), "doc_id"])
 
 
 def toxic_passages(scored: DataFrame) -> DataFrame:
@@ -327,7 +338,5 @@ def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rows scored toxic; all columns as they were. Every
     row goes by its own text's score, whatever its doc_id: null, or one that
     other rows share."""
-    odds, marks, calibrates = _counted(docs, labels, learnable())
-    held = stored(segments(docs.filter(calibrates), odds, ["doc_id"]), "calibration").join(marks, "doc_id")
-    rows = segments(docs, odds, [F.struct(*docs.columns).alias("row")])
-    return _judged(rows, held, odds).filter(F.col("score") < THRESHOLD).select("row.*")
+    found = fit(docs, labels, learnable()).scored(docs, [F.struct(*docs.columns).alias("row")])
+    return found.filter(F.col("score") < THRESHOLD).select("row.*")

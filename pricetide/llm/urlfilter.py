@@ -29,8 +29,6 @@ from pyspark.sql import functions as F
 from pricetide.llm.common import ascii_lower, stored
 from pricetide.llm.components import connected_components
 
-BROADCAST_RULES = 100_000
-
 # The registered query's rules (host, path, verdict).
 RULES = [
     ("com", "/", "allow"),
@@ -121,8 +119,6 @@ def judge(urls: DataFrame, rules: DataFrame) -> DataFrame:
                            lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     pairs = urls.select("host", "path").distinct().filter("host != ''")
     fitted = rules.select(F.col("host").alias("rule_host"), F.col("path").alias("rule_path"), "verdict").distinct()
-    if rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES:
-        fitted = F.broadcast(fitted)  # beyond that size the join shuffles
     hits = (pairs.withColumn("rule_host", F.explode(suffixes)).join(fitted, "rule_host")
                  .filter(F.col("path").startswith(F.col("rule_path"))))
     rule = F.concat("rule_host", "rule_path")

@@ -27,6 +27,7 @@ archive and gives an empty index.
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 
@@ -35,7 +36,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricetide.llm.common import small_text_batches, stored
+from pricetide.llm.common import slices, stored
 from pricetide.session import scratch_path
 
 ARCHIVE_BYTES = 256 << 20
@@ -43,6 +44,8 @@ READ_BYTES = 8 << 20
 GAP_BYTES = 64 << 10
 MIN_REVISIT = 100
 LEVEL = 1  # gzip
+TASK_BYTES = 32 << 20  # compressed bytes that one task reads
+NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: of URLs
 DATE = "1970-01-01T00:00:00Z"  # pages carry no date of their own
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = ("page_id long, url string, record_type string, payload_digest string, refers_to long, "
@@ -62,13 +65,25 @@ def one_line(value: str) -> str:
     return value.replace("\\", "\\\\").replace("\r", "\\r").replace("\n", "\\n")
 
 
+def from_line(value: str) -> str:
+    """What `one_line` was given."""
+    return re.sub(r"\\(.)", lambda m: {"r": "\r", "n": "\n"}.get(m[1], m[1]), value)
+
+
+def record_id(page_id: int | None, digest: str) -> str:
+    """The same for a page's response wherever it is named."""
+    return f"<urn:uuid:{uuid.uuid5(NAMESPACE, f'{page_id} {digest}')}>"
+
+
 def record(page_id: int | None, url: str, kind: str, digest: str, refers_to: int | None, payload: bytes) -> bytes:
     """One WARC record as a gzip member."""
-    fields = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", DATE),
+    own = record_id(page_id, digest) if kind == "response" and page_id is not None else f"<urn:uuid:{uuid.uuid4()}>"
+    fields = [("WARC-Type", kind), ("WARC-Record-ID", own), ("WARC-Date", DATE),
               ("WARC-Target-URI", one_line(url)), ("WARC-Payload-Digest", f"sha256:{digest}"),
               ("X-Page-ID", "" if page_id is None else str(page_id)), ("Content-Type", "text/html; charset=utf-8")]
     if kind == "revisit":
-        fields += [("WARC-Profile", PROFILE), ("X-Refers-To-Page-ID", str(refers_to))]
+        fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(refers_to, digest)),
+                   ("X-Refers-To-Page-ID", str(refers_to))]
     fields.append(("Content-Length", str(len(payload))))
     head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields) + "\r\n"
     zipped = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
@@ -115,14 +130,12 @@ def record_types(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
 
 def write_archives(typed: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write the records; the stored index of all of them."""
-    small_text_batches(typed.sparkSession)
-
     def write(batches):
         store, root = open_store(folder)
         store.create_dir(root, recursive=True)
         out, name, at = None, None, 0
         try:
-            for batch in batches:
+            for batch in slices(batches):
                 rows = batch.drop_columns(["html"]).to_pydict()
                 html = batch.column(batch.schema.get_field_index("html")).cast(pa.binary())
                 archives, offsets, lengths = [], [], []
@@ -158,15 +171,19 @@ def write_archives(typed: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
 def read_records(index: DataFrame, folder: str) -> DataFrame:
     """(page_id, url, record_type, refers_to, digest, payload) of the records
     that ``index`` rows name, from the archives' own headers and blocks."""
-    small_text_batches(index.sparkSession)
     wanted = index.select("archive", "offset", "length")
-    wanted = wanted.repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
+    # The index is small beside what it names: tasks are counted by the bytes
+    # to read, at least one for each core while records last.
+    n, size = wanted.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    cores = index.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(n, max(cores, -(-size // TASK_BYTES))))
+    wanted = wanted.repartitionByRange(int(tasks), "archive", "offset").sortWithinPartitions("archive", "offset")
 
     def read(batches):
         store, root = open_store(folder)
         opened, name = None, None
         try:
-            for batch in batches:
+            for batch in slices(batches):
                 rows = list(zip(*(batch.column(i).to_pylist() for i in range(3))))
                 i = 0
                 while i < len(rows):
@@ -185,7 +202,7 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                     for _, at, n in rows[i:j]:
                         fields, block = parse(data[at - start:at - start + n])
                         page, refers = fields["X-Page-ID"], fields.get("X-Refers-To-Page-ID")
-                        for col, value in zip(cols, (int(page) if page else None, fields["WARC-Target-URI"],
+                        for col, value in zip(cols, (int(page) if page else None, from_line(fields["WARC-Target-URI"]),
                                                      fields["WARC-Type"], int(refers) if refers else None,
                                                      fields["WARC-Payload-Digest"].partition(":")[2], block)):
                             col.append(value)

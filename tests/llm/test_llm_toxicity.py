@@ -99,8 +99,65 @@ def test_a_passage_counts_the_same_after_an_earlier_one(spark):
     docs = train + [(500, calm + passage), (501, (calm + passage + " ") * 6), (502, passage * 1)]
     labels = spark.createDataFrame([(i, 1, i % 2) for i in range(200)], "doc_id long, quality int, toxic int")
     found = T.score_toxicity(spark.createDataFrame(docs, "doc_id long, text string"), labels)
-    got = {r.doc_id: r.segments for r in found.filter("doc_id >= 500").collect()}
+    got = {r.doc_id: r.passages for r in found.filter("doc_id >= 500").collect()}
     assert [len(got[i]) for i in (500, 501, 502)] == [1, 6, 1]
     assert np.allclose([s.score for s in got[501]], got[500][0].score)
     words = ["x", "y", "x"]
     assert T.damped(words, np.array([2.0, -1.0, 2.0]), (0, 3, 3.0)) == pytest.approx(3.0 * 3 / 4)
+
+
+def frame_of(spark, rows):
+    kind = "array<struct<start:int,end:int,score:double>>"
+    return spark.createDataFrame([(n, [(0, 1, float(x)) for x in scores], t) for n, scores, t in rows],
+                                 f"n_tokens long, segments {kind}, toxic int")
+
+
+def test_the_tail_law_is_found_again(spark):
+    r = np.random.default_rng(2)
+    lam, k = 1.7, 0.05
+    rows = []
+    for _ in range(400):
+        n = int(r.integers(50, 400))
+        rows.append((n, r.exponential(1 / lam, r.poisson(k * n)).tolist(), 0))
+    got = T.fit_extremes(frame_of(spark, rows))
+    assert got[0] == pytest.approx(lam, rel=0.1) and got[1] == pytest.approx(np.log(k), abs=0.25)
+    # Evidence by its definition, also of scores below the fit's threshold.
+    for n, scores, e in frame_of(spark, rows[:50]).select("n_tokens", "segments", T.evidence(*got)).collect():
+        level = max(0.0, np.log(n) + got[1])
+        assert e == pytest.approx(sum(max(0.0, got[0] * s.score - level) for s in scores))
+
+
+def test_the_logistic_curve_is_found_again(spark):
+    r = np.random.default_rng(4)
+    z = r.uniform(0, 4, 6000)
+    toxic = r.uniform(size=6000) < 1 / (1 + np.exp(-(2.5 * z - 5)))
+    frame = spark.createDataFrame([(float(np.expm1(a)), int(b)) for a, b in zip(z, toxic)], "evidence double, toxic int")
+    assert T.fit_logistic(frame) == pytest.approx((2.5, -5.0), abs=0.3)
+
+
+def test_a_significant_segment_below_the_fit_threshold_is_kept(spark):
+    words = ["calm"] * 10 + ["vile"] + ["calm"] * 10
+    keys = sorted([T._key("vile"), T._key("calm")])
+    # "vile" scores a little under 1.0
+    toxic = np.array([8.0 if k == T._key("vile") else 0.0 for k in keys], np.float32)
+    clean = np.array([0.0 if k == T._key("vile") else 80.0 for k in keys], np.float32)
+    odds = T.TokenOdds(np.array(keys), toxic, clean, (40.0, 80.0))
+    score = odds.scores(["vile"])[0]
+    assert 0.5 < score < T.FIT_ABOVE
+    docs = spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")
+    found = T.segments(docs, odds, ["doc_id"], (2.0, -2.0)).first()
+    assert np.log(21) - 2.0 < 2.0 * score
+    assert [(s.start, s.end) for s in found.segments] == [(10, 11)]
+    assert T.segments(docs, odds, ["doc_id"], (1.0, 0.0)).first().segments == []
+
+
+def test_the_fit_takes_a_bounded_number_of_texts(spark, monkeypatch):
+    monkeypatch.setattr(T, "TRAIN_DOCS", 40)
+    monkeypatch.setattr(T, "CALIBRATE_DOCS", 30)
+    docs = spark.createDataFrame([(i, "you are scum and vile " * 3 if i % 2 else "a kind and calm text of words")
+                                  for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(400)], "doc_id long, quality int, toxic int")
+    model = T.fit(docs, labels)
+    assert model.odds.words[0] + model.odds.words[1] <= 40 * 7
+    assert T.reject_toxic(docs, labels).count() == 400 - sum(
+        r.score >= T.THRESHOLD for r in T.score_toxicity(docs, labels, T.learnable()).collect())
