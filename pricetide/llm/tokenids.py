@@ -30,11 +30,13 @@ column.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +52,7 @@ from pricetide.session import scratch_path
 SHARD_IDS = 32 << 20      # ids after which a task begins a new shard
 SHARD_DOCS = 4 << 20
 ENCODE_CHARS = 1 << 20    # characters given to the tokenizer at once
+CACHE_CHARS = 8 << 20     # characters of remembered parts
 READ_IDS = 4 << 20        # ids read at once
 READ_BYTES = 256 << 20    # bytes of shards that one task reads
 END_ID = 0
@@ -62,9 +65,13 @@ FOOTER_SIZE = struct.calcsize(FOOTER)
 HEAD = "<QQQQ"  # of a sequence: values, low bits a value, bytes of high bits, samples
 MANIFEST = ("shard string, part int, seq int, n_docs long, n_ids long, first_id long, last_id long, "
             "n_without_id long, bytes long")
-# A piece always ends before a space between two of these letters, so a long
-# text may be encoded in parts cut there.
-CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+PARTS = re.compile(r"(?<=\S) (?=\S)")
+CLOSED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+LINES = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?]*)\n([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+# How a byte-level vocabulary writes bytes: printing characters as themselves,
+# the others, in order, as the characters from 256 on.
+_PRINTING = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_CHARS = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTING)}
 
 
 class EliasFano:
@@ -144,16 +151,16 @@ class EliasFano:
 class ShardWriter:
     """Streams one shard; ``close`` gives its manifest values."""
 
-    def __init__(self, store, root: str, width: int):
+    def __init__(self, store, root: str, kind: np.dtype):
         self.name = f"{uuid.uuid4().hex}.ids"
-        self.out = store.open_output_stream(f"{root}/{self.name}", compression=None)
-        self.kind = np.dtype("<u2" if width == 2 else "<u4")
+        self.out = store.open_output_stream(f"{root}/{self.name}", compression=None, buffer_size=1 << 20)
+        self.kind = kind
         self.starts, self.keys = [0], []
         self.without = 0
 
-    def add(self, key: int | None, ids: list[int]) -> None:
-        self.out.write(np.array(ids, self.kind).tobytes())
-        self.starts.append(self.starts[-1] + len(ids))
+    def add(self, key: int | None, ids: bytes) -> None:
+        self.out.write(ids)
+        self.starts.append(self.starts[-1] + len(ids) // self.kind.itemsize)
         if key is None:
             self.without += 1
         else:
@@ -207,32 +214,94 @@ class ShardReader:
         return found
 
 
-def encode(tokenizer, texts: list[str]) -> list[list[int]]:
-    """Ids of whole texts, at most about ``ENCODE_CHARS`` characters at a time;
-    a longer text in parts that are cut where a piece ends anyway."""
-    parts, owner = [], []
-    for i, text in enumerate(texts):
-        start = 0
-        while len(text) - start > ENCODE_CHARS:
-            cut = CUT.search(text, start + ENCODE_CHARS)
-            if cut is None:
-                break
-            parts.append(text[start:cut.start()])
-            owner.append(i)
-            start = cut.start()
-        parts.append(text[start:] if start else text)
-        owner.append(i)
-    out: list[list[int]] = [[] for _ in texts]
+def splits_at_spaces(blob: str) -> bool:
+    """Whether a piece always begins at a lone space between two characters
+    that aren't white space, so that the parts of a text cut there have
+    the ids of the whole: true of byte-level BPE without normalisation."""
+    spec = json.loads(blob)
+    before = spec.get("pre_tokenizer") or {}
+    plain = all(" " not in t["content"] and not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"])
+                for t in spec.get("added_tokens") or [])
+    return (plain and not spec.get("normalizer") and before.get("type") == "ByteLevel"
+            and before.get("use_regex", True) and not before.get("add_prefix_space"))
+
+
+class Parts(dict):
+    """Part -> bytes of its ids after a space; an unknown part is encoded and
+    remembered, up to ``CACHE_CHARS`` characters of them."""
+
+    def __init__(self, tokenizer, code: str):
+        super().__init__()
+        self.tokenizer, self.merges, self.code, self.chars = tokenizer, tokenizer.model.tokenize, code, 0
+        self.short: dict[str, bytes] = {"": b""}  # short pieces: marks, line breaks
+
+    def __missing__(self, part: str) -> bytes:
+        if self.chars > CACHE_CHARS:
+            self.clear()
+            self.chars = 0
+        m = CLOSED.fullmatch(part)
+        if m is None:
+            lines = LINES.fullmatch(part)
+            if lines:
+                # One line break between two words is a piece of its own, too.
+                ids = self[lines[1]] + self.piece("\n") + self.piece(lines[2]) + self.piece(lines[3])
+            else:
+                ids = array(self.code, self.tokenizer.encode(" " + part, add_special_tokens=False).ids).tobytes()
+        elif m[2]:
+            # The marks that close a word are a piece of their own.
+            ids = self[m[1]] + self.piece(m[2])
+        else:
+            ids = self.piece(" " + part)
+        self[part] = ids
+        self.chars += len(part)
+        return ids
+
+    def piece(self, piece: str) -> bytes:
+        """Ids of one piece, which the vocabulary's merges take as it is."""
+        ids = self.short.get(piece)
+        if ids is None:
+            byte_level = piece.encode().decode("latin-1").translate(BYTE_CHARS)
+            ids = array(self.code, [t.id for t in self.merges(byte_level)]).tobytes()
+            if len(piece) < 4 and len(self.short) < 100_000:
+                self.short[piece] = ids
+        return ids
+
+
+class Encoder:
+    """Texts to the bytes of their ids; where pieces begin at spaces, part by
+    part."""
+
+    def __init__(self, tokenizer, code: str, by_parts: bool):
+        self.tokenizer, self.code = tokenizer, code
+        self.known = Parts(tokenizer, code) if by_parts else None
+
+    def _ids(self, texts: list[str]):
+        """Ids of each text, at most about ``ENCODE_CHARS`` characters at a time."""
+        for some in _spans(texts):
+            for found in self.tokenizer.encode_batch_fast(some, add_special_tokens=False):
+                yield array(self.code, found.ids).tobytes()
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        if self.known is None:
+            return list(self._ids(texts))
+        out, heads = [], []
+        for text in texts:
+            head, *parts = PARTS.split(text)
+            heads.append(head)
+            out.append(b"".join(map(self.known.__getitem__, parts)))
+        return [head + rest for head, rest in zip(self._ids(heads), out)]
+
+
+def _spans(texts: list[str]):
+    """``texts`` in lists of at most about ``ENCODE_CHARS`` characters."""
     a = 0
-    while a < len(parts):
+    while a < len(texts):
         b, chars = a, 0
-        while b < len(parts) and (b == a or chars + len(parts[b]) <= ENCODE_CHARS):
-            chars += len(parts[b])
+        while b < len(texts) and (b == a or chars + len(texts[b]) <= ENCODE_CHARS):
+            chars += len(texts[b])
             b += 1
-        for i, found in zip(owner[a:b], tokenizer.encode_batch_fast(parts[a:b], add_special_tokens=False)):
-            out[i] = out[i] + found.ids if out[i] else found.ids
+        yield texts[a:b]
         a = b
-    return out
 
 
 def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_ID,
@@ -247,7 +316,8 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     with open(tokenizer_path, encoding="utf-8") as f:
         blob = f.read()
     size = Tokenizer.from_str(blob).get_vocab_size(with_added_tokens=True)
-    width = 2 if max(size - 1, end_id) < 1 << 16 else 4
+    code = "H" if max(size - 1, end_id) < 1 << 16 else "I"  # 2 or 4 bytes, little-endian as Spark's hosts are
+    by_parts = splits_at_spaces(blob)
     shared = docs.sparkSession.sparkContext.broadcast(blob)
 
     def write(batches):
@@ -256,6 +326,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
 
         tokenizer = Reader.from_str(shared.value)
         tokenizer.encode_special_tokens = specials_as_text
+        encode, end = Encoder(tokenizer, code, by_parts), array(code, [end_id]).tobytes()
         store, root = open_store(folder)
         store.create_dir(root, recursive=True)
         part, seq, writer = TaskContext.get().partitionId(), 0, None
@@ -269,13 +340,13 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
 
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for key, ids in zip(keys, encode(tokenizer, texts)):
+            for key, ids in zip(keys, encode(texts)):
                 if writer is not None and (writer.starts[-1] >= shard_ids or len(writer.starts) > shard_docs):
                     yield row()
                     seq, writer = seq + 1, None
                 if writer is None:
-                    writer = ShardWriter(store, root, width)
-                writer.add(key, [*ids, end_id])
+                    writer = ShardWriter(store, root, np.dtype("<u2" if code == "H" else "<u4"))
+                writer.add(key, ids + end)
         if writer is not None:
             yield row()
 

@@ -4,6 +4,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -48,10 +49,47 @@ def test_sequence_is_near_its_bound():
     assert K.EliasFano.of(gaps).all().tolist() == gaps.tolist()
 
 
-def test_long_text_in_parts_has_the_ids_of_the_whole(monkeypatch):
-    monkeypatch.setattr(K, "ENCODE_CHARS", 50)
-    texts = ["word and  word\n\n más 12 ab cd's " * 40, "", "x" * 500, "a b " * 200, "  two  spaces " * 30]
-    assert K.encode(TOKENIZER, texts) == [TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts]
+@pytest.mark.parametrize("chars,cache", [(50, 40), (1 << 20, 8 << 20)])
+def test_parts_have_the_ids_of_the_whole(monkeypatch, chars, cache):
+    monkeypatch.setattr(K, "ENCODE_CHARS", chars)
+    monkeypatch.setattr(K, "CACHE_CHARS", cache)
+    texts = ["word and  word\n\n más 12 ab cd's 's \t x\u00a0 y \x1c z" * 40, "", " ", "x" * 500, "a b " * 200,
+             "  two  spaces " * 30, "a <|endoftext|> b<|endoftext|> c", "語 の 、 。 é\u0301 \u2003 ab"]
+    encode = K.Encoder(TOKENIZER, "H", True)
+    for _ in range(2):
+        got = [np.frombuffer(x, "<u2").tolist() for x in encode(texts)]
+        assert got == [TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("a b'sé1,\n\t\u00a0\u3000\x1c\x85語<|endoftext|>"), max_size=60))
+def test_any_text_in_parts(text):
+    got = np.frombuffer(K.Encoder(TOKENIZER, "H", True)([text])[0], "<u2").tolist()
+    assert got == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
+def test_words_have_the_ids_of_the_whole():
+    rows = [r for name in ("sf0.001", "sf0.01") for r in
+            pq.read_table(f"/root/testdata/{name}/documents.parquet").column("text").to_pylist() if r]
+    rows += [" ".join(chr(c) * n for c in range(0xC0, 0x100) for n in (1, 2, 7)), "A à, É. ß! ÿ? Ø: ×; ÷ aÀb",
+             "one.\nTwo three\nfour, five!\nsix\n\nseven eight\n nine ten \neleven x\né,"]
+    got = K.Encoder(TOKENIZER, "H", True)(rows)
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == [
+        e.ids for e in TOKENIZER.encode_batch(rows, add_special_tokens=False)]
+
+
+def test_which_tokenizers_split_at_spaces():
+    read = lambda name: open(public_tokenizers.path(name), encoding="utf-8").read()
+    assert K.splits_at_spaces(read("byte_bpe_50k.json"))
+    assert not K.splits_at_spaces(read("word_bpe_49k.json"))
+
+
+def test_whole_texts_with_another_tokenizer(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    folder = scratch_path(spark, "ids")
+    docs = spark.createDataFrame([(1, "Some words here"), (2, None)], "doc_id int, text string")
+    got = {r.doc_id: list(r.ids) for r in K.lookup(K.write_shards(docs, folder, path), folder, [1, 2]).collect()}
+    assert got == {1: [*Tokenizer.from_file(path).encode("Some words here", add_special_tokens=False).ids, 0], 2: [0]}
 
 
 ROWS = [(5, "five"), (-3, "minus"), (None, "no id"), (None, None), (2**53 + 1, "big"), (7, ""), (7, None),
