@@ -4,18 +4,20 @@ Every word occurrence begins a suffix: itself and the words after it in its
 piece, ``MAX_WORDS`` at most. A node of the tree of all these suffixes is a
 phrase, and the leaves below it add up to the phrase's occurrences.
 
-*Vertical partitioning.* The tree is never built whole. Word counts give the
-prefixes of one word; a prefix with more suffixes than a group's budget is
-replaced by its extensions by one word, whose counts one more scan gives, down
-to ``MAX_WORDS``. The prefixes left are dealt to groups by hash, total / budget of
-them, so a scan finds a suffix's group from the few prefixes over the budget
-alone (fewer than 65,536 a depth, since the budget is never under total / 65,536).
-
-*Subtrees.* The scan counts equal suffixes of a task before they are shuffled, so
-a phrase that is a third of all text is a row per task. Each group is
-sorted, which is its subtree in depth-first order, and read as a stream: a node
-closes when the next suffix leaves it and passes its total to its parent. A task
-holds one path, whatever its group's size.
+*Vertical partitioning.* The tree is never built whole. It is cut at the prefixes
+of two words; a prefix with more suffixes than a group's budget is replaced by
+its extensions by one word, whose counts one more scan gives, down to
+``MAX_WORDS``. The prefixes left, none above the budget, are dealt to groups (a
+task's rows each) by hash, so a scan finds a suffix's group from the few prefixes
+over the budget alone (fewer than 65,536 a depth, since the budget is never
+under total / 65,536).
+
+*Subtrees.* Suffixes whose first word is over the budget are counted in the
+scanning task before they are shuffled, so a phrase that is a third of all text
+is a few rows per task. Each prefix's suffixes are sorted, which is its subtree
+in depth-first order, and read as a stream: a node closes when the next suffix
+leaves it and passes its total to its parent. A task holds one path, whatever
+its group's size.
 
 *What is left out, exactly.* A phrase never occurs more often than a word of it, so
 suffixes end before a word with fewer than ``min_count`` occurrences. A bitmap of
@@ -29,19 +31,20 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricetide.llm.common import TEXT_BATCH_ROWS, stored
+from pricetide.llm.common import slices, stored
 
 MIN_COUNT = 30
 MAX_WORDS = 4
 COVERED = 80             # per cent of a phrase's occurrences inside one longer phrase
 TOP = 2000
 SCALE = 2_000_000
-GROUP_SUFFIXES = 4 << 20  # budget of a group
+GROUP_SUFFIXES = 8 << 20  # budget of a group
 DISTINCT = 1 << 19        # distinct suffixes that a scanning task counts at once
 BITMAP_BITS = 1 << 25     # of the bitmap of frequent words: 4 MB at every size
 MEMO_WORDS = 1 << 20
@@ -87,7 +90,7 @@ def word_counts(docs: DataFrame, min_count: int) -> DataFrame:
                 yield _counted(lang, counted, "word")
             found.clear()
 
-        for batch in batches:
+        for batch in slices(batches):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 words = text.as_py().lower().translate(_BLANKS).split()
                 totals[lang] += len(words)
@@ -100,7 +103,7 @@ def word_counts(docs: DataFrame, min_count: int) -> DataFrame:
 
     counted = _texts(docs).mapInArrow(count, "lang string, word binary, f long")
     summed = counted.groupBy("lang", "word").agg(F.sum("f").alias("f"))
-    return stored(summed.filter(F.col("word").isNull() | (F.col("f") >= min_count)), "words", TEXT_BATCH_ROWS)
+    return stored(summed.filter(F.col("word").isNull() | (F.col("f") >= min_count)), "words")
 
 
 def _bitmap(words: DataFrame, bits: int) -> bytes:
@@ -120,6 +123,7 @@ class _Scan:
     def __init__(self, shared):
         self.bitmap, self.bits, self.hot = shared.value
         self.frequent: dict[str, dict[bytes, bool]] = defaultdict(dict)
+        self.hot_words: dict[str, set[bytes]] = defaultdict(set)  # over the budget
 
     def runs(self, lang: str, text: bytes):
         known = self.frequent[lang]
@@ -131,6 +135,8 @@ class _Scan:
                 keep = known.get(word)
                 if keep is None:
                     h = _hash(lang, word + b" ")
+                    if h in self.hot:
+                        self.hot_words[lang].add(word)
                     h = (h - (1 << 64) if h >> 63 else h) % self.bits
                     keep = known[word] = bool(self.bitmap[h >> 3] >> (h & 7) & 1)
                 if keep:
@@ -155,31 +161,24 @@ class _Scan:
 
 
 def _extensions(docs: DataFrame, shared, depth: int) -> DataFrame:
-    """(lang, phrase, f) of the phrases of ``depth + 1`` words whose first
-    ``depth`` words are over the budget, as are the prefixes of these."""
+    """(lang, phrase, f, hash) of the phrases of ``depth + 1`` words that may be over
+    the budget: their first ``depth`` words are, as is each word."""
 
     def count(batches):
         scan = _Scan(shared)
         found: dict[str, Counter] = defaultdict(Counter)
-        hot: dict[str, dict[bytes, bool]] = defaultdict(dict)
 
         def flush():
             for lang, counted in found.items():
                 yield _counted(lang, counted, "phrase")
             found.clear()
 
-        for batch in batches:
+        for batch in slices(batches):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                known, counted = hot[lang], found[lang]
-                if len(known) > MEMO_WORDS:
-                    known.clear()
+                hot, counted = scan.hot_words[lang], found[lang]
                 for run in scan.runs(lang, text.as_py()):
                     for i in range(len(run) - depth):
-                        first = run[i]
-                        over = known.get(first)
-                        if over is None:
-                            over = known[first] = scan.hot_depth(lang, first + b" ") == 1
-                        if over and (depth == 1 or scan.hot_depth(
+                        if run[i] in hot and run[i + 1] in hot and (depth == 1 or run[i + depth] in hot and scan.hot_depth(
                                 lang, b" ".join(run[i:i + depth]) + b" ") == depth):
                             counted[b" ".join(run[i:i + depth + 1])] += 1
                 if len(counted) > DISTINCT:
@@ -190,40 +189,61 @@ def _extensions(docs: DataFrame, shared, depth: int) -> DataFrame:
             .groupBy("lang", "phrase").agg(F.sum("f").alias("f")).withColumn("hash", _hash_column("lang", "phrase")))
 
 
-def _suffixes(docs: DataFrame, shared, groups: int, max_words: int) -> DataFrame:
-    """(group, lang, suffix, n): equal suffixes of two words or more, counted
-    within a task, with the group of their prefix. Words end in a space."""
+def _suffixes(docs: DataFrame, shared, max_words: int) -> DataFrame:
+    """(lang, suffix, depth, n): the suffixes of two words or more, a space after
+    each word, and how many words the prefix has that they belong to. Equal ones that begin with a word
+    over the budget are counted within a task."""
 
     def scan(batches):
         texts = _Scan(shared)
         found: dict[str, Counter] = defaultdict(Counter)
 
+        def suffixes(run: list[bytes], starts) -> list[bytes]:
+            return [b" ".join(run[i:i + max_words]) + b" " for i in starts]
+
+        def rows(langs: list[str], keys: list[bytes], depths, n) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(langs, pa.string()), pa.array(keys, pa.binary()), pa.array(depths, pa.int32()),
+                 pa.array(n, pa.int64())], names=["lang", "suffix", "depth", "n"])
+
         def flush():
             for lang, counted in found.items():
-                keys = [k + b" " for k in counted]
-                group = []
-                for key in keys:
-                    depth, end = texts.hot_depth(lang, key) + 1, 0
-                    while depth and end < len(key):
-                        end, depth = key.index(b" ", end) + 1, depth - 1
-                    group.append(_hash(lang, key[:end]) % groups)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(group, pa.int32()), pa.array([lang] * len(keys), pa.string()),
-                     pa.array(keys, pa.binary()), pa.array(list(counted.values()), pa.int64())],
-                    names=["group", "lang", "suffix", "n"])
+                depths = [max(2, texts.hot_depth(lang, key) + 1) for key in counted]
+                yield rows([lang] * len(counted), list(counted), depths, list(counted.values()))
             found.clear()
 
-        for batch in batches:
+        for batch in slices(batches):
+            langs: list[str] = []
+            keys: list[bytes] = []
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                keys: list[bytes] = []
+                hot = texts.hot_words[lang]
                 for run in texts.runs(lang, text.as_py()):
-                    keys += [b" ".join(run[i:i + max_words]) for i in range(len(run) - 1)]
-                found[lang].update(keys)
+                    starts = range(len(run) - 1)
+                    if hot.isdisjoint(run):
+                        keys += suffixes(run, starts)
+                        continue
+                    keys += suffixes(run, [i for i in starts if run[i] not in hot])
+                    found[lang].update(suffixes(run, [i for i in starts if run[i] in hot]))
+                langs += [lang] * (len(keys) - len(langs))
                 if len(found[lang]) > DISTINCT:
                     yield from flush()
+            yield rows(langs, keys, np.full(len(keys), 2), np.ones(len(keys), np.int64))
         yield from flush()
 
-    return _texts(docs).mapInArrow(scan, "group int, lang string, suffix binary, n long")
+    return _texts(docs).mapInArrow(scan, "lang string, suffix binary, depth int, n long")
+
+
+def _may_count(rows: pa.RecordBatch, min_count: int) -> pa.Array:
+    """Which of the sorted suffixes lie below a prefix that has ``min_count``
+    occurrences; the first and the last prefix of the rows are kept, since they
+    may go on in other rows."""
+    if not rows.num_rows:
+        return pa.array([], pa.bool_())
+    prefix = rows.column(0).to_numpy()
+    starts = np.concatenate(([0], np.flatnonzero(prefix[1:] != prefix[:-1]) + 1))
+    enough = np.add.reduceat(rows.column(3).to_numpy(), starts) >= min_count
+    enough[[0, -1]] = True
+    return pa.array(np.repeat(enough, np.diff(np.append(starts, rows.num_rows))))
 
 
 def _subtrees(suffixes: DataFrame, shared, min_count: int) -> DataFrame:
@@ -258,10 +278,11 @@ def _subtrees(suffixes: DataFrame, shared, min_count: int) -> DataFrame:
             return batch
 
         for batch in batches:
-            for group, lang, suffix, n in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if (group, lang) != here:
+            batch = batch.filter(_may_count(batch, min_count))
+            for prefix, lang, suffix, n in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if (prefix, lang) != here:
                     close(0)
-                    here, last = (group, lang), None
+                    here, last = (prefix, lang), None
                 if suffix == last:
                     totals[-1] += n
                     continue
@@ -283,8 +304,13 @@ def _subtrees(suffixes: DataFrame, shared, min_count: int) -> DataFrame:
         if out[0]:
             yield rows()
 
-    return (suffixes.repartition("group").sortWithinPartitions("group", "lang", "suffix")
-                    .mapInArrow(read, "lang string, phrase binary, f long"))
+    # The prefix is told by its hash, which stays out of the shuffled rows. Other
+    # prefixes of that hash lie beside it, apart in the order of suffixes.
+    first = F.call_function("substring_index", F.col("suffix").cast("string"), F.lit(" "), F.col("depth"))
+    prefix = F.hash("lang", first)
+    dealt = suffixes.repartition(prefix).select(prefix.alias("prefix"), "lang", "suffix", "n")
+    return dealt.sortWithinPartitions("prefix", "lang", "suffix").mapInArrow(
+        read, "lang string, phrase binary, f long")
 
 
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS,
@@ -297,8 +323,8 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int =
     totals = words.filter("word is null").select("lang", F.col("f").alias("n"))
     frequent = words.filter("word is not null")
     total = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    # Also a quarter of an even task's share, so that groups spread evenly.
-    share = total // (4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # Nor more than two tasks' even share, so that groups spread evenly.
+    share = 2 * total // int(spark.conf.get("spark.sql.shuffle.partitions"))
     budget = max(1, total >> 16, min(group_suffixes, share))
     bitmap = _bitmap(frequent, BITMAP_BITS)
 
@@ -314,16 +340,16 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int =
         shared = spark.sparkContext.broadcast((bitmap, BITMAP_BITS, frozenset(hot)))
         if not found or depth == max_words - 1:
             break
-        prefixes = stored(_extensions(docs, shared, depth), "prefixes", TEXT_BATCH_ROWS)
+        prefixes = stored(_extensions(docs, shared, depth), "prefixes")
 
-    suffixes = _suffixes(docs, shared, max(1, -(-total // budget)), max_words)
+    suffixes = _suffixes(docs, shared, max_words)
     nodes = _subtrees(suffixes, shared, min_count)
     phrases = frequent.select("lang", F.col("word").alias("phrase"), "f").unionByName(nodes)
     for more in counted:
         phrases = phrases.unionByName(more.filter(F.col("f") >= min_count))
     phrase = F.col("phrase").cast("string")
     counts = phrases.select("lang", phrase.alias("phrase"), F.size(F.split(phrase, " ")).alias("words"), "f")
-    return stored(counts, "phrases", TEXT_BATCH_ROWS), totals
+    return stored(counts, "phrases"), totals
 
 
 def collocations(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, covered: int = COVERED,
