@@ -15,7 +15,8 @@ When a source has given its last block, a new *phase* begins in which the other
 sources share the slots by their weights: every document is placed exactly
 once. Documents are ranked within their source by counts per hash bucket and a
 window within each bucket, so a source holding a third of all rows is split
-over many tasks.
+over many tasks. The slots of a bucket's blocks join its documents in that
+window, so the documents themselves are shuffled once for their place in the mix.
 
 Defined results: a null source is a source of its own; a null doc_id is placed
 like any other; rows with equal doc_id are ordered arbitrarily among
@@ -138,28 +139,37 @@ def mix(docs: DataFrame, weights: Mapping | None = None, block_docs: int = BLOCK
     keyed = docs.withColumn("__key", key).withColumn("__bucket", bucket)
     before = (keyed.groupBy("source", "__bucket").count()
                    .withColumn("__before", F.sum("count").over(Window.partitionBy("source").orderBy("__bucket"))
-                               - F.col("count"))
-                   .select(F.col("source").alias("__of"), F.col("__bucket").alias("__b"), "__before"))
-    place = Window.partitionBy("source", "__bucket").orderBy("__key", "doc_id")
-    ranked = (keyed.withColumn("__rank", F.row_number().over(place) - 1)
-                   .join(before, F.col("source").eqNullSafe(F.col("__of")) & (F.col("__bucket") == F.col("__b")))
-                   .withColumn("__index", F.col("__rank") + F.col("__before"))
-                   .withColumn("mix_block", F.floor(F.col("__index") / block_docs).cast("long"))
-                   .drop("__of", "__b", "__before", "__rank", "__key", "__bucket"))
+                               - F.col("count")))
+    last = F.floor((F.col("__before") + F.col("count") - 1) / block_docs)
+    blocks = (before.withColumn("__block", F.explode(F.sequence(F.floor(F.col("__before") / block_docs), last)))
+                    .withColumn("__name", F.col("source").cast("string")))
     # Shares that no source uses up are beyond a long: their cycle isn't repeated.
     spans = [(s, phase, first, took, min(share, took), q if share < took else 0, slot)
              for s, phase, first, took, share, q, slot in spans]
     span = spark.createDataFrame(spans, "__s string, __phase int, __first long, __took long, __share long, __q long, "
                                         "__slot long")
     offset = spark.createDataFrame(places, "__s2 string, __phase2 int, __k long, __place long")
-    step = F.col("mix_block") - F.col("__first")
-    slotted = (ranked.join(span, F.col("source").cast("string").eqNullSafe(F.col("__s")) & (step >= 0)
-                           & (step < F.col("__took")))
-                     .withColumn("__turn", step % F.col("__share"))
-                     .join(offset, F.col("source").cast("string").eqNullSafe(F.col("__s2"))
-                           & (F.col("__phase") == F.col("__phase2")) & (F.col("__turn") == F.col("__k")))
-                     .withColumn("mix_slot", F.col("__slot") + F.floor(step / F.col("__share")) * F.col("__q")
-                                 + F.col("__place"))
+    step = F.col("__block") - F.col("__first")
+    slots = (blocks.join(span, F.col("__name").eqNullSafe(F.col("__s")) & (step >= 0) & (step < F.col("__took")))
+                   .withColumn("__turn", step % F.col("__share"))
+                   .join(offset, F.col("__name").eqNullSafe(F.col("__s2"))
+                         & (F.col("__phase") == F.col("__phase2")) & (F.col("__turn") == F.col("__k")))
+                   .select("source", "__bucket", "__before", "__block",
+                           (F.col("__slot") + F.floor(step / F.col("__share")) * F.col("__q") + F.col("__place"))
+                           .alias("__at")))
+    # A bucket's blocks lie beside its documents, so that these, whole texts maybe,
+    # are shuffled once and joined to nothing: first all blocks, which tell
+    # where the bucket begins, then each block before the documents that fill it.
+    both = keyed.unionByName(slots, allowMissingColumns=True)
+    bucket_rows = Window.partitionBy("source", "__bucket")
+    is_doc = F.col("__block").isNull()
+    place = bucket_rows.orderBy(is_doc, "__key", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = both.select("*", (F.max("__before").over(place) + F.count(F.lit(1)).over(place)
+                               - F.count("__block").over(place) - 1).alias("__rank"))
+    ranked = ranked.withColumn("__index", F.when(is_doc, F.col("__rank")).otherwise(F.col("__block") * block_docs))
+    filled = bucket_rows.orderBy("__index", is_doc).rowsBetween(Window.unboundedPreceding, 0)
+    slotted = (ranked.withColumn("mix_slot", F.last("__at", ignorenulls=True).over(filled)).filter(is_doc)
+                     .withColumn("mix_block", F.floor(F.col("__index") / block_docs).cast("long"))
                      .withColumn("mix_position", F.col("mix_slot") * block_docs + F.col("__index") % block_docs))
     return slotted.select(*docs.columns, "mix_block", F.col("mix_slot").cast("long").alias("mix_slot"),
                           F.col("mix_position").cast("long").alias("mix_position"))

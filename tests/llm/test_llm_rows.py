@@ -6,6 +6,7 @@ import hashlib
 import heapq
 import math
 import random
+import re
 import string
 import uuid
 from fractions import Fraction
@@ -249,6 +250,36 @@ def test_the_mix_is_earliest_deadline_first(spark):
     assert [slots[i] for i in range(len(slots))] == want
 
 
+def test_the_mix_shuffles_texts_twice_at_most(spark):
+    rows = [(i, f"text {i}", f"s{i % 3}") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")  # as for tables that are too large to broadcast
+    try:
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        plan = mixing.mixed_in_order(docs)._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.set(key, before)
+    moved = [node for node in plan.split("\n\n") if re.match(r"\(\d+\) Exchange\n", node.strip()) and " text#" in node]
+    assert len(moved) == 2  # to the buckets, and into the order of the mix
+
+
+def test_the_mix_follows_the_order_of_keys_with_ids_missing_and_repeated(spark):
+    rows = [(i, f"s{i % 3}") for i in range(600)] + [(None, "s1")] * 3 + [(7, "s1")] * 40 + [(i, None) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    got = mixing.mix(docs, {"s0": 0.5, "s1": 0.25, "s2": 0.25}, block_docs=8).collect()
+    key = lambda i: hashlib.md5(f"mix:{'' if i is None else i}".encode()).hexdigest()
+    slots: dict = {}
+    for source in ("s0", "s1", "s2", None):
+        own = sorted((r for r in got if r.source == source), key=lambda r: r.mix_position)
+        assert [r.doc_id for r in own] == sorted((i for i, s in rows if s == source), key=key)
+        for n, r in enumerate(own):
+            assert (r.mix_block, r.mix_position) == (n // 8, r.mix_slot * 8 + n % 8)
+            assert slots.setdefault(r.mix_slot, (source, r.mix_block)) == (source, r.mix_block)
+    assert sorted(slots) == list(range(len(slots)))
+
+
 # -- settings -------------------------------------------------------------------------
 
 def test_operators_leave_the_session_as_it_was(spark):
