@@ -226,9 +226,14 @@ def splits_at_spaces(blob: str) -> bool:
             and before.get("use_regex", True) and not before.get("add_prefix_space"))
 
 
+class Unparted(Exception):
+    """A space that is no lone one stands beside this part."""
+
+
 class Parts(dict):
     """Part -> bytes of its ids after a space; an unknown part is encoded and
-    remembered, up to ``CACHE_CHARS`` characters of them."""
+    remembered, up to ``CACHE_CHARS`` characters of them. A part that is empty or
+    has white space at an end is never remembered: it raises ``Unparted``."""
 
     def __init__(self, tokenizer, code: str):
         super().__init__()
@@ -236,6 +241,8 @@ class Parts(dict):
         self.short: dict[str, bytes] = {"": b""}  # short pieces: marks, line breaks
 
     def __missing__(self, part: str) -> bytes:
+        if not part or part[0].isspace() or part[-1].isspace():
+            raise Unparted
         if self.chars > CACHE_CHARS:
             self.clear()
             self.chars = 0
@@ -246,7 +253,7 @@ class Parts(dict):
                 # One line break between two words is a piece of its own, too.
                 ids = self[lines[1]] + self.piece("\n") + self.piece(lines[2]) + self.piece(lines[3])
             else:
-                ids = array(self.code, self.tokenizer.encode(" " + part, add_special_tokens=False).ids).tobytes()
+                ids = self.whole(part)
         elif m[2]:
             # The marks that close a word are a piece of their own.
             ids = self[m[1]] + self.piece(m[2])
@@ -256,6 +263,10 @@ class Parts(dict):
         self.chars += len(part)
         return ids
 
+    def whole(self, part: str) -> bytes:
+        """Ids of any part after a space, as the tokenizer itself cuts it."""
+        return array(self.code, self.tokenizer.encode(" " + part, add_special_tokens=False).ids).tobytes()
+
     def piece(self, piece: str) -> bytes:
         """Ids of one piece, which the vocabulary's merges take as it is."""
         ids = self.short.get(piece)
@@ -286,9 +297,18 @@ class Encoder:
             return list(self._ids(texts))
         out, heads = [], []
         for text in texts:
-            head, *parts = PARTS.split(text)
+            # Mostly every space is a lone one, and splitting at all is faster.
+            head, *parts = text.split(" ")
+            try:
+                if not head or head[-1].isspace():
+                    raise Unparted
+                out.append(b"".join(map(self.known.__getitem__, parts)))
+            except Unparted:
+                head, *parts = PARTS.split(text)
+                # Only the last part can have white space at its end.
+                end = [self.known.whole(parts.pop())] if parts and parts[-1][-1].isspace() else []
+                out.append(b"".join([*map(self.known.__getitem__, parts), *end]))
             heads.append(head)
-            out.append(b"".join(map(self.known.__getitem__, parts)))
         return [head + rest for head, rest in zip(self._ids(heads), out)]
 
 

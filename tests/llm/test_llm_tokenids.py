@@ -68,6 +68,23 @@ def test_any_text_in_parts(text):
     assert got == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
+def test_texts_with_and_without_lone_spaces_share_an_encoder():
+    texts = ["a word\n", "a word\n more", "a  word", "a word more", " a word", "word \n a", "a word ", "", " ", "word\u3000 a"]
+    got = K.Encoder(TOKENIZER, "H", True)(texts * 2)
+    want = [TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts * 2]
+    assert [np.frombuffer(ids, "<u2").tolist() for ids in got] == want
+
+
+def test_lone_spaces_need_no_pattern(monkeypatch):
+    class Never:
+        split = staticmethod(lambda text: pytest.fail(f"split by pattern: {text!r}"))
+
+    text = "Every space here is\na lone one, so far."
+    monkeypatch.setattr(K, "PARTS", Never)
+    got = K.Encoder(TOKENIZER, "H", True)([text])[0]
+    assert np.frombuffer(got, "<u2").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
 def test_words_have_the_ids_of_the_whole():
     rows = [r for name in ("sf0.001", "sf0.01") for r in
             pq.read_table(f"/root/testdata/{name}/documents.parquet").column("text").to_pylist() if r]
