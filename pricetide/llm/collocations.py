@@ -14,10 +14,11 @@ under total / 65,536).
 
 *Subtrees.* Suffixes whose first word is over the budget are counted in the
 scanning task before they are shuffled, so a phrase that is a third of all text
-is a few rows per task. Each prefix's suffixes are sorted, which is its subtree
-in depth-first order, and read as a stream: a node closes when the next suffix
-leaves it and passes its total to its parent. A task holds one path, whatever
-its group's size.
+is a few rows per task. A row holds a suffix's prefix and the words after it. Spark
+sorts a group by the prefixes' hashes alone, whole numbers that need no comparing
+of rows; a task reads some whole prefixes at a time and sorts what follows them,
+which is their subtrees in depth-first order. A node is a run of it. A task holds
+some rows and one prefix's different suffixes, whatever its group's size.
 
 *What is left out, exactly.* A phrase never occurs more often than a word of it, so
 suffixes end before a word with fewer than ``min_count`` occurrences. A bitmap of
@@ -30,9 +31,11 @@ is ``und``; repeated rows count each; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections import Counter, defaultdict
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,6 +51,8 @@ GROUP_SUFFIXES = 8 << 20  # budget of a group
 DISTINCT = 1 << 19        # distinct suffixes that a scanning task counts at once
 BITMAP_BITS = 1 << 25     # of the bitmap of frequent words: 4 MB at every size
 MEMO_WORDS = 1 << 20
+SUBTREE_BYTES = 8 << 20   # of suffixes whose subtrees a task reads at once
+PIECE = 1 << 16           # texts that are Python objects at once
 SEED = 42
 # The characters that end a piece.
 PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -189,61 +194,150 @@ def _extensions(docs: DataFrame, shared, depth: int) -> DataFrame:
             .groupBy("lang", "phrase").agg(F.sum("f").alias("f")).withColumn("hash", _hash_column("lang", "phrase")))
 
 
+def _escaped(lang: str) -> bytes:
+    """Between line breaks and, reversibly, without any inside."""
+    return b"\n" + lang.encode("unicode_escape") + b"\n"
+
+
 def _suffixes(docs: DataFrame, shared, max_words: int) -> DataFrame:
-    """(lang, suffix, depth, n): the suffixes of two words or more, a space after
-    each word, and how many words the prefix has that they belong to. Equal ones that begin with a word
-    over the budget are counted within a task."""
+    """(suffix, n): the suffixes of two words or more, a space between words; as one
+    more word the language (escaped) stands in line breaks after the prefix that a
+    suffix belongs to. Equal ones that begin with a word over the budget are counted
+    within a task."""
 
     def scan(batches):
         texts = _Scan(shared)
         found: dict[str, Counter] = defaultdict(Counter)
 
-        def suffixes(run: list[bytes], starts) -> list[bytes]:
-            return [b" ".join(run[i:i + max_words]) + b" " for i in starts]
-
-        def rows(langs: list[str], keys: list[bytes], depths, n) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(keys, pa.binary()), pa.array(depths, pa.int32()),
-                 pa.array(n, pa.int64())], names=["lang", "suffix", "depth", "n"])
+        def rows(keys: list[bytes], n) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(n, pa.int64())],
+                                              names=["suffix", "n"])
 
         def flush():
             for lang, counted in found.items():
-                depths = [max(2, texts.hot_depth(lang, key) + 1) for key in counted]
-                yield rows([lang] * len(counted), list(counted), depths, list(counted.values()))
+                tongue, keys = _escaped(lang), []
+                for key in counted:
+                    words = key.split(b" ")[:-1]
+                    depth = max(2, texts.hot_depth(lang, key) + 1)
+                    keys.append(b" ".join((*words[:depth], tongue, *words[depth:])))
+                yield rows(keys, list(counted.values()))
             found.clear()
 
         for batch in slices(batches):
-            langs: list[str] = []
             keys: list[bytes] = []
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                hot = texts.hot_words[lang]
+                hot, tongue = texts.hot_words[lang], _escaped(lang)
                 for run in texts.runs(lang, text.as_py()):
                     starts = range(len(run) - 1)
                     if hot.isdisjoint(run):
-                        keys += suffixes(run, starts)
-                        continue
-                    keys += suffixes(run, [i for i in starts if run[i] not in hot])
-                    found[lang].update(suffixes(run, [i for i in starts if run[i] in hot]))
-                langs += [lang] * (len(keys) - len(langs))
+                        # Those of max_words words in one go, then the shorter ones at the run's end.
+                        further = (run[k:] for k in range(2, max_words))
+                        keys += map(b" ".join, zip(run, run[1:], repeat(tongue), *further))
+                        starts = starts[max(0, len(run) - max_words + 1):]
+                    else:
+                        found[lang].update([b" ".join(run[i:i + max_words]) + b" " for i in starts if run[i] in hot])
+                        starts = [i for i in starts if run[i] not in hot]
+                    keys += [b" ".join((run[i], run[i + 1], tongue, *run[i + 2:i + max_words])) for i in starts]
                 if len(found[lang]) > DISTINCT:
                     yield from flush()
-            yield rows(langs, keys, np.full(len(keys), 2), np.ones(len(keys), np.int64))
+            yield rows(keys, np.ones(len(keys), np.int64))
         yield from flush()
 
-    return _texts(docs).mapInArrow(scan, "lang string, suffix binary, depth int, n long")
-
-
-def _may_count(rows: pa.RecordBatch, min_count: int) -> pa.Array:
-    """Which of the sorted suffixes lie below a prefix that has ``min_count``
-    occurrences; the first and the last prefix of the rows are kept, since they
-    may go on in other rows."""
-    if not rows.num_rows:
-        return pa.array([], pa.bool_())
-    prefix = rows.column(0).to_numpy()
-    starts = np.concatenate(([0], np.flatnonzero(prefix[1:] != prefix[:-1]) + 1))
-    enough = np.add.reduceat(rows.column(3).to_numpy(), starts) >= min_count
-    enough[[0, -1]] = True
-    return pa.array(np.repeat(enough, np.diff(np.append(starts, rows.num_rows))))
+    return _texts(docs).mapInArrow(scan, "suffix binary, n long")
+
+
+def _enough(keys: list[np.ndarray], n: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the runs of rows with equal keys: which rows are in a run whose ``n`` sum
+    to ``least`` or more, the first row of each such run, and its sum."""
+    if not len(n):
+        return np.zeros(0, bool), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    new = np.zeros(len(n), bool)
+    new[0] = True
+    for key in keys:
+        new[1:] |= key[1:] != key[:-1]
+    starts = np.flatnonzero(new)
+    sums = np.add.reduceat(n, starts)
+    kept = sums >= least
+    return np.repeat(kept, np.diff(np.append(starts, len(n)))), starts[kept], sums[kept]
+
+
+def _whole_prefixes(batches, size: int):
+    """Tables of about ``size`` bytes that hold all rows of each of their prefix
+    hashes. A hash that goes on for longer is held as its different rows."""
+    held: list[pa.RecordBatch] = []
+    have, limit = 0, size
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        have += batch.nbytes
+        if have < limit:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        prefix = table.column(0).to_numpy()
+        cut = int(np.searchsorted(prefix, prefix[-1]))
+        if cut:
+            yield table.slice(0, cut)
+            table = table.slice(cut)
+        else:
+            table = (table.group_by(["prefix", "suffix"], use_threads=False).aggregate([("n", "sum")])
+                     .rename_columns({"n_sum": "n"}).select(["prefix", "suffix", "n"]))
+        held, have = table.to_batches(), table.nbytes
+        limit = max(size, 2 * have)
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _first_words(texts: pa.Array, words: int) -> pa.Array:
+    """The first ``words`` words of each text, a space after each, null where it has
+    fewer. A space stands before the texts."""
+    found = []
+    for text in texts.to_pylist():
+        parts = text.split(b" ", words + 1)
+        found.append(text[1:len(text) - len(parts[-1])] if len(parts) > words + 1 else None)
+    return pa.array(found, pa.binary())
+
+
+def _nodes(table: pa.Table, min_count: int):
+    """(prefix and language, words after it, f) of the nodes with ``min_count`` occurrences of the
+    subtrees below whole prefixes."""
+    n = table.column(2).to_numpy()
+    table = table.filter(pa.array(_enough([table.column(0).to_numpy()], n, min_count)[0]))
+    if not table.num_rows:
+        return
+    parts = pc.split_pattern(table.column(1).combine_chunks(), b"\n", max_splits=2).flatten()
+    heads, langs, tails = (parts.take(pa.array(np.arange(i, len(parts), 3))) for i in range(3))
+    heads = pc.binary_join_element_wise(heads, langs, b"\n").dictionary_encode()
+    tails = tails.dictionary_encode()
+    # With a space after the last word, those that begin with the same words lie together.
+    texts = pc.binary_join_element_wise(tails.dictionary, b"", b" ")
+    sorted_tails = pc.sort_indices(texts).to_numpy()
+    place = np.empty(len(sorted_tails), np.int64)
+    place[sorted_tails] = np.arange(len(sorted_tails))
+    head = heads.indices.to_numpy().astype(np.int64)
+    tail = place[tails.indices.to_numpy()]
+    order = np.argsort(head * len(place) + tail)
+    head, tail, n = head[order], tail[order], table.column(2).to_numpy()[order]
+    texts = texts.take(pa.array(sorted_tails))
+
+    kept, starts, sums = _enough([head], n, min_count)
+    for first, f in zip(heads.dictionary.take(pa.array(head[starts])).to_pylist(), sums.tolist()):
+        yield first, b"", f
+    words = 0
+    while kept.any():
+        # Below nodes with enough occurrences only: each node's children by their next word.
+        head, tail, n = head[kept], tail[kept], n[kept]
+        words += 1
+        used, tail_of = np.unique(tail, return_inverse=True)
+        begun = pa.chunked_array([_first_words(texts.take(pa.array(part)), words)
+                                  for part in np.split(used, range(PIECE, len(used), PIECE))]).combine_chunks()
+        begun = begun.dictionary_encode()
+        child = begun.indices.fill_null(-1).to_numpy()[tail_of]
+        longer = child >= 0
+        head, tail, n, child = head[longer], tail[longer], n[longer], child[longer]
+        kept, starts, sums = _enough([head, child], n, min_count)
+        yield from zip(heads.dictionary.take(pa.array(head[starts])).to_pylist(),
+                       begun.dictionary.take(pa.array(child[starts])).to_pylist(), sums.tolist())
 
 
 def _subtrees(suffixes: DataFrame, shared, min_count: int) -> DataFrame:
@@ -253,64 +347,25 @@ def _subtrees(suffixes: DataFrame, shared, min_count: int) -> DataFrame:
 
     def read(batches):
         scan = _Scan(shared)
-        path: list[bytes] = []
-        totals: list[int] = []
-        out: tuple[list, list, list] = ([], [], [])
-        here, last = None, None
-
-        def close(depth: int):
-            while len(path) > depth:
-                f = totals.pop()
-                if totals:
-                    totals[-1] += f
-                if f >= min_count and len(path) > 1:
-                    phrase = b" ".join(path)
-                    if scan.hot_depth(here[1], phrase + b" ") < len(path):
-                        for column, value in zip(out, (here[1], phrase, f)):
-                            column.append(value)
-                path.pop()
-
-        def rows():
-            batch = pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.binary()),
-                                                pa.array(out[2], pa.int64())], names=["lang", "phrase", "f"])
-            for column in out:
-                column.clear()
-            return batch
-
-        for batch in batches:
-            batch = batch.filter(_may_count(batch, min_count))
-            for prefix, lang, suffix, n in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if (prefix, lang) != here:
-                    close(0)
-                    here, last = (prefix, lang), None
-                if suffix == last:
-                    totals[-1] += n
-                    continue
-                last = suffix
-                words = suffix.split(b" ")
-                words.pop()
-                same = 0
-                for a, b in zip(path, words):
-                    if a != b:
-                        break
-                    same += 1
-                close(same)
-                path += words[same:]
-                totals += [0] * (len(words) - same)
-                totals[-1] += n
-            if out[0]:
-                yield rows()
-        close(0)
-        if out[0]:
-            yield rows()
-
-    # The prefix is told by its hash, which stays out of the shuffled rows. Other
-    # prefixes of that hash lie beside it, apart in the order of suffixes.
-    first = F.call_function("substring_index", F.col("suffix").cast("string"), F.lit(" "), F.col("depth"))
-    prefix = F.hash("lang", first)
-    dealt = suffixes.repartition(prefix).select(prefix.alias("prefix"), "lang", "suffix", "n")
-    return dealt.sortWithinPartitions("prefix", "lang", "suffix").mapInArrow(
-        read, "lang string, phrase binary, f long")
+        for table in _whole_prefixes(batches, SUBTREE_BYTES):
+            langs: list[str] = []
+            phrases: list[bytes] = []
+            counts: list[int] = []
+            for head, after, f in _nodes(table, min_count):
+                prefix, lang = head.split(b"\n", 1)
+                lang, key = lang.decode("unicode_escape"), prefix + after
+                if not scan.hot or scan.hot_depth(lang, key) < key.count(b" "):
+                    langs.append(lang)
+                    phrases.append(key[:-1])
+                    counts.append(f)
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.binary()),
+                                              pa.array(counts, pa.int64())], names=["lang", "phrase", "f"])
+
+    # Prefix and language are told by their hash, which stays out of the shuffled rows. Prefixes
+    # of equal hash are read together and told apart there.
+    prefix = F.hash(F.substring_index(F.col("suffix").cast("string"), "\n", 2))
+    dealt = suffixes.repartition(prefix).select(prefix.alias("prefix"), "suffix", "n")
+    return dealt.sortWithinPartitions("prefix").mapInArrow(read, "lang string, phrase binary, f long")
 
 
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS,

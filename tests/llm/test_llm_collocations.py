@@ -84,3 +84,33 @@ def test_one_very_long_text(spark):
     data = [("en", "alpha beta gamma delta " * 50_000)]
     docs = spark.createDataFrame(data, "lang string, text string")
     assert sorted(map(tuple, C.collocations(docs).drop("words", "cut").collect())) == brute(data, 30)
+
+
+@pytest.mark.parametrize("size", [1, 400])
+def test_subtrees_of_prefixes_longer_than_a_read(spark, monkeypatch, size):
+    monkeypatch.setattr(C, "SUBTREE_BYTES", size)
+    monkeypatch.setattr(C, "PIECE", 2)
+    data = rows()
+    docs = spark.createDataFrame(data, "lang string, text string")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = sorted(map(tuple, C.collocations(docs, 3, group_suffixes=300).drop("words", "cut").collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == brute(data, 3)
+
+
+def test_suffixes_are_sorted_by_one_number(spark):
+    docs = spark.createDataFrame(rows()[:20], "lang string, text string")
+    shared = spark.sparkContext.broadcast((b"\xff" * 4096, 1 << 15, frozenset()))
+    plan = C._subtrees(C._suffixes(docs, shared, 4), shared, 2)._jdf.queryExecution().optimizedPlan().toString()
+    keys = [line.split("[", 1)[1].split("]")[0] for line in plan.splitlines() if "Sort [" in line]
+    assert len(keys) == 1 and keys[0].startswith("prefix#") and "," not in keys[0]
+
+
+def test_language_and_words_are_told_apart(spark):
+    data = [("a\nb", "x y z. " * 4), ("a", "b\x01 x y z. " * 4), ("a\nb c ", "x y. " * 4), ("a", "b c x y. " * 4),
+            ("a\\nb", "x y z. " * 4), ("ä\U0001f600", "x y z. " * 4), (" ", "x y z. " * 4)]
+    docs = spark.createDataFrame(data, "lang string, text string")
+    assert sorted(map(tuple, C.collocations(docs, 3).drop("words", "cut").collect())) == brute(data, 3)
